@@ -1,0 +1,5 @@
+"""Intentionally empty: every job of this library is a batch build.
+
+The two rules that look like stream processing are batch operators: keep-last by arrival time
+(``operators.dedup.dedup_keep_last``) and the in-progress bar flag (``plans.futures.futures_bars``).
+"""
