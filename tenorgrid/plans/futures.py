@@ -77,19 +77,20 @@ def implied_probabilities(move: Column) -> dict[str, Column]:
     }
 
 
-def asof_and_same_day(ladder: DataFrame, prefix: str, columns: Sequence[str]) -> DataFrame:
-    """Per decision and date: the ladder known at the start of the date and, apart, the move at its end.
+def asof_and_same_day(df: DataFrame, key: str, prefix: str, columns: Sequence[str], same_day: str,
+                      d: str = "date", asof: str = "asof_date") -> DataFrame:
+    """Per key and date: the row known at the start of the date and, apart, one value as of its end.
 
-    One grouping serves both roles; joining the ladder twice would move it twice.
+    One grouping serves both roles; joining the table twice would move it twice.
     """
-    role = F.explode(F.array(F.struct(F.col("asof_date").alias("date"), F.lit(True).alias("asof")),
-                             F.struct(F.col("date"), F.lit(False).alias("asof"))))
-    rows = ladder.select("meeting_date", F.struct(*columns).alias("__row"), role.alias("__r"))
-    both = rows.groupBy("meeting_date", F.col("__r.date").alias("date")).agg(
+    role = F.explode(F.array(F.struct(F.col(asof).alias("date"), F.lit(True).alias("asof")),
+                             F.struct(F.col(d).alias("date"), F.lit(False).alias("asof"))))
+    rows = df.select(key, F.struct(*columns).alias("__row"), F.col(same_day).alias("__same"), role.alias("__r"))
+    both = rows.groupBy(key, F.col("__r.date").alias(d)).agg(
         F.max(F.when(F.col("__r.asof"), F.col("__row"))).alias("__a"),
-        F.max(F.when(~F.col("__r.asof"), F.col("__row.e_move_bp"))).alias(f"{prefix}_e_move_bp_sameday"))
-    return both.select("meeting_date", "date", *(F.col(f"__a.{c}").alias(f"{prefix}_{c}") for c in columns),
-                       f"{prefix}_e_move_bp_sameday")
+        F.max(F.when(~F.col("__r.asof"), F.col("__same"))).alias(f"{prefix}_{same_day}_sameday"))
+    return both.select(key, d, *(F.col(f"__a.{c}").alias(f"{prefix}_{c}") for c in columns),
+                       f"{prefix}_{same_day}_sameday")
 
 
 LADDER_COLUMNS = ["e_move_bp", "p_hike25", "p_hold", "p_cut25", "n_legs_quoted", "sum_raw", "max_stale_days"]
@@ -113,8 +114,9 @@ def implied_daily(bars: DataFrame, spine: DataFrame, windows: DataFrame, rates:
     base = base.withColumns(fair_prices(F.col("rate_pre"), F.col("delta"), F.col("fut_settle")))
     base = base.withColumns(implied_probabilities(F.col("implied_move_bp")))
     on = ["meeting_date", "date"]
-    base = base.join(asof_and_same_day(ladder, "ladder", LADDER_COLUMNS), on, "left")
-    base = base.join(asof_and_same_day(points.where("is_primary"), "points", POINT_COLUMNS), on, "left")
+    base = base.join(asof_and_same_day(ladder, "meeting_date", "ladder", LADDER_COLUMNS, "e_move_bp"), on, "left")
+    primary = points.where("is_primary")
+    base = base.join(asof_and_same_day(primary, "meeting_date", "points", POINT_COLUMNS, "e_move_bp"), on, "left")
     fair = lambda move: F.col("fair_hold") - F.col("delta") * F.col(move) / 100
     gate = (F.coalesce("points_n_legs_half", F.lit(0)) == 0) & F.col("points_sum_raw").between(*FAIR_PRICE_BAND)
     return base.withColumns({

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 
+from tenorgrid.functions.fixed import EVENT_PREFIX
 from tenorgrid.plans import coverage as cov
 from tenorgrid.plans import futures as fut
 from tenorgrid.plans import ladder as lad
@@ -15,7 +16,8 @@ from tenorgrid.sources.sinks import register_views
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def build_panel(raw: Mapping[str, DataFrame], fetched_day: Column, keep: Keep = lambda name, df: df) -> dict[str, DataFrame]:
+def build_panel(raw: Mapping[str, DataFrame], fetched_day: Column, keep: Keep = lambda name, df: df,
+                event_prefix: str = EVENT_PREFIX) -> dict[str, DataFrame]:
     """Tables of the panel from typed inputs.
 
     Inputs: ``spine``, ``quote_bars``, ``trades``, ``ladder_markets``, ``points``, ``point_markets``, ``futures``,
@@ -29,7 +31,7 @@ def build_panel(raw: Mapping[str, DataFrame], fetched_day: Column, keep: Keep =
     t["rates_wide"] = fut.rates_wide(raw["rates"])
     t["rate_calendar"] = fut.rate_calendar(t["rates_wide"])
     t["links"] = sp.link_events(t["spine"], raw["point_markets"])
-    t["daily_quotes"] = keep("daily_quotes", lad.daily_quotes(t["quote_bars"]))
+    t["daily_quotes"] = keep("daily_quotes", lad.daily_quotes(t["quote_bars"], event_prefix))
     t["daily_points"] = keep("daily_points", lad.daily_points(raw["points"], raw["point_markets"]))
     t["ladder_daily"] = lad.ladder_daily(t["daily_quotes"], t["spine"], t["windows"])
     t["point_ladder_daily"] = lad.point_ladder_daily(t["daily_points"], t["links"], t["windows"])
