@@ -9,7 +9,7 @@ from tenorgrid.catalog.registry import Tables, query
 from tenorgrid.functions.fixed import OUTCOMES
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     """Doubles rounded for comparison; sums depend on their order in the last digits."""
     return df.select(*(F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
                        for f in df.schema.fields))
@@ -24,8 +24,8 @@ LADDER_NUMBERS = ["max_spread", "sum_raw", "sum_bid", "sum_ask", *(f"mid_{o.lowe
 LADDER_COUNTS = ["n_legs", "n_legs_bar_today", "n_legs_quoted", "n_legs_two_sided", "max_stale_days", "days_to_decision"]
 
 
-def r6(names) -> str:
-    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+def r9(names) -> str:
+    return ", ".join(f"round({n}, 9) AS {n}" for n in names)
 
 
 def big(names) -> str:
@@ -33,7 +33,7 @@ def big(names) -> str:
 
 
 @query("ladder_probability", with_sql(SPINE_SQL, LADDER_SQL) + f"""
-SELECT meeting_date, date, CAST(asof_date AS DATE) AS asof_date, in_window, any_partial, {big(LADDER_COUNTS)}, {r6(LADDER_NUMBERS)} FROM kl
+SELECT meeting_date, date, CAST(asof_date AS DATE) AS asof_date, in_window, any_partial, {big(LADDER_COUNTS)}, {r9(LADDER_NUMBERS)} FROM kl
 """)
 def ladder_probability(t: Tables) -> DataFrame:
     rows = panel(t)["ladder_daily"].select("meeting_date", "date", "asof_date", "in_window", "any_partial", *LADDER_COUNTS, *LADDER_NUMBERS)
@@ -45,7 +45,7 @@ POINT_COUNTS = ["n_outcomes", "n_legs", "n_legs_obs_today", "n_legs_half", "max_
 
 
 @query("ladder_two_level", with_sql(SPINE_SQL, POINTS_SQL) + f"""
-SELECT meeting_date, event_id, is_primary, any_hike AS top_is_any_hike, date, CAST(asof_date AS DATE) AS asof_date, in_window, {big(POINT_COUNTS)}, {r6(POINT_NUMBERS)} FROM pl
+SELECT meeting_date, event_id, is_primary, any_hike AS top_is_any_hike, date, CAST(asof_date AS DATE) AS asof_date, in_window, {big(POINT_COUNTS)}, {r9(POINT_NUMBERS)} FROM pl
 """)
 def ladder_two_level(t: Tables) -> DataFrame:
     rows = panel(t)["point_ladder_daily"].select("meeting_date", "event_id", "is_primary", "top_is_any_hike", "date", "asof_date",
@@ -63,10 +63,10 @@ def event_links(t: Tables) -> DataFrame:
 
 
 @query("contract_bars", with_sql(SPINE_SQL, BARS_SQL) + """
-SELECT meeting_date, date, source, contract, round(settle, 8) AS settle, volume, is_partial, pre_decision, CAST(days_to_decision AS INT) AS days_to_decision, in_month AS in_meeting_month FROM zq
+SELECT meeting_date, date, source, contract, round(settle, 9) AS settle, volume, is_partial, pre_decision, CAST(days_to_decision AS INT) AS days_to_decision, in_month AS in_meeting_month FROM zq
 """)
 def contract_bars(t: Tables) -> DataFrame:
-    return panel(t)["contract_bars"].select("meeting_date", "date", "source", "contract", F.round("settle", 8).alias("settle"), "volume",
+    return panel(t)["contract_bars"].select("meeting_date", "date", "source", "contract", F.round("settle", 9).alias("settle"), "volume",
                                             "is_partial", "pre_decision", "days_to_decision", "in_meeting_month")
 
 
@@ -79,7 +79,7 @@ IMPLIED_NUMBERS = {"fut_settle": "settle", "rate_pre": "rate_pre", "delta": "del
 
 @query("implied_probability", with_sql(SPINE_SQL, LADDER_SQL, POINTS_SQL, BARS_SQL, IMPLIED_SQL) + """
 SELECT meeting_date, date, source, contract, is_partial, pre_decision, rate_pre_date, prev_meeting_date, move IS NOT NULL AS implied_defined, """ + ", ".join(
-    f"round({sql}, 6) AS {name}" for name, sql in IMPLIED_NUMBERS.items()) + " FROM cx")
+    f"round({sql}, 9) AS {name}" for name, sql in IMPLIED_NUMBERS.items()) + " FROM cx")
 def implied_probability(t: Tables) -> DataFrame:
     return rounded(panel(t)["implied_daily"].select(
         "meeting_date", "date", "source", "contract", "is_partial", "pre_decision", "rate_pre_date", "prev_meeting_date",
@@ -97,7 +97,7 @@ BASIS_NUMBERS = {"basis_ladder_bp": "(k_fair - settle) * 100", "basis_points_bp"
 SELECT meeting_date, date, contract, pre_decision, any_hike AS points_top_is_any_hike,
        (k_sum BETWEEN 0.95 AND 1.10 AND n_legs_quoted = 5 AND COALESCE(k_stale, 99) <= 1) AS ladder_ok,
        (COALESCE(p_half, 0) = 0 AND p_sum BETWEEN 0.95 AND 1.10 AND COALESCE(p_stale, 99) <= 1) AS points_ok, """ + ", ".join(
-    f"round({sql}, 6) AS {name}" for name, sql in BASIS_NUMBERS.items()) + " FROM cx")
+    f"round({sql}, 9) AS {name}" for name, sql in BASIS_NUMBERS.items()) + " FROM cx")
 def basis_panel(t: Tables) -> DataFrame:
     return rounded(panel(t)["basis_daily"].select("meeting_date", "date", "contract", "pre_decision", "points_top_is_any_hike",
                                                   "ladder_ok", "points_ok", *BASIS_NUMBERS))
@@ -107,11 +107,11 @@ def basis_panel(t: Tables) -> DataFrame:
 c AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM rate), (SELECT max(date) FROM rate), INTERVAL 1 DAY)) AS DATE) AS date),
 mm AS (SELECT strftime(c.date, '%Y-%m') AS ym, avg(rate.effr) AS m, count(*) AS n_days FROM c ASOF LEFT JOIN rate ON c.date >= rate.date GROUP BY 1),
 zl AS (SELECT strftime(date, '%Y-%m') AS ym, arg_max(settle, date) AS settle, max(date) AS last_date FROM z WHERE contract = 'ZQ=F' GROUP BY 1)
-SELECT ym, n_days, round(m, 6) AS month_mean, round(settle, 6) AS settle, last_date, round((settle - (100 - m)) * 100, 4) AS diff_bp FROM mm JOIN zl USING (ym)
+SELECT ym, n_days, round(m, 9) AS month_mean, round(settle, 9) AS settle, last_date, round((settle - (100 - m)) * 100, 8) AS diff_bp FROM mm JOIN zl USING (ym)
 """)
 def settlement(t: Tables) -> DataFrame:
-    return panel(t)["settlement_check"].select("ym", "n_days", F.round("month_mean", 6).alias("month_mean"), F.round("settle", 6).alias("settle"),
-                                               "last_date", F.round("diff_bp", 4).alias("diff_bp"))
+    return panel(t)["settlement_check"].select("ym", "n_days", F.round("month_mean", 9).alias("month_mean"), F.round("settle", 9).alias("settle"),
+                                               "last_date", F.round("diff_bp", 8).alias("diff_bp"))
 
 
 COVERAGE_COUNTS = ["ladder_bars_day", "ladder_trades", "points_decision_events", "points_decision_hourly", "points_other_events", "points_other_hourly",
@@ -124,7 +124,7 @@ kt AS (SELECT strftime(o_orderdate, '%Y-%m') AS event_id, count(*) AS n FROM ord
 pr AS (SELECT pe.meeting_date, pe.role, count(DISTINCT pe.event_id) AS n_events, count(pp.ts) AS n_rows FROM pe LEFT JOIN pp USING (event_id) GROUP BY 1, 2),
 zr AS (SELECT meeting_date, count(*) AS n, count(*) FILTER (WHERE pre_decision) AS n_pre, count(*) FILTER (WHERE in_month) AS n_in FROM zq GROUP BY 1),
 br AS (SELECT meeting_date, count(*) FILTER (WHERE (k_fair - settle) IS NOT NULL AND pre_decision) AS nk, count(*) FILTER (WHERE (p_fair - settle) IS NOT NULL AND pre_decision) AS np FROM cx GROUP BY 1)
-SELECT s.meeting_date, s.change_bp AS realized_change_bp, kc.d0 AS ladder_first_day, kc.d1 AS ladder_last_day, kc.v AS ladder_volume,
+SELECT s.meeting_date, s.change_bp AS realized_change_bp, kc.d0 AS ladder_first_day, kc.d1 AS ladder_last_day, CAST(kc.v AS DOUBLE) AS ladder_volume,
        COALESCE(kc.n, 0) AS ladder_bars_day, COALESCE(kt.n, 0) AS ladder_trades, COALESCE(a.n_events, 0) AS points_decision_events, COALESCE(a.n_rows, 0) AS points_decision_hourly,
        COALESCE(b.n_events, 0) AS points_other_events, COALESCE(b.n_rows, 0) AS points_other_hourly, COALESCE(zr.n, 0) AS contract_rows_total,
        COALESCE(zr.n_pre, 0) AS contract_rows_pre_decision, COALESCE(zr.n_in, 0) AS contract_rows_in_month, COALESCE(br.nk, 0) AS basis_days_ladder, COALESCE(br.np, 0) AS basis_days_points

@@ -85,9 +85,9 @@ def month_fraction(t: Tables) -> DataFrame:
 WITH y AS (SELECT unnest(generate_series(1994, 2003)) AS y),
 fixed AS (SELECT make_date(y, m, d) AS h FROM y, (VALUES (1, 1), (7, 4), (11, 11), (12, 25)) v(m, d)),
 observed AS (SELECT CASE isodow(h) WHEN 6 THEN h - 1 WHEN 7 THEN h + 1 ELSE h END AS h FROM fixed),
-nth AS (SELECT make_date(y, m, 1) + (w - isodow(make_date(y, m, 1)) + 7) % 7 + 7 * (k - 1) AS h
+nth AS (SELECT make_date(y, m, 1) + CAST((w - isodow(make_date(y, m, 1)) + 7) % 7 + 7 * (k - 1) AS INT) AS h
         FROM y, (VALUES (1, 1, 3), (2, 1, 3), (9, 1, 1), (10, 1, 2), (11, 4, 4)) v(m, w, k)),
-memorial AS (SELECT make_date(y, 5, 31) - (isodow(make_date(y, 5, 31)) - 1) AS h FROM y),
+memorial AS (SELECT make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INT) AS h FROM y),
 closed AS (SELECT CAST(h AS DATE) AS h FROM observed UNION SELECT CAST(h AS DATE) FROM nth UNION SELECT CAST(h AS DATE) FROM memorial),
 open_days AS (SELECT CAST(c AS DATE) AS c FROM (SELECT unnest(generate_series(DATE '1994-12-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS c)
               WHERE isodow(c) < 6 AND CAST(c AS DATE) NOT IN (SELECT h FROM closed))

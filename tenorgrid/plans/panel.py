@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 
@@ -10,41 +10,73 @@ from tenorgrid.functions.fixed import EVENT_PREFIX
 from tenorgrid.plans import coverage as cov
 from tenorgrid.plans import futures as fut
 from tenorgrid.plans import ladder as lad
+from tenorgrid.plans import quality
 from tenorgrid.plans import spine as sp
 from tenorgrid.sources.sinks import register_views
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
+INPUTS = ("spine", "quote_bars", "trades", "ladder_markets", "points", "point_markets", "futures", "rates")
 
-def build_panel(raw: Mapping[str, DataFrame], fetched_day: Column, keep: Keep = lambda name, df: df,
-                event_prefix: str = EVENT_PREFIX) -> dict[str, DataFrame]:
-    """Tables of the panel from typed inputs.
 
-    Inputs: ``spine``, ``quote_bars``, ``trades``, ``ladder_markets``, ``points``, ``point_markets``, ``futures``,
-    ``rates``. ``keep(name, df)`` decides what is written out: the two dense grids are read by several later
-    tables, so pass e.g. ``lambda n, df: materialise(df, f"panel.{n}")`` to build each once.
+class Panel(Mapping[str, DataFrame]):
+    """Tables of the panel by name, each defined when first asked for.
+
+    Inputs are the typed tables named in ``INPUTS``; where an input is enriched (quote bars, futures) the table of
+    that name is the enriched one. ``keep(name, df)`` decides what is written out. The spine is joined by almost
+    every stage and the two dense grids feed several tables, so a production build passes
+    ``lambda name, df: materialise(df, f"panel.{name}")`` to compute each of them once.
     """
-    t = dict(raw)
-    t["windows"] = sp.decision_windows(t["spine"])
-    t["quote_bars"] = lad.quote_bars(raw["quote_bars"])
-    t["futures"] = fut.futures_bars(raw["futures"], fetched_day)
-    t["rates_wide"] = fut.rates_wide(raw["rates"])
-    t["rate_calendar"] = fut.rate_calendar(t["rates_wide"])
-    t["links"] = sp.link_events(t["spine"], raw["point_markets"])
-    t["daily_quotes"] = keep("daily_quotes", lad.daily_quotes(t["quote_bars"], event_prefix))
-    t["daily_points"] = keep("daily_points", lad.daily_points(raw["points"], raw["point_markets"]))
-    t["ladder_daily"] = lad.ladder_daily(t["daily_quotes"], t["spine"], t["windows"])
-    t["point_ladder_daily"] = lad.point_ladder_daily(t["daily_points"], t["links"], t["windows"])
-    t["contract_bars"] = fut.contract_bars(t["spine"], t["futures"])
-    t["implied_daily"] = fut.implied_daily(t["contract_bars"], t["spine"], t["windows"], t["rates_wide"],
-                                           t["ladder_daily"], t["point_ladder_daily"])
-    t["basis_daily"] = keep("basis_daily", fut.basis_daily(t["implied_daily"]))
-    t["settlement_check"] = fut.settlement_check(t["futures"].where("is_continuous"), t["rate_calendar"], within_days=None)
-    t["coverage_matrix"] = cov.coverage(t["spine"], t["quote_bars"], t["trades"], t["links"], t["points"],
-                                        t["contract_bars"], t["basis_daily"])
-    return t
-
-
-def publish(tables: Mapping[str, DataFrame], prefix: str = "v_") -> list[str]:
-    """Register every table as a view for SQL use."""
-    return register_views({f"{prefix}{name}": df for name, df in tables.items()})
+
+    def __init__(self, raw: Mapping[str, DataFrame], fetched_day: Column, keep: Keep = lambda name, df: df,
+                 event_prefix: str = EVENT_PREFIX):
+        self.raw = raw
+        self.fetched_day = fetched_day
+        self.keep = keep
+        self.event_prefix = event_prefix
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            if name in STAGES:
+                df = STAGES[name](self)
+                self._made[name] = self.keep(name, df) if name in KEPT else df
+            else:
+                self._made[name] = self.raw[name]
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*(n for n in self.raw if n not in STAGES), *STAGES])
+
+    def __len__(self) -> int:
+        return len(list(iter(self)))
+
+    def publish(self, prefix: str = "v_") -> list[str]:
+        """Register every table as a view for SQL use."""
+        return register_views({f"{prefix}{name}": self[name] for name in self})
+
+
+STAGES: dict[str, Callable[[Panel], DataFrame]] = {
+    "windows": lambda p: sp.decision_windows(p["spine"]),
+    "quote_bars": lambda p: lad.quote_bars(p.raw["quote_bars"]),
+    "futures": lambda p: fut.futures_bars(p.raw["futures"], p.fetched_day),
+    "rates_wide": lambda p: fut.rates_wide(p["rates"]),
+    "rate_calendar": lambda p: fut.rate_calendar(p["rates_wide"]),
+    "links": lambda p: sp.link_events(p["spine"], p["point_markets"]),
+    "daily_quotes": lambda p: lad.daily_quotes(p["quote_bars"], p.event_prefix),
+    "daily_points": lambda p: lad.daily_points(p["points"], p["point_markets"]),
+    "ladder_daily": lambda p: lad.ladder_daily(p["daily_quotes"], p["spine"], p["windows"]),
+    "point_ladder_daily": lambda p: lad.point_ladder_daily(p["daily_points"], p["links"], p["windows"]),
+    "contract_bars": lambda p: fut.contract_bars(p["spine"], p["futures"]),
+    "implied_daily": lambda p: fut.implied_daily(p["contract_bars"], p["spine"], p["windows"], p["rates_wide"],
+                                                 p["ladder_daily"], p["point_ladder_daily"]),
+    "basis_daily": lambda p: fut.basis_daily(p["implied_daily"]),
+    "settlement_check": lambda p: fut.settlement_check(p["futures"].where("is_continuous"), p["rate_calendar"],
+                                                       within_days=None),
+    "coverage_matrix": lambda p: cov.coverage(p["spine"], p["quote_bars"], p["trades"], p["links"], p["points"],
+                                              p["contract_bars"], p["basis_daily"]),
+    "checks": lambda p: quality.run_checks(p),
+}
+
+# Tables that several later stages read.
+KEPT = {"windows", "links", "daily_quotes", "daily_points", "basis_daily"}
