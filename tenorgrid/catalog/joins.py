@@ -38,7 +38,7 @@ def join_left(t: Tables) -> DataFrame:
 @query("join_left_multi", """
 WITH d AS (SELECT event_type, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY ALL),
 q AS (SELECT event_type, CAST(ts AS DATE) AS date, CAST(ts AS DATE) + 1 AS asof_date, max(value) AS e_move, min(value) AS floor
-      FROM events WHERE user_id % 2 = 0 GROUP BY ALL)
+      FROM events WHERE value > 8 GROUP BY ALL)
 SELECT d.event_type, d.date, d.n, a.e_move AS q_e_move, a.floor AS q_floor, s.e_move AS q_e_move_sameday
 FROM d LEFT JOIN q a ON a.event_type = d.event_type AND a.asof_date = d.date
        LEFT JOIN q s ON s.event_type = d.event_type AND s.date = d.date
@@ -46,7 +46,7 @@ FROM d LEFT JOIN q a ON a.event_type = d.event_type AND a.asof_date = d.date
 def join_left_multi(t: Tables) -> DataFrame:
     e = t.events.withColumn("date", F.to_date("ts"))
     days = e.groupBy("event_type", "date").agg(F.count("*").alias("n"))
-    quotes = e.where(F.col("user_id") % 2 == 0).groupBy("event_type", "date").agg(
+    quotes = e.where(F.col("value") > 8).groupBy("event_type", "date").agg(
         F.max("value").alias("e_move"), F.min("value").alias("floor")).withColumn("asof_date", F.date_add("date", 1))
     both = asof_and_same_day(quotes, "event_type", "q", ["e_move", "floor"], "e_move")
     return days.join(both, ["event_type", "date"], "left")
@@ -65,8 +65,8 @@ def join_or_split(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", d.alias("date"), "l_extendedprice", "l_returnflag",
                               F.date_format(F.date_add(d, 20), "yyyy-MM").alias("contract_ym"), F.date_format(d, "yyyy-MM").alias("bar_ym"))
     rows = join_split(months, lines, [
-        (F.col("source") == "contract", F.col("l_returnflag") != "N", [("ym", "contract_ym")]),
-        (F.col("source") == "continuous_in_month", F.col("l_returnflag") == "N", [("ym", "bar_ym")]),
+        (F.col("source") == "contract", F.col("ym"), F.col("l_returnflag") != "N", F.col("contract_ym")),
+        (F.col("source") == "continuous_in_month", F.col("ym"), F.col("l_returnflag") == "N", F.col("bar_ym")),
     ])
     return rows.drop("contract_ym", "bar_ym", "l_returnflag")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tenorgrid.catalog.registry import Tables, query
+from tenorgrid.functions.times import local_date
 from tenorgrid.operators.aggregates import last_value
 from tenorgrid.operators.dedup import dedup_ordered, upsert
 from tenorgrid.operators.grid import date_series, dense_ffill
@@ -62,7 +63,7 @@ GROUP BY event_id, p
 def variety(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", F.unix_seconds("ts").alias("t"), (F.round(F.col("value") / 20) / 10).alias("p"))
     out = variety_gate(rows, ["user_id"], "t", "p", 172800)
-    return out.select("event_id", "p", F.col("n_distinct").cast("bigint").alias("n_distinct"), "is_live")
+    return out.select("event_id", "p", "n_distinct", "is_live")
 
 
 DAILY_SQL = """
@@ -73,8 +74,6 @@ legs AS (SELECT DISTINCT event_id, market_id, outcome FROM b)"""
 
 def daily_legs(t: Tables) -> DataFrame:
     """Last value per leg and local day; the last value is NULL when it is out of range."""
-    from tenorgrid.functions.times import local_date
-
     return t.events.groupBy(
         (F.col("user_id") % 10).alias("event_id"), F.col("user_id").alias("market_id"), F.col("event_type").alias("outcome"),
         local_date(F.unix_seconds("ts")).alias("date")).agg(
@@ -118,15 +117,11 @@ def gap_detect(t: Tables) -> DataFrame:
 
 
 @query("sort_multi", """
-SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS o_date, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey) AS pos
-FROM orders
+SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS DATE) AS o_date, o_totalprice FROM orders ORDER BY o_date, o_orderpriority, o_totalprice DESC, o_orderkey
 """)
 def sort_multi(t: Tables) -> DataFrame:
-    # A position within the day makes the order visible in an unordered comparison.
-    w = Window.partitionBy("o_date").orderBy("o_orderpriority", F.desc("o_totalprice"), "o_orderkey")
-    rows = t.orders.withColumn("o_date", F.to_date("o_orderdate"))
-    return rows.select("o_orderkey", "o_orderpriority", "o_date", F.row_number().over(w).cast("bigint").alias("pos")).orderBy(
-        "o_date", "pos")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("o_date"), "o_totalprice")
+    return rows.orderBy("o_date", "o_orderpriority", F.desc("o_totalprice"), "o_orderkey")
 
 
 @query("topk_abs", """

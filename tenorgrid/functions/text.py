@@ -79,9 +79,25 @@ def classify_question(c: Column | str) -> Column:
     )
     n_cut, cut_plus, cut = sized("CUT", CUT_SIZE)
     n_hike, hike_plus, hike = sized("HIKE", HIKE_SIZE)
-    is_cut, is_hike = s.rlike(CUT_SIZE), s.rlike(HIKE_SIZE)
 
-    rules = [
+    def first(rules: list[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
+        out = F.when(*rules[0])
+        for cond, value in rules[1:]:
+            out = out.when(cond, value)
+        return out if otherwise is None else out.otherwise(otherwise)
+
+    cut_label = first([
+        ((n_cut == 25) & ~cut_plus, label("CUT25", cut)),
+        (n_cut == 25, label("OTHER", cut, NOTES["cut25p"])),
+        (n_cut >= 50, label("CUT50P", cut)),
+    ], label("OTHER", cut, NOTES["cut"]))
+    hike_label = first([
+        (n_hike == 0, label("HOLD", "HOLD_0BP")),
+        ((n_hike == 25) & ~hike_plus, label("HIKE25", hike)),
+        (n_hike == 25, label("HIKE50P", hike, NOTES["hike25p"])),
+        (n_hike >= 50, label("HIKE50P", hike)),
+    ], label("OTHER", hike, NOTES["hike"]))
+    return first([
         (s.contains(COMBO), label("OTHER", combo, NOTES["combo"])),
         (s.contains(DISSENT), label("OTHER", "DISSENT_INDIVIDUAL", NOTES["dissent"])),
         (s.rlike(PATH_PATTERN), label("OTHER", path, NOTES["path"])),
@@ -91,20 +107,10 @@ def classify_question(c: Column | str) -> Column:
         (s.contains(CATCH_ALL), label("OTHER", "CATCHALL_OTHER_LEVEL", NOTES["catch_all"])),
         (s.contains(THRESHOLD), label("OTHER", threshold, NOTES["threshold"])),
         (s.rlike(NO_CHANGE), label("HOLD", "HOLD")),
-        (is_cut & (n_cut == 25) & ~cut_plus, label("CUT25", cut)),
-        (is_cut & (n_cut == 25), label("OTHER", cut, NOTES["cut25p"])),
-        (is_cut & (n_cut >= 50), label("CUT50P", cut)),
-        (is_cut, label("OTHER", cut, NOTES["cut"])),
-        (is_hike & (n_hike == 0), label("HOLD", "HOLD_0BP")),
-        (is_hike & (n_hike == 25) & ~hike_plus, label("HIKE25", hike)),
-        (is_hike & (n_hike == 25), label("HIKE50P", hike, NOTES["hike25p"])),
-        (is_hike & (n_hike >= 50), label("HIKE50P", hike)),
-        (is_hike, label("OTHER", hike, NOTES["hike"])),
-    ]
-    out = F.when(*rules[0])
-    for cond, value in rules[1:]:
-        out = out.when(cond, value)
-    return out.when(s.isNotNull(), label("OTHER", "UNMAPPED", NOTES["unmapped"]))
+        (s.rlike(CUT_SIZE), cut_label),
+        (s.rlike(HIKE_SIZE), hike_label),
+        (s.isNotNull(), label("OTHER", "UNMAPPED", NOTES["unmapped"])),
+    ])
 
 
 def parse_symbol(c: Column | str) -> Column:

@@ -10,26 +10,22 @@ from tenorgrid.operators.dedup import dedup_keep_last
 from tenorgrid.operators.skew import salted_join
 
 
-def join_split(left: DataFrame, right: DataFrame,
-               branches: Sequence[tuple[Column, Column | None, Sequence[tuple[str, str]]]]) -> DataFrame:
-    """Inner join on a disjunction whose branches exclude each other: one equality join per branch, stacked.
+def join_split(dim: DataFrame, facts: DataFrame, branches: Sequence[tuple[Column, Column, Column, Column]]) -> DataFrame:
+    """Inner join on a disjunction whose branches exclude each other on the dimension side.
 
-    A branch is (left predicate, right predicate, [(left column, right column), ...]); an OR in one join
-    condition would compare all pairs.
+    A branch is (dimension predicate, dimension key, fact predicate, fact key); keys of all branches share a
+    type. An OR as join condition would compare all pairs. Here a fact offers one key per branch it satisfies,
+    a dimension row asks for the key of its branch, and (branch, key) is one equality join: the facts are read
+    and moved once.
     """
-    parts = []
-    for keep_left, keep_right, pairs in branches:
-        l = left.where(keep_left)
-        r = right if keep_right is None else right.where(keep_right)
-        cond = None
-        for a, b in pairs:
-            eq = l[a] == r[b]
-            cond = eq if cond is None else cond & eq
-        parts.append(l.join(r, cond, "inner"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    on = ["__branch", "__key"]
+    side = lambda i, key: F.struct(F.lit(i).alias("branch"), key.alias("key"))
+    asked = F.coalesce(*(F.when(keep, side(i, key)) for i, (keep, key, _, _) in enumerate(branches)))
+    offers = F.array_compact(F.array(*(F.when(keep, side(i, key)) for i, (_, _, keep, key) in enumerate(branches))))
+    flat = lambda df, s: df.withColumns({"__branch": s["branch"], "__key": s["key"]})
+    d = flat(dim.withColumn("__s", asked).where("__s IS NOT NULL"), F.col("__s")).drop("__s")
+    f = flat(facts.withColumn("__s", F.explode(offers)), F.col("__s")).drop("__s")
+    return salted_join(f, d, on, "inner").drop(*on)
 
 
 def nearest_match(df: DataFrame, d: str, dim: DataFrame, dim_d: str, tol_days: int, out: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenorgrid.operators.skew import Bucket, carry_forward, salted_join
+from tenorgrid.operators.skew import Bucket, carry_forward, per_seconds, running_total, salted_join
 
 
 def previous_row(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], out: str = "prev",
@@ -67,21 +67,31 @@ def rank_primary(df: DataFrame, by: Sequence[str], value: str, key: str, out: st
 
 
 def variety_gate(df: DataFrame, by: Sequence[str], t: str, value: str, window_s: int, lo: float = 0.05,
-                 hi: float = 0.95, min_distinct: int = 2) -> DataFrame:
+                 hi: float = 0.95, min_distinct: int = 2, bucket: Bucket | None = None) -> DataFrame:
     """Distinct values of the trailing window, counted only for values in [lo, hi], and whether they suffice.
 
-    ``t`` is epoch seconds; the window is closed on both ends. Time is cut into buckets one window long, and
-    each row is also sent to the next bucket as context: a bucket then holds all its rows can look back on,
-    and a hot key is spread over its buckets.
+    ``t`` is epoch seconds; the window is closed on both ends. A value counts from an occurrence until one
+    window after it, and repeats within that time only extend its stay. The count at a time is therefore a
+    running total of +1 where a stay begins and -1 where it ends, which needs no list of values per row.
     """
-    b = F.floor(F.col(t) / F.lit(window_s)).cast("long")
-    halves = F.array(F.struct(b.alias("b"), F.lit(True).alias("own")), F.struct((b + 1).alias("b"), F.lit(False).alias("own")))
-    rows = df.withColumn("__p", F.explode(halves))
-    w = (Window.partitionBy(*by, "__p.b").orderBy(t).rangeBetween(-window_s, 0))
-    live = F.when(F.col(value).between(lo, hi), F.col(value))
-    counted = rows.withColumn("n_distinct", F.size(F.collect_set(live).over(w))).where("__p.own").drop("__p")
-    gated = F.when(F.col(value).between(lo, hi), F.col("n_distinct") >= min_distinct).otherwise(F.lit(True))
-    return counted.withColumn("is_live", gated)
+    bucket = bucket or per_seconds(window_s)
+    counted = F.col(value).between(lo, hi)
+    seen = df.where(counted).select(*by, value, t).distinct()
+    stays = previous_row(seen, [*by, value], [t], [t], "__prev", bucket)
+    before = F.col(f"__prev.{t}")
+    begins = stays.where(before.isNull() | (F.col(t) - before > window_s))
+    step = lambda at, n: F.struct(at.cast("long").alias("at"), F.lit(n).cast("long").alias("n"))
+    changes = begins.select(*by, F.explode(F.array_compact(F.array(
+        step(F.col(t), 1), F.when(before.isNotNull(), step(before + window_s + 1, -1))))).alias("c"))
+    last = seen.groupBy(*by, value).agg(F.max(t).alias("__last"))
+    changes = changes.unionByName(last.select(*by, step(F.col("__last") + window_s + 1, -1).alias("c")))
+    steps = changes.groupBy(*by, F.col("c.at").alias("__t")).agg(F.sum("c.n").alias("__n")).withColumn("__tag", F.lit(0))
+    rows = df.select(*by, F.col(t).cast("long").alias("__t"), F.lit(0).cast("long").alias("__n"), F.lit(1).alias("__tag"),
+                     F.struct("*").alias("__in"))
+    totals = running_total(rows.unionByName(steps, allowMissingColumns=True), by, ["__t", "__tag"], F.col("__n"),
+                           "n_distinct", bucket)
+    out = totals.where(F.col("__tag") == 1).select("__in.*", "n_distinct")
+    return out.withColumn("is_live", F.when(counted, F.col("n_distinct") >= min_distinct).otherwise(F.lit(True)))
 
 
 def top_abs(df: DataFrame, c: str | Column, k: int, *ties: str) -> DataFrame:

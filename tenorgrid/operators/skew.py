@@ -42,6 +42,27 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return left.withColumn(salt, row_salt(left, salts)).join(spread, [*on, salt], how).drop(salt)
 
 
+def _enter_buckets(rows: DataFrame, heads: DataFrame, by: Sequence[str], order: Sequence[str], x: str) -> tuple[DataFrame, list]:
+    """Rows packed with one extra first row per bucket that brings ``x`` in from the earlier buckets.
+
+    Returns the stacked table and the ordering inside a bucket. ``__own`` is 1 on real rows.
+    """
+    kept = [c for c in rows.columns if c not in (*by, _BUCKET, x)]
+    body = rows.select(*by, _BUCKET, F.lit(1).alias("__own"), x, F.struct(*kept).alias("__row"))
+    first = heads.select(*by, _BUCKET, F.lit(0).alias("__own"), x,
+                         F.lit(None).cast(body.schema["__row"].dataType).alias("__row"))
+    ordering = [F.col("__own"), *(F.col(f"__row.{c}") if c in kept else F.col(c) for c in order)]
+    return body.unionByName(first), ordering
+
+
+def _unpack(stacked: DataFrame, by: Sequence[str], columns: Sequence[str], out: str) -> DataFrame:
+    return stacked.where(F.col("__own") == 1).select(
+        *(F.col(c) if c in by else F.col(f"__row.{c}").alias(c) for c in columns), out)
+
+
+_BUCKET, _X, _TAIL = "__bucket", "__x", "__tail"
+
+
 def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], payload: Column, out: str,
                   bucket: Bucket | None = None) -> DataFrame:
     """Last non-NULL ``payload`` over the rows strictly before each row, per ``by`` in ``order``.
@@ -51,25 +72,33 @@ def carry_forward(df: DataFrame, by: Sequence[str], order: Sequence[str], payloa
     is aggregated, carried over the short list of buckets, and enters its bucket as a first row. The result is
     the same, and no task ever holds more than one bucket of one key.
     """
-    pay = "__payload"
-    rows = df.withColumn(pay, payload)
+    rows = df.withColumn(_X, payload)
     if bucket is None:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumn(out, F.last(pay, ignorenulls=True).over(w)).drop(pay)
-
-    b, own, row, tail = "__bucket", "__own", "__row", "__tail"
-    rows = rows.withColumn(b, bucket(F.col(order[0])))
-    tails = rows.groupBy(*by, b).agg(
-        F.max(F.when(F.col(pay).isNotNull(), F.struct(*order, F.col(pay)))).alias(tail))
-    past = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    heads = tails.select(*by, b, F.last(F.col(f"{tail}.{pay}"), ignorenulls=True).over(past).alias(pay)).where(
-        F.col(pay).isNotNull())
-
-    kept = [c for c in df.columns if c not in by]
-    body = rows.select(*by, b, F.lit(1).alias(own), pay, F.struct(*kept).alias(row))
-    first = heads.select(*by, b, F.lit(0).alias(own), pay, F.lit(None).cast(body.schema[row].dataType).alias(row))
-    within = (Window.partitionBy(*by, b).orderBy(own, *(F.col(f"{row}.{c}") if c in kept else F.col(c) for c in order))
-              .rowsBetween(Window.unboundedPreceding, -1))
-    out_rows = body.unionByName(first).withColumn(out, F.last(pay, ignorenulls=True).over(within)).where(
-        F.col(own) == 1)
-    return out_rows.select(*(F.col(c) if c in by else F.col(f"{row}.{c}").alias(c) for c in df.columns), out)
+        return rows.withColumn(out, F.last(_X, ignorenulls=True).over(w)).drop(_X)
+
+    rows = rows.withColumn(_BUCKET, bucket(F.col(order[0])))
+    tails = rows.groupBy(*by, _BUCKET).agg(
+        F.max(F.when(F.col(_X).isNotNull(), F.struct(*order, F.col(_X)))).alias(_TAIL))
+    past = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    heads = tails.select(*by, _BUCKET, F.last(F.col(f"{_TAIL}.{_X}"), ignorenulls=True).over(past).alias(_X))
+    stacked, ordering = _enter_buckets(rows, heads.where(F.col(_X).isNotNull()), by, order, _X)
+    within = Window.partitionBy(*by, _BUCKET).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
+    return _unpack(stacked.withColumn(out, F.last(_X, ignorenulls=True).over(within)), by, df.columns, out)
+
+
+def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], amount: Column, out: str,
+                  bucket: Bucket | None = None) -> DataFrame:
+    """Sum of ``amount`` up to and including each row, per ``by`` in ``order``; bucketed like ``carry_forward``."""
+    rows = df.withColumn(_X, amount)
+    if bucket is None:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(out, F.sum(_X).over(w)).drop(_X)
+
+    rows = rows.withColumn(_BUCKET, bucket(F.col(order[0])))
+    totals = rows.groupBy(*by, _BUCKET).agg(F.sum(_X).alias(_X))
+    past = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    heads = totals.select(*by, _BUCKET, F.sum(_X).over(past).alias("__sum")).withColumnRenamed("__sum", _X)
+    stacked, ordering = _enter_buckets(rows, heads.where(F.col(_X).isNotNull()), by, order, _X)
+    within = Window.partitionBy(*by, _BUCKET).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
+    return _unpack(stacked.withColumn(out, F.sum(_X).over(within)), by, df.columns, out)

@@ -121,9 +121,9 @@ def trailing_bounds(points: DataFrame, ends: DataFrame, now: Column, days: int =
 
 def trailing_trim(points: DataFrame, bounds: DataFrame, fidelity: int = MINUTE_BAR) -> DataFrame:
     """Keep all other resolutions, and of this one the points inside their token's window."""
-    fine = salted_join(points.where(F.col("fidelity") == fidelity), bounds.drop("market_id"), ["token_id"], "inner")
-    fine = fine.where(F.col("ts").between(F.col("keep_from"), F.col("keep_until"))).select(*points.columns)
-    return points.where(F.col("fidelity") != fidelity).unionByName(fine)
+    rows = salted_join(points, bounds.select("token_id", "keep_from", "keep_until"), ["token_id"])
+    inside = F.coalesce(F.col("ts").between(F.col("keep_from"), F.col("keep_until")), F.lit(False))
+    return rows.where((F.col("fidelity") != fidelity) | inside).select(*points.columns)
 
 
 def anomaly_rows(checks: Mapping[str, tuple[DataFrame, Column, Column]]) -> DataFrame:

@@ -45,8 +45,8 @@ def contract_bars(spine: DataFrame, bars: DataFrame) -> DataFrame:
     b = bars.select("date", "contract", "source_symbol", "open", "high", "low", "close", "settle", "volume",
                     "is_partial", "is_continuous", month_key("date").alias("__ym"))
     rows = join_split(s, b, [
-        (F.col("source") == "contract", None, [("contract_symbol", "contract")]),
-        (F.col("source") == "continuous_in_month", F.col("is_continuous"), [("meeting_month", "__ym")]),
+        (F.col("source") == "contract", F.col("contract_symbol"), F.lit(True), F.col("contract")),
+        (F.col("source") == "continuous_in_month", F.col("meeting_month"), F.col("is_continuous"), F.col("__ym")),
     ])
     return rows.withColumns({
         "pre_decision": F.col("date") < F.col("meeting_date"),

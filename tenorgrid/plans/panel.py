@@ -62,7 +62,7 @@ STAGES: dict[str, Callable[[Panel], DataFrame]] = {
     "futures": lambda p: fut.futures_bars(p.raw["futures"], p.fetched_day),
     "rates_wide": lambda p: fut.rates_wide(p["rates"]),
     "rate_calendar": lambda p: fut.rate_calendar(p["rates_wide"]),
-    "links": lambda p: sp.link_events(p["spine"], p["point_markets"]),
+    "links": lambda p: sp.link_events(sp.spine_links(p["spine"]), p["point_markets"]),
     "daily_quotes": lambda p: lad.daily_quotes(p["quote_bars"], p.event_prefix),
     "daily_points": lambda p: lad.daily_points(p["points"], p["point_markets"]),
     "ladder_daily": lambda p: lad.ladder_daily(p["daily_quotes"], p["spine"], p["windows"]),

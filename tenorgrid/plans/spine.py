@@ -12,6 +12,7 @@ from tenorgrid.functions.values import bucket_change, lookup
 from tenorgrid.operators.aggregates import set_collapse
 from tenorgrid.operators.ordered import rank_primary, window_starts
 from tenorgrid.operators.sets import union_tagged, unnest_array
+from tenorgrid.operators.skew import salted_join
 from tenorgrid.sources.schemas import SPINE
 
 
@@ -109,18 +110,30 @@ def decision_windows(spine: DataFrame) -> DataFrame:
     })
 
 
-def link_events(spine: DataFrame, markets: DataFrame) -> DataFrame:
+def spine_links(spine: DataFrame) -> DataFrame:
+    """(``meeting_date``, ``event_id``, ``role``) from the spine's event lists."""
+    role = lambda array: unnest_array(spine.select("meeting_date", array), array, "event_id")
+    return union_tagged({"decision": role("point_events_decision"), "other": role("point_events_other")}, "role")
+
+
+def dated_links(point_events: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The same links straight from the events (``event_id``, ``title``, ``end``), without lists per decision."""
+    dated = point_events.select("event_id", F.substring("end", 1, 10).try_cast("date").alias("meeting_date"),
+                                F.when(F.coalesce(F.col("title"), F.lit("")).rlike(DECISION_TITLE), "decision")
+                                .otherwise("other").alias("role"))
+    return dated.join(calendar.select("meeting_date"), "meeting_date", "left_semi").select("meeting_date", "event_id", "role")
+
+
+def link_events(links: DataFrame, markets: DataFrame) -> DataFrame:
     """Event to decision links with role, event totals, and the primary decision event by volume.
 
     The top bucket of an event means any hike when it has a 25-or-more leg and no exact 25 leg.
     """
-    role = lambda array: unnest_array(spine.select("meeting_date", array), array, "event_id")
-    links = union_tagged({"decision": role("point_events_decision"), "other": role("point_events_other")}, "role")
     totals = markets.groupBy("event_id").agg(
         F.sum(F.coalesce("volume", F.lit(0.0))).alias("volume"), F.count("*").alias("n_markets"),
         F.count_if(F.col("outcome") != OTHER).alias("n_canonical_legs"),
         (F.bool_or(F.col("outcome_detail") == "HIKE25P") & ~F.bool_or(F.col("outcome") == "HIKE25")).alias("top_is_any_hike"),
         F.max("event_title").alias("event_title"), F.min(F.col("start_date").try_cast("date")).alias("start_date"),
         F.max(F.col("end_date").try_cast("date")).alias("end_date"))
-    ranked = rank_primary(links.join(totals, "event_id", "left"), ["meeting_date", "role"], "volume", "event_id")
+    ranked = rank_primary(salted_join(links, totals, ["event_id"]), ["meeting_date", "role"], "volume", "event_id")
     return ranked.withColumn("is_primary", (F.col("role") == "decision") & F.col("is_primary"))
