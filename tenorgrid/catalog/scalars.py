@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tenorgrid.catalog.registry import Tables, query
 from tenorgrid.functions.fixed import BAR_END_SHIFT_S
-from tenorgrid.functions.text import classify_question, normalise_text
+from tenorgrid.functions.text import normalise_text
 from tenorgrid.functions.times import (epoch_iso, local_date, month_contract, month_key, next_business_day, time_bucket)
+from tenorgrid.operators.classify import classify_questions
 from tenorgrid.operators.joins import join_dimension_array
 from tenorgrid.plans.spine import calendar_columns
 
@@ -209,5 +210,4 @@ UNION ALL SELECT 'doc', outcome, detail, count(*) FROM doc GROUP BY ALL
 def classify_text(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.lit("line").alias("src"), F.expr(QUESTION_SQL).alias("q"))
     docs = t.documents.select(F.lit("doc").alias("src"), F.col("text").alias("q"))
-    rows = lines.unionByName(docs).select("src", classify_question("q").alias("c"))
-    return rows.groupBy("src", "c.outcome", "c.detail").agg(F.count("*").alias("n"))
+    return classify_questions(lines.unionByName(docs), "q").groupBy("src", "outcome", "detail").agg(F.count("*").alias("n"))

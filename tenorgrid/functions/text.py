@@ -1,4 +1,4 @@
-"""Question, symbol and ticker text to typed columns."""
+"""Symbol, ticker and question text to typed columns."""
 
 from __future__ import annotations
 
@@ -7,110 +7,12 @@ from pyspark.sql import Column, functions as F
 from tenorgrid.functions.fixed import CONTINUOUS_SUFFIX, EVENT_TICKER, MONTH_CODES, MONTH_NAMES
 from tenorgrid.functions.times import as_col
 
-# Phrases and patterns that place a question in a family.
-DISSENT = "dissent"
-COMBO = "fomc decision result in"
-COMBO_PATTERN = r"result in (no change|a 25bp cut|any other outcome) ?(?:with (<=2|>2|<2|>=2) dissents)?"
-COMBO_LEGS = {"no change": "HOLD", "a 25bp cut": "CUT25", "any other outcome": "OTHER"}
-PATH_PHRASES = ["next three decisions", "decide differently"]
-PATH_PATTERN = r"\b(cut|pause|hike)-(cut|pause|hike)-(cut|pause|hike)\b"
-FAVOURED = "favored for fed decision"
-CATCH_ALL = "change rates to another level"
-THRESHOLD = "set interest rates above"
-THRESHOLD_LEVEL = r"above ([0-9.]+)%"
-THRESHOLD_SIZE = r"\((\d+) bps or more\)"
-NO_CHANGE = r"\bno change\b"
-CUT_SIZE = r"\b(decrease|decreases|cut|cuts|lower|lowers)\b.*?\bby (\d+)(\+?) ?bps?"
-HIKE_SIZE = r"\b(increase|increases|raise|raises|hike|hikes)\b.*?\bby (\d+)(\+?) ?bps?"
-NOTES = {
-    "combo": "decision x dissent combo",
-    "dissent": "individual dissent market",
-    "path": "three-decision path market",
-    "path_other": "three-decision path catch-all",
-    "favoured": "which-leg-favored market; outcomes are not Yes/No",
-    "catch_all": "residual catch-all leg",
-    "threshold": "cumulative threshold market (not a single-size bucket)",
-    "cut25p": "cut 25+ spans CUT25 and CUT50P",
-    "cut": "unusual cut size",
-    "hike25p": "'25+ bps hike' leg (any hike) mapped to HIKE50P per canonical rule; detail=HIKE25P",
-    "hike": "unusual hike size",
-    "unmapped": "ambiguous question text",
-}
-
-
 def normalise_text(c: Column | str) -> Column:
     """Lower case, one kind of dash, comparison signs spelled out."""
     s = F.lower(as_col(c))
-    s = F.replace(F.replace(s, F.lit("≤"), F.lit("<=")), F.lit("≥"), F.lit(">="))
-    return F.regexp_replace(s, "[–—-]", "-")
-
-
-def classify_question(c: Column | str) -> Column:
-    """Struct ``(outcome, detail, note)`` of a free-text question. Rules in order; the first that holds wins."""
-    s = normalise_text(c)
-
-    def label(outcome, detail, note=None) -> Column:
-        text = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("string")
-        return F.struct(text(outcome).alias("outcome"), text(detail).alias("detail"), text(note).alias("note"))
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(s, pattern, group)
-
-    def sized(stem: str, pattern: str) -> tuple[Column, Column, Column]:
-        plus = part(pattern, 3) == "+"
-        detail = F.concat(F.lit(stem), part(pattern, 2).try_cast("bigint").cast("string"),
-                          F.when(plus, "P").otherwise(""))
-        return part(pattern, 2).try_cast("bigint"), plus, detail
-
-    leg = part(COMBO_PATTERN, 1)
-    leg_code = F.lit("UNK")
-    for phrase, code in COMBO_LEGS.items():
-        leg_code = F.when(leg == phrase, code).otherwise(leg_code)
-    dissents = part(COMBO_PATTERN, 2)
-    combo = F.concat(F.lit("COMBO_"), leg_code,
-                     F.when(dissents != "", F.concat(F.lit("_DISSENT"), dissents)).otherwise(""))
-
-    path = F.upper(F.concat_ws("_", F.lit("path"), *(part(PATH_PATTERN, i) for i in (1, 2, 3))))
-    level, size = part(THRESHOLD_LEVEL, 1), part(THRESHOLD_SIZE, 1)
-    threshold = F.concat(
-        F.lit("THRESHOLD_ABOVE"),
-        F.when(level != "", F.concat(F.lit("_"), level, F.lit("PCT"))).otherwise(""),
-        F.when(size != "", F.concat(F.lit("_HIKE_GE"), size)).otherwise(""),
-    )
-    n_cut, cut_plus, cut = sized("CUT", CUT_SIZE)
-    n_hike, hike_plus, hike = sized("HIKE", HIKE_SIZE)
-
-    def first(rules: list[tuple[Column, Column]], otherwise: Column | None = None) -> Column:
-        out = F.when(*rules[0])
-        for cond, value in rules[1:]:
-            out = out.when(cond, value)
-        return out if otherwise is None else out.otherwise(otherwise)
-
-    cut_label = first([
-        ((n_cut == 25) & ~cut_plus, label("CUT25", cut)),
-        (n_cut == 25, label("OTHER", cut, NOTES["cut25p"])),
-        (n_cut >= 50, label("CUT50P", cut)),
-    ], label("OTHER", cut, NOTES["cut"]))
-    hike_label = first([
-        (n_hike == 0, label("HOLD", "HOLD_0BP")),
-        ((n_hike == 25) & ~hike_plus, label("HIKE25", hike)),
-        (n_hike == 25, label("HIKE50P", hike, NOTES["hike25p"])),
-        (n_hike >= 50, label("HIKE50P", hike)),
-    ], label("OTHER", hike, NOTES["hike"]))
-    return first([
-        (s.contains(COMBO), label("OTHER", combo, NOTES["combo"])),
-        (s.contains(DISSENT), label("OTHER", "DISSENT_INDIVIDUAL", NOTES["dissent"])),
-        (s.rlike(PATH_PATTERN), label("OTHER", path, NOTES["path"])),
-        (s.contains(PATH_PHRASES[0]) | s.contains(PATH_PHRASES[1]),
-         label("OTHER", "PATH_OTHER", NOTES["path_other"])),
-        (s.contains(FAVOURED), label("OTHER", "ODDS_FAVORED_2WAY", NOTES["favoured"])),
-        (s.contains(CATCH_ALL), label("OTHER", "CATCHALL_OTHER_LEVEL", NOTES["catch_all"])),
-        (s.contains(THRESHOLD), label("OTHER", threshold, NOTES["threshold"])),
-        (s.rlike(NO_CHANGE), label("HOLD", "HOLD")),
-        (s.rlike(CUT_SIZE), cut_label),
-        (s.rlike(HIKE_SIZE), hike_label),
-        (s.isNotNull(), label("OTHER", "UNMAPPED", NOTES["unmapped"])),
-    ])
+    for sign, spelled in (("≤", "<="), ("≥", ">="), ("–", "-"), ("—", "-")):
+        s = F.replace(s, F.lit(sign), F.lit(spelled))
+    return s
 
 
 def parse_symbol(c: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from tenorgrid.functions.fixed import MARKET_ZONE, MONTH_CODES
 
-_MONDAY, _THURSDAY, _FRIDAY = 2, 5, 6
+_MONDAY, _THURSDAY, _FRIDAY, _SATURDAY = 2, 5, 6, 7
 
 
 def as_col(c: Column | str) -> Column:
@@ -99,9 +99,14 @@ def is_federal_holiday(d: Column | str) -> Column:
     return reduce(lambda a, b: a | b, rules)
 
 
+def next_weekday(d: Column | str) -> Column:
+    d = as_col(d)
+    return F.date_add(d, F.when(F.dayofweek(d) == _FRIDAY, 3).when(F.dayofweek(d) == _SATURDAY, 2).otherwise(1))
+
+
 def next_business_day(d: Column | str, holidays: bool = True) -> Column:
-    """First open day after ``d``. A closed run is at most four days, so ten candidates always suffice."""
-    days = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: F.date_add(as_col(d), k))
-    if holidays:
-        return F.get(F.filter(days, lambda x: ~is_weekend(x) & ~is_federal_holiday(x)), 0)
-    return F.get(F.filter(days, lambda x: ~is_weekend(x)), 0)
+    """First open day after ``d``. No two holidays fall on consecutive weekdays, so one is skipped at most."""
+    first = next_weekday(d)
+    if not holidays:
+        return first
+    return F.when(is_federal_holiday(first), next_weekday(first)).otherwise(first)

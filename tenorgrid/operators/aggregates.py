@@ -28,6 +28,14 @@ def pivot_fixed(df: DataFrame, by: Sequence[str], key: str, values: Mapping[str,
     return df.groupBy(*by).agg(*pivot_columns(key, values, value, agg))
 
 
+def _edges_below(lo: int, hi: int) -> str:
+    """SQL of a binary search: how many of the sorted edges lie below the value."""
+    if lo == hi:
+        return str(lo)
+    mid = (lo + hi) // 2
+    return f"CASE WHEN __v > __edges[{mid}] THEN {_edges_below(mid + 1, hi)} ELSE {_edges_below(lo, mid)} END"
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """Exact interpolated quantiles per group, without holding a group in one task.
 
@@ -43,8 +51,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping
     cuts = [i / QUANTILE_BINS for i in range(1, QUANTILE_BINS)]
     edges = counted.groupBy(*key).agg(
         F.percentile_approx("__v", cuts, 100 * QUANTILE_BINS).alias("__edges"), F.sum("__n").alias("__total"))
-    binned = salted_join(counted, edges, key, "inner").withColumn(
-        "__bin", F.size(F.filter("__edges", lambda e: e < F.col("__v"))))
+    binned = salted_join(counted, edges, key, "inner").withColumn("__bin", F.expr(_edges_below(0, len(cuts))))
     bins = binned.groupBy(*key, "__bin").agg(F.sum("__n").alias("__bn"), F.min("__total").alias("__total"))
     upto = Window.partitionBy(*key).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("__before", F.coalesce(F.sum("__bn").over(upto), F.lit(0)))

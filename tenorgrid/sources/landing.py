@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tenorgrid.functions.fixed import LEG_OUTCOME, OTHER, OUTCOMES
-from tenorgrid.functions.text import classify_question, parse_symbol
+from tenorgrid.functions.text import parse_symbol
 from tenorgrid.functions.times import iso_epoch, iso_timestamp, month_contract, month_key
 from tenorgrid.functions.values import lookup, no_nan, number
+from tenorgrid.operators.classify import classify_questions
 from tenorgrid.operators.joins import nearest_match
 from tenorgrid.operators.skew import salted_join
 from tenorgrid.sources import schemas
@@ -114,7 +115,8 @@ def flatten_events(inventory: DataFrame, venue_events: DataFrame, calendar: Data
     matched = salted_join(markets, first("toks").where(F.size("toks") > 0), ["event_id", "toks"])
     matched = salted_join(matched, first("q"), ["event_id", "q"])
     hit = F.coalesce("by_toks", "by_q")
-    matched = matched.withColumns({"r": hit["r"], "neg": hit["event_neg_risk"], "c": classify_question("m.q")})
+    matched = matched.withColumns({"r": hit["r"], "neg": hit["event_neg_risk"], "question": F.col("m.q")})
+    matched = classify_questions(matched, "question")
     toks = F.when(F.size("toks") > 0, F.col("toks")).otherwise(_text_array(F.col("r.clobTokenIds")))
     outs = F.when(F.size("outs") > 0, F.col("outs")).otherwise(_text_array(F.col("r.outcomes")))
     matched = matched.withColumns({"toks": toks, "outs": outs})
@@ -127,8 +129,8 @@ def flatten_events(inventory: DataFrame, venue_events: DataFrame, calendar: Data
     flat = dated.select(
         F.lit(venue).alias("venue"), "event_id",
         F.coalesce(F.nullif("r.conditionId", F.lit("")), F.concat_ws("#", "event_id", "idx")).alias("market_id"),
-        F.col("c.outcome"), F.col("c.detail").alias("outcome_detail"), blank(F.col("c.note")).alias("mapping_note"),
-        F.coalesce(iso_epoch(end), F.lit(-1)).alias("ts"), F.col("m.q").alias("question"), blank("event_title").alias("event_title"),
+        "outcome", F.col("detail").alias("outcome_detail"), blank("note").alias("mapping_note"),
+        F.coalesce(iso_epoch(end), F.lit(-1)).alias("ts"), "question", blank("event_title").alias("event_title"),
         F.to_json("outs").alias("outcomes"), F.to_json("toks").alias("token_ids"), token("Yes").alias("yes_token_id"),
         token("No").alias("no_token_id"), blank("start_date").alias("start_date"), blank(end).alias("end_date"),
         blank("r.closedTime").alias("closed_time"), F.col("__decision").cast("string").alias("decision_date"),
