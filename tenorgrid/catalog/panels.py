@@ -9,9 +9,14 @@ from tenorgrid.catalog.registry import Tables, query
 from tenorgrid.functions.fixed import OUTCOMES
 
 
-def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+def digits(name: str, default: int = 9) -> int:
+    """A basis is a small difference of prices near 100 in hundredths, so fewer of its digits are certain."""
+    return 7 if name.startswith("basis_") else default
+
+
+def rounded(df: DataFrame, default: int = 9) -> DataFrame:
     """Doubles rounded for comparison; sums depend on their order in the last digits."""
-    return df.select(*(F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+    return df.select(*(F.round(f.name, digits(f.name, default)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
                        for f in df.schema.fields))
 
 
@@ -97,7 +102,7 @@ BASIS_NUMBERS = {"basis_ladder_bp": "(k_fair - settle) * 100", "basis_points_bp"
 SELECT meeting_date, date, contract, pre_decision, any_hike AS points_top_is_any_hike,
        (k_sum BETWEEN 0.95 AND 1.10 AND n_legs_quoted = 5 AND COALESCE(k_stale, 99) <= 1) AS ladder_ok,
        (COALESCE(p_half, 0) = 0 AND p_sum BETWEEN 0.95 AND 1.10 AND COALESCE(p_stale, 99) <= 1) AS points_ok, """ + ", ".join(
-    f"round({sql}, 9) AS {name}" for name, sql in BASIS_NUMBERS.items()) + " FROM cx")
+    f"round({sql}, {digits(name)}) AS {name}" for name, sql in BASIS_NUMBERS.items()) + " FROM cx")
 def basis_panel(t: Tables) -> DataFrame:
     return rounded(panel(t)["basis_daily"].select("meeting_date", "date", "contract", "pre_decision", "points_top_is_any_hike",
                                                   "ladder_ok", "points_ok", *BASIS_NUMBERS))
@@ -107,11 +112,11 @@ def basis_panel(t: Tables) -> DataFrame:
 c AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM rate), (SELECT max(date) FROM rate), INTERVAL 1 DAY)) AS DATE) AS date),
 mm AS (SELECT strftime(c.date, '%Y-%m') AS ym, avg(rate.effr) AS m, count(*) AS n_days FROM c ASOF LEFT JOIN rate ON c.date >= rate.date GROUP BY 1),
 zl AS (SELECT strftime(date, '%Y-%m') AS ym, arg_max(settle, date) AS settle, max(date) AS last_date FROM z WHERE contract = 'ZQ=F' GROUP BY 1)
-SELECT ym, n_days, round(m, 9) AS month_mean, round(settle, 9) AS settle, last_date, round((settle - (100 - m)) * 100, 8) AS diff_bp FROM mm JOIN zl USING (ym)
+SELECT ym, n_days, round(m, 9) AS month_mean, round(settle, 9) AS settle, last_date, round((settle - (100 - m)) * 100, 6) AS diff_bp FROM mm JOIN zl USING (ym)
 """)
 def settlement(t: Tables) -> DataFrame:
     return panel(t)["settlement_check"].select("ym", "n_days", F.round("month_mean", 9).alias("month_mean"), F.round("settle", 9).alias("settle"),
-                                               "last_date", F.round("diff_bp", 8).alias("diff_bp"))
+                                               "last_date", F.round("diff_bp", 6).alias("diff_bp"))
 
 
 COVERAGE_COUNTS = ["ladder_bars_day", "ladder_trades", "points_decision_events", "points_decision_hourly", "points_other_events", "points_other_hourly",

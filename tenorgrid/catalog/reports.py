@@ -262,12 +262,12 @@ def implied_decision(t: Tables) -> DataFrame:
 
 @query("hedge_error", with_sql(HEDGE_SQL) + """,
 j AS (SELECT meeting_date, span, bp, ((100 - a.mean) - (100 - b.mean)) * 100 AS spread FROM hk JOIN hmm a ON a.ym = near_month JOIN hmm b ON b.ym = far_month WHERE span IS NOT NULL AND bp IS NOT NULL)
-SELECT meeting_date, round(spread, 8) AS spread_terminal_bp, round(spread - span * bp, 8) AS resid_bp, round(4 * (spread - span * bp) / span, 8) AS err_cents FROM j
+SELECT meeting_date, round(spread, 5) AS spread_terminal_bp, round(spread - span * bp, 5) AS resid_bp, round(4 * (spread - span * bp) / span, 5) AS err_cents FROM j
 """)
 def hedge_error(t: Tables) -> DataFrame:
     s = hedge_spine(t)
     out = hedge.hedge_error(hedge_calendar(t), hedge.select_instrument(s), s.select("meeting_date", "realized_change_bp"))
-    return rounded(out.select("meeting_date", "spread_terminal_bp", "resid_bp", "err_cents"), 8)
+    return rounded(out.select("meeting_date", "spread_terminal_bp", "resid_bp", "err_cents"), 5)
 
 
 @query("following_contract", with_sql(HEDGE_SQL) + """,
@@ -281,13 +281,13 @@ def following_contract(t: Tables) -> DataFrame:
 
 
 @query("pass_through", with_sql(HEDGE_SQL) + """
-SELECT h.meeting_date, round((b.effr - a.effr) * 100 - bp, 8) AS step_error_bp,
-       round(((SELECT avg(effr) FROM cal WHERE date BETWEEN h.e AND last_day(h.e)) - a.effr) * 100 - bp, 8) AS mean_resid_bp
+SELECT h.meeting_date, round((b.effr - a.effr) * 100 - bp, 6) AS step_error_bp,
+       round(((SELECT avg(effr) FROM cal WHERE date BETWEEN h.e AND last_day(h.e)) - a.effr) * 100 - bp, 6) AS mean_resid_bp
 FROM hs h LEFT JOIN cal a ON a.date = h.e - 1 LEFT JOIN cal b ON b.date = h.e WHERE bp IS NOT NULL
 """)
 def pass_through(t: Tables) -> DataFrame:
     s = hedge_spine(t)
-    return rounded(hedge.pass_through(s, hedge_calendar(t)).select("meeting_date", "step_error_bp", "mean_resid_bp"), 8)
+    return rounded(hedge.pass_through(s, hedge_calendar(t)).select("meeting_date", "step_error_bp", "mean_resid_bp"), 6)
 
 
 @query("front_exposure", with_sql(HEDGE_SQL) + """

@@ -37,8 +37,7 @@ def bag(columns, rows):
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, entry, folder):
-    df = entry(spark, folder)
+def compare(con, entry, df):
     rel = con.execute(entry.sql)
     cols = [d[0] for d in rel.description]
     types = [str(d[1]) for d in rel.description]
@@ -78,7 +77,7 @@ if __name__ == "__main__":
     for name in names:
         t0 = time.time()
         try:
-            problems, odd, n = compare(spark, con, REGISTRY[name], folder)
+            problems, odd, n = compare(con, REGISTRY[name], REGISTRY[name](spark, folder))
         except Exception as ex:  # report and go on with the other queries
             problems, odd, n = [f"{type(ex).__name__}: {str(ex)[:700]}"], [], -1
         bad += bool(problems)

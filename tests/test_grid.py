@@ -14,7 +14,7 @@ from tenorgrid.operators.dedup import duplicate_count
 from tenorgrid.operators.grid import date_series, dense_ffill
 from tenorgrid.operators.joins import nearest_match
 from tenorgrid.operators.ordered import gaps
-from tests.helpers import d, epoch, rows
+from tests.helpers import d, epoch, order, rows
 
 DAYS = [d("2026-01-01") + dt.timedelta(days=i) for i in range(40)]
 
@@ -53,7 +53,7 @@ def test_grid_against_brute_force(spark, obs, cap):
             for i in range(min(seen), min(max(seen), cap) + 1):
                 past = [j for (ee, ll, j) in obs if ee == e and ll == leg and j <= i]
                 expected.append((e, leg, DAYS[i], obs[e, leg, max(past)] if past else None, i - max(past) if past else None))
-    assert rows(grid(spark, data, cap=True), "e", "leg", "d", "mid", "stale_days") == sorted(expected, key=repr)
+    assert rows(grid(spark, data, cap=True), "e", "leg", "d", "mid", "stale_days") == sorted(expected, key=order)
 
 
 def test_calendar_fill_and_strict_lookup(spark):
@@ -81,7 +81,7 @@ def test_nearest_within_eight_days(spark):
     dim = spark.createDataFrame([(d("2026-01-28"),), (d("2026-02-07"),)], "m date")
     df = spark.createDataFrame([(d("2026-01-23"),), (d("2026-01-19"),), (d("2026-02-02"),), (None,)], "x date")
     assert rows(nearest_match(df, "x", dim, "m", 8, "n"), "x", "n") == sorted(
-        [(d("2026-01-23"), d("2026-01-28")), (d("2026-01-19"), None), (d("2026-02-02"), d("2026-01-28")), (None, None)], key=repr)
+        [(d("2026-01-23"), d("2026-01-28")), (d("2026-01-19"), None), (d("2026-02-02"), d("2026-01-28")), (None, None)], key=order)
 
 
 def test_gaps(spark):

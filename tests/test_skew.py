@@ -13,7 +13,7 @@ from tenorgrid.operators.dedup import dedup_keep_last, upsert
 from tenorgrid.operators.joins import join_split
 from tenorgrid.operators.ordered import monotonic_violations, previous_row, rank_primary, stale_value_flag, variety_gate
 from tenorgrid.operators.skew import per_days, per_seconds, running_total, salted_join
-from tests.helpers import d, rows
+from tests.helpers import d, order, rows
 
 SMALL = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -82,15 +82,15 @@ def test_quantiles_of_one_heavy_value_and_many_tails(spark):
 
 @SMALL
 @given(st.permutations(range(12)), st.integers(1, 11))
-def test_keep_last_ignores_order_and_chunks(spark, order, cut):
+def test_keep_last_ignores_order_and_chunks(spark, positions, cut):
     base = [("2022-01-03", "A", float(i % 5), i // 3) for i in range(8)] + [("2022-01-04", "B", float(i), i) for i in range(4)]
-    feed = [base[i] for i in order]
+    feed = [base[i] for i in positions]
     df = lambda part: spark.createDataFrame(part, "day string, symbol string, price double, recv long")
     key = ["day", "symbol"]
     whole = dedup_keep_last(df(feed), key, ["recv"])
     parts = [dedup_keep_last(df(p), key, ["recv"]) for p in (feed[:cut], feed[cut:])]
     again = dedup_keep_last(parts[0].unionByName(parts[1]), key, ["recv"])
-    expected = sorted([("2022-01-03", "A", 2.0, 2), ("2022-01-04", "B", 3.0, 3)], key=repr)
+    expected = sorted([("2022-01-03", "A", 2.0, 2), ("2022-01-04", "B", 3.0, 3)], key=order)
     assert rows(whole, *whole.columns) == rows(again, *whole.columns) == expected
 
 
