@@ -281,13 +281,13 @@ def following_contract(t: Tables) -> DataFrame:
 
 
 @query("pass_through", with_sql(HEDGE_SQL) + """
-SELECT h.meeting_date, round((b.effr - a.effr) * 100 - bp, 6) AS step_error_bp,
-       round(((SELECT avg(effr) FROM cal WHERE date BETWEEN h.e AND last_day(h.e)) - a.effr) * 100 - bp, 6) AS mean_resid_bp
+SELECT h.meeting_date, round((b.effr - a.effr) * 100 - bp, 4) AS step_error_bp,
+       round(((SELECT avg(effr) FROM cal WHERE date BETWEEN h.e AND last_day(h.e)) - a.effr) * 100 - bp, 4) AS mean_resid_bp
 FROM hs h LEFT JOIN cal a ON a.date = h.e - 1 LEFT JOIN cal b ON b.date = h.e WHERE bp IS NOT NULL
 """)
 def pass_through(t: Tables) -> DataFrame:
     s = hedge_spine(t)
-    return rounded(hedge.pass_through(s, hedge_calendar(t)).select("meeting_date", "step_error_bp", "mean_resid_bp"), 6)
+    return rounded(hedge.pass_through(s, hedge_calendar(t)).select("meeting_date", "step_error_bp", "mean_resid_bp"), 4)
 
 
 @query("front_exposure", with_sql(HEDGE_SQL) + """

@@ -32,11 +32,15 @@ def test_no_single_task_window(spark, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = REGISTRY["filter_between"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
-    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double,l_discount:double,l_shipdate:timestamp>" in plan
-    plan = REGISTRY["filter_prefix"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert "StringStartsWith(p_type,EC)" in plan and "p_retailprice" not in plan
+    def plan(name):
+        execution = REGISTRY[name](spark, FOLDER)._jdf.queryExecution()
+        return spark._jvm.PythonSQLUtils.explainString(execution, "formatted")
+
+    between = plan("filter_between")
+    assert "GreaterThanOrEqual(l_shipdate" in between and "LessThan(l_shipdate" in between
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double,l_discount:double,l_shipdate:timestamp>" in between
+    prefix = plan("filter_prefix")
+    assert "StringStartsWith(p_type,EC)" in prefix and "p_retailprice" not in prefix
 
 
 def test_entry_point(spark):
