@@ -190,12 +190,12 @@ def last_of_month(t: Tables) -> DataFrame:
 @query("calendar_month_mean", """
 WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, avg(o_totalprice) AS rate FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1),
 c AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM o), (SELECT max(d) FROM o), INTERVAL 1 DAY)) AS DATE) AS date)
-SELECT strftime(c.date, '%Y-%m') AS ym, round(avg(o.rate), 4) AS month_mean, count(*) AS n_days FROM c ASOF LEFT JOIN o ON c.date >= o.d GROUP BY 1
+SELECT strftime(c.date, '%Y-%m') AS ym, round(avg(o.rate), 6) AS month_mean, count(*) AS n_days FROM c ASOF LEFT JOIN o ON c.date >= o.d GROUP BY 1
 """)
 def month_mean(t: Tables) -> DataFrame:
     rate = t.orders.where(F.col("o_orderpriority").startswith("1")).groupBy(F.to_date("o_orderdate").alias("date")).agg(F.avg("o_totalprice").alias("rate"))
     means = calendar_month_mean(calendar_ffill(rate, "date", ["rate"]), "date", "rate")
-    return means.withColumn("month_mean", F.round("month_mean", 4))
+    return means.withColumn("month_mean", F.round("month_mean", 6))
 
 
 @query("set_collapse", """

@@ -88,25 +88,25 @@ def asof_inclusive(t: Tables) -> DataFrame:
 
 
 @query("asof_join_strict", """
-WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 4) AS rate FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1)
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 6) AS rate FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1)
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS ship_date, o.d AS rate_date, o.rate
 FROM lineitem ASOF LEFT JOIN o ON CAST(l_shipdate AS DATE) > o.d
 """)
 def asof_strict(t: Tables) -> DataFrame:
     rate = t.orders.where(F.col("o_orderpriority").startswith("1")).groupBy(F.to_date("o_orderdate").alias("d")).agg(
-        F.round(F.avg("o_totalprice"), 4).alias("rate"))
+        F.round(F.avg("o_totalprice"), 6).alias("rate"))
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.to_date("l_shipdate").alias("ship_date"))
     return asof_by_date(lines, "ship_date", rate, "d", strict=True, matched="rate_date")
 
 
 @query("calendar_ffill", """
-WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 4) AS rate FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1),
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 6) AS rate FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1),
 c AS (SELECT CAST(unnest(generate_series((SELECT min(d) FROM o), (SELECT max(d) FROM o), INTERVAL 1 DAY)) AS DATE) AS date)
 SELECT c.date, o.rate, o.d AS obs_date FROM c ASOF LEFT JOIN o ON c.date >= o.d
 """)
 def calendar(t: Tables) -> DataFrame:
     rate = t.orders.where(F.col("o_orderpriority").startswith("1")).groupBy(F.to_date("o_orderdate").alias("date")).agg(
-        F.round(F.avg("o_totalprice"), 4).alias("rate"))
+        F.round(F.avg("o_totalprice"), 6).alias("rate"))
     return calendar_ffill(rate, "date", ["rate"])
 
 

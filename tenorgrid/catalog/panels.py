@@ -112,10 +112,10 @@ def basis_panel(t: Tables) -> DataFrame:
 c AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM rate), (SELECT max(date) FROM rate), INTERVAL 1 DAY)) AS DATE) AS date),
 mm AS (SELECT strftime(c.date, '%Y-%m') AS ym, avg(rate.effr) AS m, count(*) AS n_days FROM c ASOF LEFT JOIN rate ON c.date >= rate.date GROUP BY 1),
 zl AS (SELECT strftime(date, '%Y-%m') AS ym, arg_max(settle, date) AS settle, max(date) AS last_date FROM z WHERE contract = 'ZQ=F' GROUP BY 1)
-SELECT ym, n_days, round(m, 9) AS month_mean, round(settle, 9) AS settle, last_date, round((settle - (100 - m)) * 100, 6) AS diff_bp FROM mm JOIN zl USING (ym)
+SELECT ym, n_days, round(m, 5) AS month_mean, round(settle, 9) AS settle, last_date, round((settle - (100 - m)) * 100, 6) AS diff_bp FROM mm JOIN zl USING (ym)
 """)
 def settlement(t: Tables) -> DataFrame:
-    return panel(t)["settlement_check"].select("ym", "n_days", F.round("month_mean", 9).alias("month_mean"), F.round("settle", 9).alias("settle"),
+    return panel(t)["settlement_check"].select("ym", "n_days", F.round("month_mean", 5).alias("month_mean"), F.round("settle", 9).alias("settle"),
                                                "last_date", F.round("diff_bp", 6).alias("diff_bp"))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tenorgrid.catalog.domain import (BARS_SQL, LADDER_SQL, POINTS_SQL, SPINE_SQL, panel, rates, staged, with_sql)
 from tenorgrid.catalog.panels import rounded
 from tenorgrid.catalog.registry import Tables, query
+from tenorgrid.functions.fixed import OUTCOMES
 from tenorgrid.functions.times import month_key
-from tenorgrid.functions.values import bucket_change
+from tenorgrid.functions.values import bucket_change, lookup
 from tenorgrid.operators.asof import calendar_ffill
 from tenorgrid.operators.dedup import dedup_keep_last
 from tenorgrid.plans import coverage as cov
@@ -19,7 +20,7 @@ from tenorgrid.plans.spine import calendar_columns
 @query("trade_coverage", """
 WITH b AS (SELECT o_custkey % 97 AS market_id, CAST(epoch(o_orderdate) AS BIGINT) AS ts, o_totalprice AS vol FROM orders),
 k AS (SELECT o_custkey % 97 AS market_id, min(CAST(epoch(o_orderdate) AS BIGINT)) AS t0, max(CAST(epoch(o_orderdate) AS BIGINT)) AS t1, count(*) AS n FROM orders WHERE o_orderpriority LIKE '5%' GROUP BY 1)
-SELECT market_id, strftime(to_timestamp(t0), '%Y-%m-%dT%H:%M:%SZ') AS first_trade_utc, strftime(to_timestamp(t1), '%Y-%m-%dT%H:%M:%SZ') AS last_trade_utc, n AS n_trades,
+SELECT market_id, strftime(make_timestamp(t0 * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS first_trade_utc, strftime(make_timestamp(t1 * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS last_trade_utc, n AS n_trades,
        round(sum(vol), 2) AS bar_volume, round(COALESCE(sum(vol) FILTER (WHERE ts < t0), 0), 2) AS bar_volume_before_first_trade,
        round(COALESCE(sum(vol) FILTER (WHERE ts < t0), 0) / NULLIF(sum(vol), 0), 9) AS share_missing
 FROM k JOIN b USING (market_id) GROUP BY ALL
@@ -304,9 +305,6 @@ SELECT outcome, sum(units) AS units, CASE outcome WHEN 'CUT50P' THEN -50 WHEN 'C
        sum(units) - 2.5 * CASE outcome WHEN 'CUT50P' THEN -50 WHEN 'CUT25' THEN -25 WHEN 'HOLD' THEN 0 WHEN 'HIKE25' THEN 25 ELSE 50 END AS payoff FROM p GROUP BY 1
 """)
 def replication_payoff(t: Tables) -> DataFrame:
-    from tenorgrid.functions.fixed import OUTCOMES
-    from tenorgrid.functions.values import lookup
-
     held = t.lineitem.select(lookup("l_linenumber", {i + 1: o for i, o in enumerate(OUTCOMES)}, "HIKE50P").alias("outcome"),
                              F.col("l_quantity").alias("units"))
     return hedge.replication_payoff(held, 2.5)

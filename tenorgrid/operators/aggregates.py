@@ -140,6 +140,12 @@ def share_before(facts: DataFrame, starts: DataFrame, key: str, t: str, start: s
     ).withColumn("share_before", F.col("amount_before") / F.nullif(F.col("amount_total"), F.lit(0.0)))
 
 
+def _attach(base: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Columns of a one-row table beside those of another, read by one scalar subquery."""
+    row = base.withColumn("__row", one_row.select(F.struct("*")).scalar())
+    return row.select(*base.columns, *(F.col(f"__row.{c}").alias(c) for c in one_row.columns))
+
+
 def error_summary(df: DataFrame, err: Column, tol: float, by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, median, 90th percentile and maximum of absolute errors, and how many are within ``tol``."""
     e = df.select(*by, F.abs(err).alias("abs_err"))
@@ -148,7 +154,7 @@ def error_summary(df: DataFrame, err: Column, tol: float, by: Sequence[str] = ()
     q = exact_quantiles(e, by, "abs_err", {"median_abs": 0.5, "p90_abs": 0.9})
     if by:
         return base.join(q, list(by), "left")
-    return base.withColumns({c: q.select(c).scalar() for c in q.columns})
+    return _attach(base, q)
 
 
 def signal_stats(df: DataFrame, x: str, step: str, threshold: float) -> DataFrame:
@@ -175,4 +181,4 @@ def complement_check(df: DataFrame, key: str, label: str, yes: str, no: str, t:
     base = dev.agg(F.count("*").alias("n_pairs"), F.countDistinct(key).alias("n_keys"),
                    F.max("dev").alias("max_dev"), F.count_if(F.col("dev") > tol).alias("n_above"))
     q = exact_quantiles(dev, [], "dev", {"median_dev": 0.5, "p95_dev": 0.95})
-    return base.withColumns({c: q.select(c).scalar() for c in q.columns})
+    return _attach(base, q)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorgrid.operators.dedup import dedup_keep_last
 from tenorgrid.operators.skew import salted_join
 
 
@@ -76,7 +75,3 @@ def join_dimension_array(df: DataFrame, key: str, array: str, lookup: DataFrame,
     items = df.select(key, F.explode_outer(array).alias(on))
     found = salted_join(items, lookup.select(on, value), [on])
     return found.groupBy(key).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias(out))
-
-
-def latest_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
-    return dedup_keep_last(df, key, [order])

@@ -49,10 +49,7 @@ def window_starts(spine: DataFrame, d: str, columns: dict[str, tuple[str, str]])
     """
     w = Window.orderBy(d)
     return spine.withColumns({
-        new: F.lag(old, 1).over(w) if default is None else
-        F.coalesce(F.lag(old, 1).over(w), F.when(F.row_number().over(w) == 1, F.lit(default).cast("date")))
-        for new, (old, default) in columns.items()
-    })
+        new: F.lag(old, 1, F.lit(default).cast("date")).over(w) for new, (old, default) in columns.items()})
 
 
 def rank_primary(df: DataFrame, by: Sequence[str], value: str, key: str, out: str = "is_primary") -> DataFrame:
