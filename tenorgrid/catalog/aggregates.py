@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tenorgrid.catalog.registry import Tables, query
-from tenorgrid.operators.aggregates import (calendar_month_mean, error_summary, exact_quantiles, last_value, month_last,
+from tenorgrid.operators.aggregates import (calendar_month_mean, error_summary, exact_quantiles, last_value,
                                             pivot_columns, pivot_fixed, scoped_report, set_collapse, share_before, signal_stats)
 from tenorgrid.operators.asof import calendar_ffill
 from tenorgrid.operators.dedup import dedup_keep_last, duplicate_count

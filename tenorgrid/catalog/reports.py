@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tenorgrid.catalog.domain import (BARS_SQL, LADDER_SQL, POINTS_SQL, SPINE_SQL, panel, rates, staged, with_sql)
+from tenorgrid.catalog.domain import (LADDER_SQL, POINTS_SQL, SPINE_SQL, panel, rates, staged, with_sql)
 from tenorgrid.catalog.panels import rounded
 from tenorgrid.catalog.registry import Tables, query
 from tenorgrid.functions.fixed import OUTCOMES

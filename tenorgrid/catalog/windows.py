@@ -12,7 +12,6 @@ from tenorgrid.operators.grid import date_series, dense_ffill
 from tenorgrid.operators.ordered import (gaps, monotonic_violations, rank_primary, stale_value_flag, top_abs, variety_gate,
                                          window_starts)
 from tenorgrid.operators.sets import keep_collectable, union_tagged, unnest_array, unnest_zip
-from tenorgrid.operators.skew import per_days
 
 
 @query("lag_default", """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -49,7 +50,7 @@ def window_starts(spine: DataFrame, d: str, columns: dict[str, tuple[str, str]])
     """
     w = Window.orderBy(d)
     return spine.withColumns({
-        new: F.lag(old, 1, F.lit(default).cast("date")).over(w) for new, (old, default) in columns.items()})
+        new: F.lag(old, 1, date.fromisoformat(default)).over(w) for new, (old, default) in columns.items()})
 
 
 def rank_primary(df: DataFrame, by: Sequence[str], value: str, key: str, out: str = "is_primary") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tenorgrid.functions.fixed import DAY_BAR, HOUR_BAR, LEG_OUTCOME, MINUTE_BAR, OTHER
 from tenorgrid.functions.text import event_month
-from tenorgrid.functions.times import epoch_iso, iso_epoch, month_key
+from tenorgrid.functions.times import epoch_iso, month_key
 from tenorgrid.operators.aggregates import last_value, share_before
 from tenorgrid.operators.skew import salted_join
 

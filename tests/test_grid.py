@@ -4,7 +4,6 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 import datetime as dt
 
-import pytest
 
 from tenorgrid.functions.times import (is_federal_holiday, is_weekend, iso_epoch, local_date, month_contract, next_business_day)
 from tenorgrid.functions.values import bucket_change, mid_price, ratio, taker_fee

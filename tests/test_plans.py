@@ -204,6 +204,8 @@ def test_payoff_and_replication(spark):
     assert rows(hedge.net_payoff(df, "b", "e", F.lit(2.0), 1.0), "b", "net_cents") == [(-5.0, 4.0), (5.0, 2.0)]
     legs = spark.createDataFrame([("CUT50P", -50.0), ("CUT25", -25.0), ("HOLD", 0.0), ("HIKE25", 25.0), ("HIKE50P", 50.0)], "outcome string, units double")
     assert {r.payoff for r in hedge.replication_payoff(legs).collect()} == {0.0}
+    days = spark.createDataFrame([(d("2026-09-15"), d("2026-09-16")), (d("2026-09-16"), d("2026-09-16"))], "date date, meeting_date date")
+    assert rows(hedge.before_decision(days), "date") == [(d("2026-09-15"),)]
     one = spark.range(1)
     assert one.select(hedge.basis_cents(F.lit(10.0), F.lit(4.0))).first()[0] == 24.0
     assert one.select(hedge.friction_per_digital(F.lit(22.0), F.lit(0.467))).first()[0] == pytest.approx(4.52, abs=0.01)
