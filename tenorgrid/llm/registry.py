@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tenorgrid.llm import line_frequency
+from tenorgrid.llm import line_frequency, minhash
 
 QUERIES = {
+    "op3_minhash_groups": minhash.op3_minhash_groups,
     "op9_quality_lines": line_frequency.op9_quality_lines,
 }
 
