@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tenorgrid.llm import line_frequency, minhash
+from tenorgrid.llm import line_frequency, minhash, substring
 
 QUERIES = {
     "op3_minhash_groups": minhash.op3_minhash_groups,
+    "op6_substring_dedup": substring.op6_substring_dedup,
     "op9_quality_lines": line_frequency.op9_quality_lines,
 }
 
