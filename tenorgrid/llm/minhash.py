@@ -6,8 +6,8 @@ whose estimate is not far below the limit are confirmed on the full shingle sets
 
 Large groups cost no pair lists. Documents with equal sets are one class with one representative. In a bucket each
 member is first compared with the bucket's most connected member only; components of the confirmed links are formed;
-what is left are members of one bucket in different components. Those are compared in full, in blocks of bounded
-size, so no link between components is lost, and pairs inside a component are never formed.
+what is left are members of one bucket in different components. Those get a finer signature and are compared in full,
+in blocks of bounded size, so no link between components is lost, and pairs inside a component are never formed.
 
 With 32 bands of 4 minima a pair at similarity 0.8 shares no band with probability 5e-8; an estimate falls below the
 candidate limit, 4.5 standard deviations under the similarity, with probability 4e-6.
@@ -30,8 +30,10 @@ from tenorgrid.llm.common import keep, maybe_in
 from tenorgrid.llm.components import components
 from tenorgrid.llm.words import grams, mix, words
 
-N_MIN, BANDS, ROWS = 256, 32, 4
-LONGS = N_MIN * 2 // 64
+N_MIN, BITS, BANDS, ROWS = 256, 2, 32, 4
+LONGS = N_MIN * BITS // 64
+FINE_MIN = 2048  # of one bit each
+FINE_LONGS = FINE_MIN // 64
 BLOCK = 256
 SIGNATURE = "id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, " + ", ".join(
     f"s{k} bigint" for k in range(LONGS)) + ", bands array<bigint>"
@@ -42,19 +44,19 @@ def shingles(value: np.ndarray, width: int) -> np.ndarray:
     return np.unique(grams(value, width))
 
 
-def _seeds() -> tuple[np.ndarray, np.ndarray]:
-    draw = mix(np.arange(1, 2 * N_MIN + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return (draw[:N_MIN] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (draw[N_MIN:] >> np.uint64(32)).astype(np.uint32)
+def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return (draw[:n] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (draw[n:] >> np.uint64(32)).astype(np.uint32)
 
 
 def minima(sets: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 1024) -> np.ndarray:
-    """The ``N_MIN`` minima of one set, in blocks that stay in the processor's cache."""
+    """One minimum per multiplier of one set, in blocks that stay in the processor's cache."""
     low = (sets >> np.uint64(32)).astype(np.uint32)
-    out = np.full(N_MIN, np.uint32(0xFFFFFFFF))
+    out = np.full(len(a), np.uint32(0xFFFFFFFF))
     for at in range(0, len(low), block):
         part = low[at: at + block]
         out = np.minimum(out, (a[:, None] * part[None, :] + b[:, None]).min(axis=1))
-    return out
+    return _finish(out)
 
 
 def _finish(x: np.ndarray) -> np.ndarray:
@@ -64,9 +66,15 @@ def _finish(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
+def _packed(minimum: np.ndarray, bits: int) -> np.ndarray:
+    """The low bits of all minima in longs."""
+    low = ((minimum[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
+    return np.packbits(low.reshape(-1), bitorder="little").view(np.int64)
+
+
 def _signatures(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _seeds()
+        a, b = _seeds(N_MIN)
         tens = np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         for batch in batches:
             ids, counts, high, low, packed, bands = batch.column(0), [], [], [], [], []
@@ -78,9 +86,8 @@ def _signatures(width: int):
                     high.append(digest >> 64)
                     low.append(digest & 0xFFFFFFFFFFFFFFFF)
                     if len(found):
-                        m = _finish(minima(found, a, b))
-                        bits = ((m[:, None] >> np.arange(2, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
-                        packed.append(np.packbits(bits.reshape(-1), bitorder="little").view(np.int64))
+                        m = minima(found, a, b)
+                        packed.append(_packed(m, BITS))
                         key = tens.copy()
                         for col in m[: BANDS * ROWS].reshape(BANDS, ROWS).T:
                             key = mix(key ^ col)
@@ -104,19 +111,34 @@ def signatures(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
     return docs.select(F.col(id).cast("long"), F.col(text)).mapInArrow(_signatures(width), SIGNATURE)
 
 
-def estimate(left: str, right: str) -> Column:
-    """Similarity from packed bits: equal pairs of bits, less those that agree by chance."""
+def _fine(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _seeds(FINE_MIN)
+        for batch in batches:
+            packed = [_packed(minima(shingles(run.hash[run.ptr[r]: run.ptr[r + 1]], width), a, b, 128), 1)
+                      for run in words(batch.column(1), lower=True) for r in range(len(run.ptr) - 1)]
+            sig = np.stack(packed) if packed else np.zeros((0, FINE_LONGS), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(sig[:, k]) for k in range(FINE_LONGS))],
+                                             names=["id", *(f"s{k}" for k in range(FINE_LONGS))])
+    return run
+
+
+def estimate(left: str, right: str, longs: int = LONGS, bits: int = BITS) -> Column:
+    """Similarity from packed bits: equal groups of bits, less those that agree by chance."""
     odd = F.lit(0)
-    for k in range(LONGS):
+    for k in range(longs):
         x = F.col(f"{left}.s{k}").bitwiseXOR(F.col(f"{right}.s{k}"))
-        odd = odd + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return ((F.lit(1.0) - odd / F.lit(float(N_MIN))) - 0.25) / 0.75
+        if bits == 2:
+            x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
+        odd = odd + F.bit_count(x)
+    chance = 0.5 ** bits
+    return ((F.lit(1.0) - odd / F.lit(64.0 * longs / bits)) - chance) / (1 - chance)
 
 
-def candidate_limit(percent: int) -> float:
-    s = percent / 100
-    match = 0.25 + 0.75 * s
-    return s - 4.5 * (match * (1 - match) / N_MIN) ** 0.5 / 0.75
+def candidate_limit(percent: int, n: int = N_MIN, bits: int = BITS) -> float:
+    chance = 0.5 ** bits
+    match = chance + (1 - chance) * percent / 100
+    return percent / 100 - 4.5 * (match * (1 - match) / n) ** 0.5 / (1 - chance)
 
 
 def _confirm(width: int, percent: int):
@@ -166,17 +188,23 @@ def _first_pairs(shared: DataFrame) -> DataFrame:
             .select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
 
 
-def _left_pairs(shared: DataFrame, roots: DataFrame, sigs: DataFrame, limit: float) -> DataFrame:
-    """Likely pairs of one bucket in different components, formed block by block."""
+def _open_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets in which some pair has not been compared and spans two components."""
     placed = (shared.where("n > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
     parts = placed.groupBy("key", "root").agg(F.count("*").alias("m"))
     buckets = (parts.groupBy("key").agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("k"))
                .where("k > 1").select("key", F.col("top.root").alias("main"),
                                       F.ceil(F.col("all") / BLOCK).cast("int").alias("n_all"),
                                       F.ceil((F.col("all") - F.col("top.m")) / BLOCK).cast("int").alias("n_rest")))
-    cols = [F.col(f"s{k}") for k in range(LONGS)]
-    rows = keep(placed.join(buckets, "key").join(sigs.select("id", F.struct(*cols).alias("x")), "id")
-                .select("key", "id", "root", "main", "n_all", "n_rest", "x"))
+    return placed.join(buckets, "key").select("key", "id", "root", "main", "n_all", "n_rest")
+
+
+def _left_pairs(members: DataFrame, fine: DataFrame, bands: DataFrame, limit: float) -> DataFrame:
+    """Likely pairs of one bucket in different components, formed block by block, each in its first common bucket."""
+    cols = [F.col(f"s{k}") for k in range(FINE_LONGS)]
+    rows = members.join(fine.join(bands, "id").select("id", F.struct(*cols, "bands").alias("x")), "id")
+    alike = ((estimate("x", "y", FINE_LONGS, 1) >= limit)
+             & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("rest.key")))
 
     def place(n: str, salt: int) -> Column:
         return F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
@@ -186,8 +214,9 @@ def _left_pairs(shared: DataFrame, roots: DataFrame, sigs: DataFrame, limit: flo
     rest = rows.where("root != main").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("i"), place("n_rest", 2).alias("j"),
         F.col("id").alias("a"), F.col("root").alias("root_a"), "x")
-    return (rest.join(whole, (rest.key == whole.key) & (rest.i == whole.i) & (rest.j == whole.j)
-                      & (F.col("root_a") != F.col("root_b")) & (estimate("x", "y") >= limit))
+    rest, whole = rest.alias("rest"), whole.alias("whole")
+    return (rest.join(whole, (F.col("rest.key") == F.col("whole.key")) & (F.col("rest.i") == F.col("whole.i")) & (F.col("rest.j") == F.col("whole.j"))
+                      & (F.col("root_a") != F.col("root_b")) & alike)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -201,22 +230,24 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     band = reps.select("id", F.explode("bands").alias("key"))
     sizes = band.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = keep(band.join(sizes, "key"))
-    bits = keep(reps.drop("bands", "n_shingles", *sets).join(shared.select("id").distinct(), "id", "left_semi"))
-    limit = candidate_limit(percent)
-    first = keep(_likely(_first_pairs(shared), bits, limit))
+    bits = keep(reps.drop("n_shingles", *sets).join(shared.select("id").distinct(), "id", "left_semi"))
+    first = keep(_likely(_first_pairs(shared), bits, candidate_limit(percent)))
     every = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
 
-    def text_of(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        thin = maybe_in(every, F.col("id"), needed, "id")
-        return keep(thin.join(needed, "id", "left_semi").dropDuplicates(["id"]))
+    def texts(ids: DataFrame) -> DataFrame:
+        thin = maybe_in(every, F.col("id"), ids, "id")
+        return keep(thin.join(ids.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id")).drop("_id").dropDuplicates(["id"]))
 
-    links = keep(confirmed(first, text_of(first), width, percent))
+    ends = keep(first.select(F.col("a").alias("id")).union(first.select(F.col("b").alias("id"))).distinct())
+    links = keep(confirmed(first, texts(ends), width, percent))
     roots = keep(components(links))
-    left = _left_pairs(shared, roots, bits, limit)
+    members = keep(_open_buckets(shared, roots))
+    some = texts(keep(members.select("id").distinct()))
+    fine = keep(some.mapInArrow(_fine(width), "id bigint, " + ", ".join(f"s{k} bigint" for k in range(FINE_LONGS))))
+    left = _left_pairs(members, fine, bits.select("id", "bands"), candidate_limit(percent, FINE_MIN, 1))
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = keep(left.join(done, ["a", "b"], "left_anti"))
-    more = keep(confirmed(left, text_of(left), width, percent))
+    more = keep(confirmed(left, some, width, percent))
     roots = components(roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more))
     named = classes.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(
         *sets, F.coalesce("root", "rep").alias("component_id"))
