@@ -95,8 +95,8 @@ def _segments(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            rids, found = batch.column(0), batch.column(2)
-            out: dict[str, list] = {k: [] for k in ("rid", "first", "count", "key", "seg", "content")}
+            rids, found, weights = batch.column(0), batch.column(2), batch.column(3).to_pylist()
+            out: dict[str, list] = {k: [] for k in ("rid", "rows", "first", "count", "key", "seg", "content")}
             for part in words(batch.column(1)):
                 for r in range(len(part.ptr) - 1):
                     value = part.hash[part.ptr[r]: part.ptr[r + 1]]
@@ -112,6 +112,7 @@ def _segments(width: int):
                                 seen.add(seg)
                             seg -= 1 << 63
                             out["rid"].append(rid)
+                            out["rows"].append(weights[part.first + r])
                             out["first"].append(first)
                             out["count"].append(count)
                             out["key"].append(seg if a["hot"] else a["key"])
@@ -124,11 +125,11 @@ def _segments(width: int):
     return run
 
 
-SEGMENT = "rid bigint, first int, count int, key bigint, seg bigint, content binary"
+SEGMENT = "rid bigint, rows bigint, first int, count int, key bigint, seg bigint, content binary"
 
 
 def _rows(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
 
 
@@ -174,14 +175,13 @@ def repeated_hits(docs: DataFrame, scan: DataFrame, width: int) -> DataFrame:
         "rid", "a.key", "a.first", "a.count")
     keys = keep(each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > HOT).alias("hot")))
     mine = (maybe_in(each, F.col("key"), keys, "key").join(keys, "key")
-            .groupBy("rid").agg(F.collect_list(F.struct("first", "count", "key", "hot")).alias("found")))
+            .groupBy("rid").agg(F.collect_set(F.struct("first", "count", "key", "hot")).alias("found")))
     mine = keep(mine)
-    text = docs.select("rid", "text")
-    rows = maybe_in(text, F.col("rid"), mine, "rid").dropDuplicates(["rid"]).join(mine, "rid")
-    copies = scan.groupBy("rid").agg(F.count("*").alias("rows")).where("rows > 1")
-    segments = keep(rows.mapInArrow(_segments(width), SEGMENT))
-    weight = segments.join(copies, "rid", "left").select("key", "seg", "count", "content", F.coalesce("rows", F.lit(1)).alias("w"))
-    unique = keep(weight.groupBy("key", "seg").agg(F.sum("w").alias("copies"), F.max("count").alias("count"), F.max("content").alias("content")))
+    text = maybe_in(docs.select("rid", "text"), F.col("rid"), mine, "rid")
+    once = text.groupBy("rid").agg(F.max("text").alias("text"), F.count("*").alias("rows"))
+    segments = keep(once.join(mine, "rid").select("rid", "text", "found", "rows").mapInArrow(_segments(width), SEGMENT))
+    unique = keep(segments.groupBy("key", "seg").agg(
+        F.sum("rows").alias("copies"), F.max("count").alias("count"), F.max("content").alias("content")))
     shards = task_count(unique.count(), SHARD)
     hits = keep(unique.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard")
                 .applyInArrow(_search(width), "key bigint, seg bigint, hits bigint"))
