@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tenorgrid.llm import line_frequency, minhash, mixing, packing, substring, token_files
+from tenorgrid.llm import line_frequency, minhash, mixing, packing, secrets, substring, token_files
 
 QUERIES = {
     "op3_minhash_groups": minhash.op3_minhash_groups,
     "op4_mixing": mixing.op4_mixing,
     "op6_substring_dedup": substring.op6_substring_dedup,
+    "op7_secret_ledger": secrets.op7_secret_ledger,
     "op8_token_files": token_files.op8_token_files,
     "op9_quality_lines": line_frequency.op9_quality_lines,
 }
