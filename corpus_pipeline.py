@@ -1,25 +1,53 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+Every stage but the last returns the columns of ``documents``. Rows with a null id cannot be decided on and leave in
+the first stage; ids are taken to be unique apart from repeated rows, of which the second stage keeps one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tenorgrid.llm import line_frequency
+from tenorgrid.llm import line_frequency, minhash, mixing, packing, secrets
 from tenorgrid.llm.common import keep
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the line frequencies accept. A null id cannot be decided on and goes."""
+    """Documents that the base rules and the line frequencies accept."""
     kept = line_frequency.judge(docs).where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each near-duplicate group over five-word shingles at 80 percent."""
+    kept = minhash.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the found secrets replaced."""
+    return secrets.redact(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixed(docs)
+
+
+def packing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 1024 ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("source_mix", source_mix),
+    ("packing", packing_),
 ]
 
-# Near-duplicate classes, tokenizer ids and the packing need code; tests compare them with brute force.
+# Near-duplicate classes, the mix and the tokenizer need code; the tests compare them with brute force.
 ORACLE_SQL = None
 
 

@@ -166,7 +166,7 @@ def blocks(page: str) -> list[tuple[str, float, Node]]:
 
 def _score(text: str, linked: float, holder: Node) -> float:
     n = text.count(" ") + 1
-    score = holder.score + 0.6 * math.log1p(n) - 1.5 - 5.0 * linked
+    score = holder.score + 0.6 * math.log1p(n) - 0.9 - 5.0 * linked
     if text[-1] in ".!?…。！？:;\"”»":
         score += 0.7
     parent = holder.parent or holder

@@ -122,3 +122,19 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to their sources' targets."""
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str | None = "n_chars", **settings) -> DataFrame:
+    """The mix itself, in the columns of ``docs``: whole copies as repeated rows, then the first words of a cut document.
+
+    Ids must be unique; documents without words, or with a null id, are not in the mix. ``length``, where it is a
+    column, follows the text of a cut document.
+    """
+    taken = mix(docs, id, text, **settings).where("taken > 0").select(F.col(id).alias("_id"), "size", "taken")
+    copies, left = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
+    rows = docs.join(taken, docs[id] == taken["_id"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies + (left > 0).cast("long"))))
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
+    rows = rows.withColumn("_cut", F.when(F.col("_copy") > copies, cut))
+    if length in docs.columns:
+        rows = rows.withColumn(length, F.when(F.col("_cut").isNotNull(), F.length("_cut").cast(docs.schema[length].dataType)).otherwise(F.col(length)))
+    return rows.withColumn(text, F.coalesce("_cut", F.col(text))).select(docs.columns)
