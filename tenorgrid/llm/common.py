@@ -35,11 +35,11 @@ def keep(df: DataFrame, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_in(df: DataFrame, key: Column, ids: DataFrame, id_column: str, log2_bits: int = 23) -> DataFrame:
-    """Rows of ``df`` whose key may be among ``ids``: all that are, and few others.
+def mark_maybe(df: DataFrame, key: Column, ids: DataFrame, id_column: str, log2_bits: int = 23) -> DataFrame:
+    """``df`` with ``_maybe``: true for every row whose key is among ``ids``, and for few others.
 
     The ids become a bitmap of ``2 ** log2_bits`` bits, in 64-bit words, so what is broadcast has at most
-    ``2 ** (log2_bits - 6)`` rows whatever the number of ids. Use it to thin out the wide side before an exact join.
+    ``2 ** (log2_bits - 6)`` rows whatever the number of ids.
     """
     def place(c: Column) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(1 << log2_bits))
@@ -47,13 +47,20 @@ def maybe_in(df: DataFrame, key: Column, ids: DataFrame, id_column: str, log2_bi
     bitmap = (ids.select(place(F.col(id_column)).alias("_p"))
               .groupBy((F.shiftright("_p", 6)).alias("_word"))
               .agg(F.bit_or(F.expr("shiftleft(1L, cast(_p & 63 as int))")).alias("_bits")))
-    p = place(key)
-    return (df.withColumn("_p", p).withColumn("_w", F.shiftright(F.col("_p"), 6))
-            .join(F.broadcast(bitmap), F.col("_w") == F.col("_word"), "inner")
-            .where(F.expr("(_bits & shiftleft(1L, cast(_p & 63 as int))) != 0"))
+    return (df.withColumn("_p", place(key)).withColumn("_w", F.shiftright(F.col("_p"), 6))
+            .join(F.broadcast(bitmap), F.col("_w") == F.col("_word"), "left")
+            .withColumn("_maybe", F.coalesce(F.expr("(_bits & shiftleft(1L, cast(_p & 63 as int))) != 0"), F.lit(False)))
             .drop("_p", "_w", "_word", "_bits"))
 
 
+def maybe_in(df: DataFrame, key: Column, ids: DataFrame, id_column: str) -> DataFrame:
+    """Rows of ``df`` whose key may be among ``ids``: thins out the wide side before an exact join.
+
+    The exact join should be an inner one; a semi join would be pushed below this filter.
+    """
+    return mark_maybe(df, key, ids, id_column).where("_maybe").drop("_maybe")
+
+
 def task_count(rows: int, per_task: int) -> int:
     """Number of partitions or shards that grows with the rows."""
     return max(1, -(-rows // per_task))

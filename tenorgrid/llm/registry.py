@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tenorgrid.llm import embeddings, html_cut, line_frequency, minhash, mixing, packing, secrets, substring, token_files
+from tenorgrid.llm import embeddings, html_cut, line_frequency, minhash, mixing, packing, secrets, substring, surrogates, token_files
 
 QUERIES = {
     "op1_near_vectors": embeddings.op1_near_vectors,
     "op2_html_cut": html_cut.op2_html_cut,
     "op3_minhash_groups": minhash.op3_minhash_groups,
     "op4_mixing": mixing.op4_mixing,
+    "op5_pii_surrogates": surrogates.op5_pii_surrogates,
     "op6_substring_dedup": substring.op6_substring_dedup,
     "op7_secret_ledger": secrets.op7_secret_ledger,
     "op8_token_files": token_files.op8_token_files,
