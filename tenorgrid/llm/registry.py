@@ -14,6 +14,7 @@ QUERIES = {
     "op7_secret_ledger": secrets.op7_secret_ledger,
     "op8_token_files": token_files.op8_token_files,
     "op9_quality_lines": line_frequency.op9_quality_lines,
+    "op10_packing": packing.op10_packing,
 }
 
 SQL = {
