@@ -134,16 +134,21 @@ def _rows(out: dict[str, list]) -> pa.RecordBatch:
 
 
 def _search(width: int):
+    """A shard: one row per segment with its copies, and its content from every task that has met it."""
     def run(table: pa.Table) -> pa.Table:
-        contents = table.column("content").combine_chunks()
-        flat = np.frombuffer(b"".join(c.as_buffer() for c in contents), dtype=np.uint64)
-        count = table.column("count").to_numpy().astype(np.int64)
-        copies = table.column("copies").to_numpy()
+        bare = table.column("content").is_null().to_numpy()
+        seg, copies = table.column("seg").to_numpy(), table.column("copies").to_numpy()
+        order = np.argsort(seg[bare])
+        full = table.filter(pa.array(~bare))
+        _, first = np.unique(full.column("seg").to_numpy(), return_index=True)
+        full = full.take(pa.array(first))
+        times = copies[bare][order][np.searchsorted(seg[bare][order], full.column("seg").to_numpy())]
+        flat = np.frombuffer(b"".join(c.as_buffer() for c in full.column("content").combine_chunks()), dtype=np.uint64)
+        count = full.column("count").to_numpy().astype(np.int64)
         start = np.concatenate([[0], np.cumsum(count + width - 1)[:-1]])
         mask = repeated_windows(flat, start, count, width)
-        mask = np.where(copies > 1, (np.int64(1) << count) - 1, mask)
-        hit = mask != 0
-        return pa.table({"key": table.column("key"), "seg": table.column("seg"), "hits": pa.array(mask)}).filter(pa.array(hit))
+        mask = np.where(times > 1, (np.int64(1) << count) - 1, mask)
+        return pa.table({"key": full.column("key"), "seg": full.column("seg"), "hits": pa.array(mask)}).filter(pa.array(mask != 0))
     return run
 
 
@@ -180,10 +185,11 @@ def repeated_hits(docs: DataFrame, scan: DataFrame, width: int) -> DataFrame:
     text = maybe_in(docs.select("rid", "text"), F.col("rid"), mine, "rid")
     once = text.groupBy("rid").agg(F.max("text").alias("text"), F.count("*").alias("rows"))
     segments = keep(once.join(mine, "rid").select("rid", "text", "found", "rows").mapInArrow(_segments(width), SEGMENT))
-    unique = keep(segments.groupBy("key", "seg").agg(
-        F.sum("rows").alias("copies"), F.max("count").alias("count"), F.max("content").alias("content")))
-    shards = task_count(unique.count(), SHARD)
-    hits = keep(unique.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard")
+    copies = keep(segments.groupBy("key", "seg").agg(F.sum("rows").alias("copies")))
+    shards = task_count(copies.count(), SHARD)
+    rows = copies.select("key", "seg", "copies", F.lit(0).alias("count"), F.lit(None).cast("binary").alias("content")).union(
+        segments.where(F.col("content").isNotNull()).select("key", "seg", F.lit(0).cast("long"), "count", "content"))
+    hits = keep(rows.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
                 .applyInArrow(_search(width), "key bigint, seg bigint, hits bigint"))
     return (segments.select("rid", "first", "key", "seg").join(hits, ["key", "seg"])
             .groupBy("rid").agg(F.collect_list(F.struct("first", "hits")).alias("hits")))
