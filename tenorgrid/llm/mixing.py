@@ -130,8 +130,9 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str |
     Ids must be unique; documents without words, or with a null id, are not in the mix. ``length``, where it is a
     column, follows the text of a cut document.
     """
-    taken = mix(docs, id, text, **settings).where("taken > 0").select(F.col(id).alias("_id"), "size", "taken")
-    copies, left = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
+    taken = mix(docs, id, text, **settings).where("taken > 0").select(
+        F.col(id).alias("_id"), F.floor(F.col("taken") / F.col("size")).alias("_whole"), (F.col("taken") % F.col("size")).alias("_left"))
+    copies, left = F.col("_whole"), F.col("_left")
     rows = docs.join(taken, docs[id] == taken["_id"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies + (left > 0).cast("long"))))
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
     rows = rows.withColumn("_cut", F.when(F.col("_copy") > copies, cut))

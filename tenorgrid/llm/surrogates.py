@@ -251,10 +251,11 @@ def replace_entities(docs: DataFrame, text: str = "text", key: bytes = DEMO_KEY)
     marked = mark_maybe(named, F.col("_rid"), per_text, "rid")
     once = (marked.where("_maybe").select("_rid", F.col(text).alias("_text")).groupBy("_rid").agg(F.max("_text").alias("_text"))
             .join(per_text, F.col("_rid") == F.col("rid")).select("rid", "_text", "names"))
-    clean = keep(once.mapInArrow(_replace, "rid bigint, clean string, n bigint"))
+    clean = keep(once.mapInArrow(_replace, "rid bigint, clean string, n bigint")).select(
+        F.col("rid").alias("_name"), F.col("clean").alias("_clean"), F.col("n").alias("_n"))
     plain = marked.where("NOT _maybe").select(*docs.columns, F.lit(0).cast("long").alias("n_entities"))
-    changed = (marked.where("_maybe").join(clean, F.col("_rid") == F.col("rid"), "left")
-               .withColumn(text, F.coalesce("clean", F.col(text))).select(*docs.columns, F.coalesce("n", F.lit(0).cast("long")).alias("n_entities")))
+    changed = (marked.where("_maybe").join(clean, F.col("_rid") == F.col("_name"), "left")
+               .withColumn(text, F.coalesce("_clean", F.col(text))).select(*docs.columns, F.coalesce("_n", F.lit(0).cast("long")).alias("n_entities")))
     return plain.union(changed)
 
 
