@@ -10,7 +10,7 @@ from tenorgrid.functions.values import lookup
 from tenorgrid.operators.aggregates import complement_check
 from tenorgrid.operators.asof import asof_by_date, asof_join, calendar_ffill
 from tenorgrid.operators.joins import join_split, nearest_match, priority_match, reconcile
-from tenorgrid.operators.skew import per_days, salted_join
+from tenorgrid.operators.skew import per_days, dimension_join
 from tenorgrid.plans.futures import asof_and_same_day
 
 
@@ -205,5 +205,5 @@ FROM events JOIN (SELECT event_type, CAST(max(user_id) AS BIGINT) AS w FROM even
 """)
 def join_hot_key(t: Tables) -> DataFrame:
     weight = t.events.groupBy("event_type").agg(F.max("user_id").alias("w"))
-    rows = salted_join(t.events.select("event_type", "event_id", "value"), weight, ["event_type"], "inner")
+    rows = dimension_join(t.events.select("event_type", "event_id", "value"), weight, ["event_type"], "inner")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum(F.col("value") * F.col("w")), 4).alias("weighted"))

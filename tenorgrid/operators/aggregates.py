@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 
 QUANTILE_BINS = 64
 
@@ -51,7 +51,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping
     cuts = [i / QUANTILE_BINS for i in range(1, QUANTILE_BINS)]
     edges = counted.groupBy(*key).agg(
         F.percentile_approx("__v", cuts, 100 * QUANTILE_BINS).alias("__edges"), F.sum("__n").alias("__total"))
-    binned = salted_join(counted, edges, key, "inner").withColumn("__bin", F.expr(_edges_below(0, len(cuts))))
+    binned = dimension_join(counted, edges, key, "inner").withColumn("__bin", F.expr(_edges_below(0, len(cuts))))
     bins = binned.groupBy(*key, "__bin").agg(F.sum("__n").alias("__bn"), F.min("__total").alias("__total"))
     upto = Window.partitionBy(*key).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("__before", F.coalesce(F.sum("__bn").over(upto), F.lit(0)))
@@ -133,7 +133,7 @@ def set_collapse(df: DataFrame, by: Sequence[str], value: str, out: str) -> Data
 
 def share_before(facts: DataFrame, starts: DataFrame, key: str, t: str, start: str, amount: str) -> DataFrame:
     """Per key: total amount, amount before the key's start, and the share of the total it makes up."""
-    rows = salted_join(facts.select(key, t, amount), starts.select(key, start), [key], "inner")
+    rows = dimension_join(facts.select(key, t, amount), starts.select(key, start), [key], "inner")
     return rows.groupBy(key).agg(
         F.coalesce(F.sum(amount), F.lit(0.0)).alias("amount_total"),
         F.coalesce(F.sum(F.when(F.col(t) < F.col(start), F.col(amount))), F.lit(0.0)).alias("amount_before"),

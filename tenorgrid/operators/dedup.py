@@ -15,10 +15,14 @@ def dedup_keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str | Col
     read, and the result depends neither on input order nor on chunking.
     """
     rest = [c for c in (tiebreak or df.columns) if c not in key]
-    rank = F.struct(*(F.col(o) if isinstance(o, str) else o for o in order), *(F.col(c) for c in rest))
-    payload = [c for c in df.columns if c not in key]
-    best = df.groupBy(*key).agg(F.max(F.struct(rank.alias("r"), F.struct(*payload).alias("v"))).alias("__m"))
-    return best.select(*key, "__m.v.*").select(*df.columns)
+    named = {f"__o{i}": F.col(o) if isinstance(o, str) else o for i, o in enumerate(order)}
+    plain = [o for o in order if isinstance(o, str)]
+    # Every column travels once: the ordering, the tie-break, then what is left of the row.
+    first = [named[n].alias(o if isinstance(o, str) and o not in key else n) for n, o in zip(named, order)]
+    seen = {o for o in plain if o not in key}
+    body = [c for c in [*rest, *(c for c in df.columns if c not in key and c not in rest)] if c not in seen]
+    best = df.groupBy(*key).agg(F.max(F.struct(*first, *(F.col(c) for c in body))).alias("__m"))
+    return best.select(*(F.col(c) if c in key else F.col(f"__m.{c}").alias(c) for c in df.columns))
 
 
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:

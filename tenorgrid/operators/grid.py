@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 
 
 def day_range(first: Column, last: Column, step: str = "1 day") -> Column:
@@ -39,7 +39,7 @@ def dense_ffill(daily: DataFrame, group: Sequence[str], leg: Sequence[str], d: s
         "__next": F.lead(d).over(per_leg),
         "__first": F.lag(d).over(per_leg).isNull(),
     })
-    rows = salted_join(rows, span, group, "inner")
+    rows = dimension_join(rows, span, group, "inner")
     day, start, end = F.col(d), F.col("__d0"), F.col("__d1")
     own_end = F.least(F.coalesce(F.date_sub(F.col("__next"), 1), end), end)
     before = F.when(F.col("__first"), day_range(start, F.least(F.date_sub(day, 1), end)))

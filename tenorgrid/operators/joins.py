@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 
 
 def join_split(dim: DataFrame, facts: DataFrame, branches: Sequence[tuple[Column, Column, Column, Column]]) -> DataFrame:
@@ -24,7 +24,7 @@ def join_split(dim: DataFrame, facts: DataFrame, branches: Sequence[tuple[Column
     flat = lambda df, s: df.withColumns({"__branch": s["branch"], "__key": s["key"]})
     d = flat(dim.withColumn("__s", asked).where("__s IS NOT NULL"), F.col("__s")).drop("__s")
     f = flat(facts.withColumn("__s", F.explode(offers)), F.col("__s")).drop("__s")
-    return salted_join(f, d, on, "inner").drop(*on)
+    return dimension_join(f, d, on, "inner").drop(*on)
 
 
 def nearest_match(df: DataFrame, d: str, dim: DataFrame, dim_d: str, tol_days: int, out: str) -> DataFrame:
@@ -39,7 +39,7 @@ def nearest_match(df: DataFrame, d: str, dim: DataFrame, dim_d: str, tol_days: i
         F.min(F.struct(F.abs(F.datediff("__day", "__entry")).alias("gap"), F.col("__entry").alias("entry"))).alias("__b"))
     best = best.select(F.col("__day").alias("__key"), F.col("__b.entry").alias(out))
     keyed = df.withColumn("__key", F.col(d))
-    return salted_join(keyed, best, ["__key"]).drop("__key")
+    return dimension_join(keyed, best, ["__key"]).drop("__key")
 
 
 def priority_match(left: DataFrame, right: DataFrame, rules: Sequence[tuple[Column, Column]], take: str,
@@ -55,7 +55,7 @@ def priority_match(left: DataFrame, right: DataFrame, rules: Sequence[tuple[Colu
         first = right.select(rk.alias(f"__k{i}"), F.col(take).alias(f"__v{i}"), F.col(order).alias("__o"))
         first = first.where(F.col(f"__k{i}").isNotNull()).groupBy(f"__k{i}").agg(
             F.min(F.struct("__o", f"__v{i}")).getField(f"__v{i}").alias(f"__v{i}"))
-        rows = salted_join(rows.withColumn(f"__k{i}", lk), first, [f"__k{i}"]).drop(f"__k{i}")
+        rows = dimension_join(rows.withColumn(f"__k{i}", lk), first, [f"__k{i}"]).drop(f"__k{i}")
         hits.append(f"__v{i}")
     which = F.coalesce(*(F.when(F.col(h).isNotNull(), F.lit(i + 1)) for i, h in enumerate(hits)))
     return rows.withColumns({out: F.coalesce(*hits), rule: which}).drop(*hits)
@@ -73,5 +73,5 @@ def join_dimension_array(df: DataFrame, key: str, array: str, lookup: DataFrame,
                          out: str) -> DataFrame:
     """Sum of a looked-up value over the elements of an array column; unknown elements count zero."""
     items = df.select(key, F.explode_outer(array).alias(on))
-    found = salted_join(items, lookup.select(on, value), [on])
+    found = dimension_join(items, lookup.select(on, value), [on])
     return found.groupBy(key).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias(out))

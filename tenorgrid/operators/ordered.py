@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenorgrid.operators.skew import Bucket, carry_forward, per_seconds, running_total, salted_join
+from tenorgrid.operators.skew import Bucket, carry_forward, per_seconds, running_total, dimension_join
 
 
 def previous_row(df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], out: str = "prev",
@@ -61,7 +61,7 @@ def rank_primary(df: DataFrame, by: Sequence[str], value: str, key: str, out: st
     rank = F.struct(F.col(value).isNull(), -F.col(value), F.col(key))
     best = df.groupBy(*by).agg(F.min(rank).alias("__best"))
     best = best.select(*by, F.col("__best").getField(key).alias("__key"))
-    return salted_join(df, best, by).withColumn(out, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+    return dimension_join(df, best, by).withColumn(out, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
 
 
 def variety_gate(df: DataFrame, by: Sequence[str], t: str, value: str, window_s: int, lo: float = 0.05,

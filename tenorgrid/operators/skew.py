@@ -5,13 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 Bucket = Callable[[Column], Column]
 
-DEFAULT_SALTS = 16
-
-
 def per_days(n: int) -> Bucket:
     """Bucket dates or timestamps into runs of ``n`` days."""
     return lambda t: F.floor(F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")) / F.lit(n)).cast("long")
@@ -22,24 +18,27 @@ def per_seconds(n: int) -> Bucket:
     return lambda t: F.floor(t / F.lit(n)).cast("long")
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """Salt derived from the row itself, so a recomputed task gives each row the same salt."""
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in hashable)), F.lit(salts)).cast("int")
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                salts: int = DEFAULT_SALTS) -> DataFrame:
+def dimension_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
+                   salt_by: Sequence[str] = (), salts: int | None = None) -> DataFrame:
     """Join a table with hot keys to a table with one row per key.
 
-    The right side is repeated once per salt, so one key's left rows meet it in ``salts`` tasks. No hint is
-    given: adaptive execution broadcasts the right side when its measured size allows.
+    By default it is a plain join: adaptive execution broadcasts the right side when its measured size allows and
+    splits skewed partitions of the left side otherwise, and only the columns in use are read. Name ``salt_by`` where
+    the split has to be in the plan: stable id columns of the left side, never sums, which a recomputed task may
+    return with another last digit. The right side is then repeated once per salt, ``salts`` times (by default one
+    per shuffle partition).
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join cannot preserve right rows: {how}")
-    salt = "__salt"
-    spread = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn(salt, row_salt(left, salts)).join(spread, [*on, salt], how).drop(salt)
+        raise ValueError(f"dimension_join cannot preserve right rows: {how}")
+    if not salt_by:
+        return left.join(right, list(on), how)
+    floating = [c for c in salt_by if dict(left.dtypes)[c] in ("float", "double")]
+    if floating:
+        raise ValueError(f"not stable enough for a salt: {floating}")
+    n = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(n)).cast("int")
+    return left.withColumn("__salt", salt).join(spread, [*on, "__salt"], how).drop("__salt")
 
 
 def _enter_buckets(rows: DataFrame, heads: DataFrame, by: Sequence[str], order: Sequence[str], x: str) -> tuple[DataFrame, list]:

@@ -10,7 +10,7 @@ from tenorgrid.functions.fixed import DAY_BAR, HOUR_BAR, LEG_OUTCOME, MINUTE_BAR
 from tenorgrid.functions.text import event_month
 from tenorgrid.functions.times import epoch_iso, month_key
 from tenorgrid.operators.aggregates import last_value, share_before
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 
 DAY_S = 86400
 
@@ -111,7 +111,7 @@ def trailing_bounds(points: DataFrame, ends: DataFrame, now: Column, days: int =
     """
     hours = points.where(F.col("fidelity") == HOUR_BAR).groupBy("market_id", "token_id").agg(
         F.min("ts").alias("h0"), F.max("ts").alias("h1"))
-    rows = salted_join(hours, ends.select("market_id", "closed", "end_ts"), ["market_id"])
+    rows = dimension_join(hours, ends.select("market_id", "closed", "end_ts"), ["market_id"])
     closed = F.coalesce("closed", F.lit(False))
     end = F.when(closed, F.least(F.col("end_ts") + DAY_S, F.col("h1") + 3600)).otherwise(now)
     return rows.withColumn("keep_until", end).withColumn(
@@ -121,7 +121,7 @@ def trailing_bounds(points: DataFrame, ends: DataFrame, now: Column, days: int =
 
 def trailing_trim(points: DataFrame, bounds: DataFrame, fidelity: int = MINUTE_BAR) -> DataFrame:
     """Keep all other resolutions, and of this one the points inside their token's window."""
-    rows = salted_join(points, bounds.select("token_id", "keep_from", "keep_until"), ["token_id"])
+    rows = dimension_join(points, bounds.select("token_id", "keep_from", "keep_until"), ["token_id"])
     inside = F.coalesce(F.col("ts").between(F.col("keep_from"), F.col("keep_until")), F.lit(False))
     return rows.where((F.col("fidelity") != fidelity) | inside).select(*points.columns)
 
@@ -141,7 +141,7 @@ def anomalies(points: DataFrame, markets: DataFrame, spine: DataFrame, ladder_ev
     col = F.col
     ends = markets.select("market_id", "closed", F.when(col("ts") >= 0, col("ts")).alias("end_ts"))
     last = points.where(col("fidelity") == HOUR_BAR).groupBy("market_id", "token_id").agg(F.max("ts").alias("last_ts"))
-    closed = salted_join(last, ends, ["market_id"], "inner").where(col("closed") & col("end_ts").isNotNull())
+    closed = dimension_join(last, ends, ["market_id"], "inner").where(col("closed") & col("end_ts").isNotNull())
     days = lambda a, b: F.round((a - b) / DAY_S, 1)
     end_d, decision_d = col("end_date").try_cast("date"), col("decision_date").try_cast("date")
     shared = markets.where(col("outcome") != OTHER).groupBy("event_id", "outcome").count().where("count > 1")

@@ -183,11 +183,23 @@ def resolve_decade(rows: DataFrame, symbol: str = "symbol", trade_date: str = "t
     }).drop("__fits")
 
 
-def settlement_outrights(feed: DataFrame, first_year: int = 2000, stat_type: int | None = 3) -> DataFrame:
-    """Settlement feed to outright settlements: the last arrival per day and symbol, outrights only."""
+def _outright_rows(feed: DataFrame, first_year: int, stat_type: int | None) -> DataFrame:
     rows = feed if stat_type is None or "stat_type" not in feed.columns else feed.where(
         F.col("stat_type") == stat_type).drop("stat_type")
     last = dedup_keep_last(rows, ["trade_date", "symbol"], ["ts_recv"])
-    outright = last.where((F.year("trade_date") >= first_year) & F.col("symbol").rlike(OUTRIGHT_SYMBOL))
-    return resolve_decade(outright).where(F.col("n_decades") == 1).select(
+    return resolve_decade(last.where((F.year("trade_date") >= first_year) & F.col("symbol").rlike(OUTRIGHT_SYMBOL)))
+
+
+def settlement_outrights(feed: DataFrame, first_year: int = 2000, stat_type: int | None = 3) -> DataFrame:
+    """Settlement feed to outright settlements: the last arrival per day and symbol, outrights only.
+
+    Symbols that fit no decade, or several, have no delivery month; ``decade_counts`` counts them.
+    """
+    return _outright_rows(feed, first_year, stat_type).where(F.col("n_decades") == 1).select(
         "trade_date", "symbol", F.col("delivery_month").alias("dm"), "year", "m", "h", "price", "instrument_id", "ts_recv")
+
+
+def decade_counts(feed: DataFrame, first_year: int = 2000, stat_type: int | None = 3) -> DataFrame:
+    """Outright rows by the number of decades that fit their symbol: n_decades, n_rows, n_symbols."""
+    return _outright_rows(feed, first_year, stat_type).groupBy("n_decades").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("symbol").alias("n_symbols"))

@@ -10,8 +10,9 @@ from tenorgrid.functions.fixed import (BAR_END_SHIFT_S, DAY_BAR, EVENT_PREFIX, H
 from tenorgrid.functions.times import local_date
 from tenorgrid.functions.values import mid_price, ratio
 from tenorgrid.operators.aggregates import last_value, pivot_columns
+from tenorgrid.operators.dedup import dedup_keep_last
 from tenorgrid.operators.grid import dense_ffill
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 
 
 def rung_names(prefix: str, rungs: Sequence[str] = OUTCOMES) -> dict[str, str]:
@@ -36,9 +37,14 @@ def quote_bars(bars: DataFrame) -> DataFrame:
 
 
 def daily_quotes(bars: DataFrame, event_prefix: str = EVENT_PREFIX) -> DataFrame:
-    """Dense daily quotes: the last daily bar of each leg carried over its event's span, whatever its mid."""
+    """Dense daily quotes: the last daily bar of each leg carried over its event's span, whatever its mid.
+
+    Where a trade day has several daily bars (a repeated pull, a change of the clock) the latest by ``ts`` counts.
+    """
     daily = bars.where((F.col("interval") == DAY_BAR) & F.col("event_id").startswith(event_prefix))
     carry = ["ts", "bid_close", "ask_close", "mid", "spread", "price_close", "price_mean", "vol", "oi", "is_partial"]
+    leg_day = ["event_id", "market_id", "outcome", "trade_date"]
+    daily = dedup_keep_last(daily.select(*leg_day, *carry), leg_day, ["ts"])
     grid = dense_ffill(daily, ["event_id"], ["market_id", "outcome"], "trade_date", carry, observed="bar_trade_date")
     return grid.withColumnRenamed("ts", "bar_ts").withColumns({
         "asof_date": F.date_add("trade_date", 1),
@@ -57,7 +63,7 @@ def daily_points(points: DataFrame, markets: DataFrame) -> DataFrame:
         last_value("p", "ts").alias("p"), F.max("ts").alias("ts_last"), F.count("*").alias("n_obs"))
     dim = markets.where(F.col("outcome") != OTHER).select(
         "market_id", "outcome", "outcome_detail", F.col("decision_date").try_cast("date").alias("decision_date"))
-    legs = salted_join(last, dim, ["market_id"], "inner")
+    legs = dimension_join(last, dim, ["market_id"], "inner")
     grid = dense_ffill(legs, ["event_id"], ["market_id", "token_id", "outcome", "outcome_detail", "decision_date"],
                        "date", ["p", "ts_last", "n_obs"], cap="decision_date")
     return grid.withColumn("p_is_half", F.col("p") == 0.5)
@@ -81,7 +87,7 @@ def ladder_daily(quotes: DataFrame, spine: DataFrame, windows: DataFrame) -> Dat
     agg = agg.withColumns(probability_columns("mid", F.col("sum_raw"), MOVE_BP))
     dim = spine.join(windows.select("meeting_date", "prev_effective_date"), "meeting_date").select(
         "meeting_date", F.col("ladder_event").alias("event_id"), "prev_effective_date", "ladder_status", "ladder_result_outcome")
-    rows = salted_join(agg, dim, ["event_id"], "inner")
+    rows = dimension_join(agg, dim, ["event_id"], "inner")
     return rows.withColumns({
         "days_to_decision": F.datediff("meeting_date", "date"),
         "in_window": in_window(F.col("date"), F.col("prev_effective_date"), F.col("meeting_date")),
@@ -101,7 +107,7 @@ def point_ladder_daily(points: DataFrame, links: DataFrame, windows: DataFrame)
     dim = links.where(F.col("role") == "decision").join(
         windows.select("meeting_date", "prev_effective_date"), "meeting_date").select(
         "event_id", "meeting_date", "is_primary", "top_is_any_hike", "n_canonical_legs", "event_title", "prev_effective_date")
-    rows = salted_join(agg, dim, ["event_id"], "inner")
+    rows = dimension_join(agg, dim, ["event_id"], "inner")
     moves = {**{k: F.lit(v) for k, v in MOVE_BP.items()},
              "HIKE50P": F.when(F.col("top_is_any_hike"), 25).otherwise(MOVE_BP["HIKE50P"])}
     return rows.withColumns(probability_columns("yes", F.col("sum_raw"), moves)).withColumns({

@@ -12,7 +12,7 @@ from tenorgrid.functions.values import bucket_change, lookup
 from tenorgrid.operators.aggregates import set_collapse
 from tenorgrid.operators.ordered import rank_primary, window_starts
 from tenorgrid.operators.sets import union_tagged, unnest_array
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 from tenorgrid.sources.schemas import SPINE
 
 
@@ -135,5 +135,5 @@ def link_events(links: DataFrame, markets: DataFrame) -> DataFrame:
         (F.bool_or(F.col("outcome_detail") == "HIKE25P") & ~F.bool_or(F.col("outcome") == "HIKE25")).alias("top_is_any_hike"),
         F.max("event_title").alias("event_title"), F.min(F.col("start_date").try_cast("date")).alias("start_date"),
         F.max(F.col("end_date").try_cast("date")).alias("end_date"))
-    ranked = rank_primary(salted_join(links, totals, ["event_id"]), ["meeting_date", "role"], "volume", "event_id")
+    ranked = rank_primary(dimension_join(links, totals, ["event_id"]), ["meeting_date", "role"], "volume", "event_id")
     return ranked.withColumn("is_primary", (F.col("role") == "decision") & F.col("is_primary"))

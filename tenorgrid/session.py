@@ -31,10 +31,14 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """A new folder below the one named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only a session without that setting (a local test) falls back to a temporary folder.
+    Where that is unset, a local session (a test) sets a temporary folder; a cluster has to name one.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    root = configured or tempfile.mkdtemp(prefix="tenorgrid-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="tenorgrid-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tenorgrid-{uuid.uuid4().hex}"

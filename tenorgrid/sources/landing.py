@@ -9,8 +9,9 @@ from tenorgrid.functions.text import parse_symbol
 from tenorgrid.functions.times import iso_epoch, iso_timestamp, month_contract, month_key
 from tenorgrid.functions.values import lookup, no_nan, number
 from tenorgrid.operators.classify import classify_questions
+from tenorgrid.operators.dedup import dedup_keep_last
 from tenorgrid.operators.joins import nearest_match
-from tenorgrid.operators.skew import salted_join
+from tenorgrid.operators.skew import dimension_join
 from tenorgrid.sources import schemas
 
 
@@ -18,14 +19,49 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
+def unreadable(df: DataFrame, parsed: Column, body: str = "body", rule: str = "unreadable_body") -> DataFrame:
+    """Responses whose body does not give the expected list, whole, with the rule they break.
+
+    ``parsed`` is the expression that a ``flatten_*`` explodes; a body that is cut off or no JSON makes it NULL or a
+    list with a NULL or empty element, and would otherwise leave without a trace.
+    """
+    broken = parsed.isNull() | F.exists(parsed, lambda x: x.isNull())
+    return df.where(F.coalesce(broken, F.lit(True))).withColumn("rule", F.lit(rule))
+
+
+def candle_list(body: str = "body") -> Column:
+    return F.from_json(F.col(body), schemas.CANDLE_JSON)
+
+
+def trade_list(body: str = "body") -> Column:
+    return F.from_json(F.get_json_object(F.col(body), "$.trades"), schemas.TRADE_JSON)
+
+
+def history_list(body: str = "body") -> Column:
+    return F.from_json(F.get_json_object(F.col(body), "$.history"), schemas.HISTORY_JSON)
+
+
+def _arrived(df: DataFrame) -> DataFrame:
+    """The column ``arrival`` (any ordered type) tells which of several responses came last."""
+    return df if "arrival" in df.columns else df.withColumn("arrival", F.lit(0))
+
+
+def _latest(flat: DataFrame, schema, key: list[str]) -> DataFrame:
+    """One row per key, from the latest arrival, ties to the largest row."""
+    typed = flat.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields), "arrival")
+    return dedup_keep_last(typed, key, ["arrival"]).drop("arrival")
+
+
 def flatten_candles(df: DataFrame, body: str = "body", venue: str = "a", now: Column | None = None) -> DataFrame:
-    """Bars of one response per row (``event_id, market_id, outcome, interval, body``) to flat bars.
+    """Bars of one response per row (``event_id, market_id, outcome, interval, body``, ``arrival``) to flat bars.
 
     Nested open/high/low/close objects hold numbers as text; blank means no value. A bar that ends after
-    ``now`` is still in progress. Bars repeated by overlapping requests are kept once.
+    ``now`` is still in progress. Of bars repeated by overlapping requests the latest arrival counts. Bodies that
+    do not parse are rows of ``unreadable(df, candle_list())``.
     """
-    bars = df.select("event_id", "market_id", "outcome", "interval", F.explode(
-        F.from_json(F.col(body), schemas.CANDLE_JSON)).alias("c"))
+    df = _arrived(df)
+    bars = df.select("event_id", "market_id", "outcome", "interval", "arrival", F.explode(candle_list(body)).alias("c"))
+    bars = bars.where(F.col("c").isNotNull())
     side = lambda obj, name: number(F.col(f"c.{obj}.{name}_dollars"))
     cols = {"ts": F.col("c.end_period_ts"), "vol": number("c.volume_fp"), "oi": number("c.open_interest_fp"),
             "venue": F.lit(venue), "is_partial": F.col("c.end_period_ts") > (
@@ -33,27 +69,31 @@ def flatten_candles(df: DataFrame, body: str = "body", venue: str = "a", now: Co
     for prefix, obj, names in (("bid", "yes_bid", "open high low close"), ("ask", "yes_ask", "open high low close"),
                                ("price", "price", "open high low close mean previous")):
         cols |= {f"{prefix}_{n}": side(obj, n) for n in names.split()}
-    flat = _conform(bars.withColumns(cols), schemas.QUOTE_BARS)
-    return flat.dropDuplicates(["market_id", "interval", "ts"])
+    return _latest(bars.withColumns(cols), schemas.QUOTE_BARS, ["market_id", "interval", "ts"])
 
 
 def flatten_trades(df: DataFrame, body: str = "body", venue: str = "a") -> DataFrame:
-    """Trades of one page per row (``event_id, market_id, outcome, body``), once per trade id."""
-    rows = df.select("event_id", "market_id", "outcome", F.explode(
-        F.from_json(F.get_json_object(F.col(body), "$.trades"), schemas.TRADE_JSON)).alias("t"))
+    """Trades of one page per row (``event_id, market_id, outcome, body``, ``arrival``), once per trade id, as it
+    came last. Bodies that do not parse are rows of ``unreadable(df, trade_list())``.
+    """
+    rows = _arrived(df).select("event_id", "market_id", "outcome", "arrival", F.explode(trade_list(body)).alias("t"))
+    rows = rows.where(F.col("t").isNotNull())
     at = iso_timestamp("t.created_time")
     flat = rows.select(
         F.lit(venue).alias("venue"), "event_id", "market_id", "outcome", F.unix_seconds(at).alias("ts"),
         F.unix_micros(at).alias("ts_us"), "t.created_time", "t.trade_id", number("t.count_fp").alias("count"),
         "t.taker_side", "t.taker_book_side", number("t.yes_price_dollars").alias("yes_price"),
         number("t.no_price_dollars").alias("no_price"),
-        F.coalesce("t.is_block_trade", F.lit(False)).alias("is_block_trade"))
-    return _conform(flat, schemas.TRADES).dropDuplicates(["trade_id"])
+        F.coalesce("t.is_block_trade", F.lit(False)).alias("is_block_trade"), "arrival")
+    return _latest(flat, schemas.TRADES, ["trade_id"])
 
 
 def flatten_markets(df: DataFrame, body: str = "body", venue: str = "a", now: Column | None = None) -> DataFrame:
-    """Market metadata (``series_ticker, leg, series_body, body``) to one wide row per market."""
-    parsed = df.withColumn("m", F.from_json(F.col(body), schemas.MARKET_JSON))
+    """Market metadata (``series_ticker, leg, series_body, body``) to one wide row per market.
+
+    A body without a market ticker gives no market; it is a row of ``unreadable_markets(df)``.
+    """
+    parsed = df.withColumn("m", F.from_json(F.col(body), schemas.MARKET_JSON)).where(F.col("m.ticker").isNotNull())
     m = lambda name: F.col(f"m.{name}")
     series = lambda name: F.get_json_object("series_body", f"$.{name}")
     numbers = {"floor_strike": "floor_strike", "cap_strike": "cap_strike", "settlement_value": "settlement_value_dollars",
@@ -77,13 +117,21 @@ def flatten_markets(df: DataFrame, body: str = "body", venue: str = "a", now: Co
     return _conform(parsed.withColumns(cols), schemas.LADDER_MARKETS)
 
 
+def unreadable_markets(df: DataFrame, body: str = "body") -> DataFrame:
+    """Market responses without a ticker, whole."""
+    ticker = F.from_json(F.col(body), schemas.MARKET_JSON)["ticker"]
+    return df.where(ticker.isNull()).withColumn("rule", F.lit("unreadable_body"))
+
+
 def flatten_history(df: DataFrame, body: str = "body", venue: str = "b") -> DataFrame:
     """Price history of one response per row (``event_id, market_id, token_id, outcome, outcome_label,
-    fidelity, body``) to points; the latest response wins where two hold the same point."""
-    points = df.select("event_id", "market_id", "token_id", "outcome", "outcome_label", "fidelity", F.explode(
-        F.from_json(F.get_json_object(F.col(body), "$.history"), schemas.HISTORY_JSON)).alias("h"))
+    fidelity, body``, ``arrival``) to points; the latest response wins where two hold the same point. Bodies that do
+    not parse are rows of ``unreadable(df, history_list())``.
+    """
+    points = _arrived(df).select("event_id", "market_id", "token_id", "outcome", "outcome_label", "fidelity", "arrival",
+                                 F.explode(history_list(body)).alias("h")).where(F.col("h").isNotNull())
     flat = points.select("*", F.lit(venue).alias("venue"), F.col("h.t").alias("ts"), F.col("h.p").alias("p"))
-    return _conform(flat, schemas.POINTS).dropDuplicates(["token_id", "fidelity", "ts"])
+    return _latest(flat, schemas.POINTS, ["token_id", "fidelity", "ts"])
 
 
 def _text_array(c: Column) -> Column:
@@ -112,8 +160,8 @@ def flatten_events(inventory: DataFrame, venue_events: DataFrame, calendar: Data
     g = g.withColumns({"toks": _text_array(F.col("r.clobTokenIds")), "q": F.lower(F.trim("r.question"))})
     record = F.struct("r", "event_neg_risk")
     first = lambda key: g.groupBy("event_id", key).agg(F.min_by(record, "pos").alias(f"by_{key}"))
-    matched = salted_join(markets, first("toks").where(F.size("toks") > 0), ["event_id", "toks"])
-    matched = salted_join(matched, first("q"), ["event_id", "q"])
+    matched = dimension_join(markets, first("toks").where(F.size("toks") > 0), ["event_id", "toks"])
+    matched = dimension_join(matched, first("q"), ["event_id", "q"])
     hit = F.coalesce("by_toks", "by_q")
     matched = matched.withColumns({"r": hit["r"], "neg": hit["event_neg_risk"], "question": F.col("m.q")})
     matched = classify_questions(matched, "question")
@@ -139,7 +187,7 @@ def flatten_events(inventory: DataFrame, venue_events: DataFrame, calendar: Data
         F.col("r.liquidityNum").alias("venue_liquidity"), F.col("r.enableOrderBook").alias("enable_order_book"),
         (F.coalesce("neg", F.lit(False)) | F.coalesce("r.negRisk", F.lit(False))).alias("neg_risk"),
         F.to_json(_text_array(F.col("r.outcomePrices"))).alias("final_outcome_prices"),
-        F.substring(blank("r.description"), 1, 2000).alias("description"))
+        blank("r.description").alias("description"))
     return _conform(flat, schemas.POINT_MARKETS)
 
 

@@ -36,24 +36,40 @@ def manifest_value(spark: SparkSession, path: str, field: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True).select(field)
 
 
+def _series_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    raw = spark.read.schema("date string, value string").csv(list(paths), header=True)
+    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1).alias("series_id"),
+                      F.col("date").alias("raw_date"), F.col("date").try_cast("date").alias("date"),
+                      F.col("value").alias("raw_value"), number("value").alias("value"))
+
+
 def read_series_csv(spark: SparkSession, paths: Sequence[str], venue: str = "rates") -> DataFrame:
     """Two-column series files, one series per file and named by it, to typed long rows.
 
-    Unreadable values (a lone dot) become NULL and keep their row. ``series_header_check`` tests the headers.
+    Unreadable values (a lone dot) become NULL and keep their row; of several rows of one date one with a value
+    counts, the largest. Rows without a readable date are those of ``unreadable_dates``. ``series_header_check``
+    tests the headers.
     """
-    raw = spark.read.schema("date string, value string").csv(list(paths), header=True)
-    series = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1)
-    typed = raw.select(series.alias("series_id"), F.col("date").try_cast("date").alias("date"), number("value").alias("value"))
-    rows = typed.where("date IS NOT NULL").dropDuplicates(["series_id", "date"])
+    typed = _series_rows(spark, paths).where("date IS NOT NULL")
+    rows = typed.groupBy("series_id", "date").agg(F.max("value").alias("value"))
     return rows.select(
         F.lit(venue).alias("venue"), F.col("series_id").alias("event_id"), F.col("series_id").alias("market_id"),
         F.lit("OTHER").alias("outcome"), (F.unix_date("date").cast("bigint") * 86400).alias("ts"),
         "date", "series_id", "value")
 
 
+def unreadable_dates(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Rows of series files whose date does not parse: series_id, raw_date, raw_value, rule."""
+    return _series_rows(spark, paths).where("date IS NULL").select(
+        "series_id", "raw_date", "raw_value", F.lit("unreadable_date").alias("rule"))
+
+
 def series_header_check(spark: SparkSession, paths: Sequence[str], date_name: str = "observation_date") -> DataFrame:
-    """One row per series file: whether its header is the date column and the series id."""
-    text = spark.read.text(list(paths)).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1).alias("series_id"), "value")
+    """One row per series file: whether its first line is the date column and the series id."""
+    text = spark.read.text(list(paths), wholetext=False).select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1).alias("series_id"),
+        (F.col("_metadata.file_block_start")).alias("at"), "value")
+    # Only the block at the start of a file is looked at; the header is the one line of it that can match.
+    head = text.where("at = 0")
     header = F.concat_ws(",", F.lit(date_name), F.col("series_id"))
-    return text.groupBy("series_id").agg(F.bool_or(F.col("value") == header).alias("header_ok"))
+    return head.groupBy("series_id").agg(F.bool_or(F.col("value") == header).alias("header_ok"))

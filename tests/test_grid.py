@@ -1,5 +1,6 @@
 """Dense grids, calendars and the traps around them."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 import datetime as dt
@@ -8,11 +9,12 @@ import datetime as dt
 from tenorgrid.functions.times import (is_federal_holiday, is_weekend, iso_epoch, local_date, month_contract, next_business_day)
 from tenorgrid.functions.values import bucket_change, mid_price, ratio, taker_fee
 from tenorgrid.operators.aggregates import last_value
-from tenorgrid.operators.asof import asof_by_date, calendar_ffill
+from tenorgrid.operators.asof import asof_by_date, asof_join, calendar_ffill
 from tenorgrid.operators.dedup import duplicate_count
 from tenorgrid.operators.grid import date_series, dense_ffill
 from tenorgrid.operators.joins import nearest_match
 from tenorgrid.operators.ordered import gaps
+from tenorgrid.plans.ladder import daily_quotes, quote_bars
 from tests.helpers import d, epoch, order, rows
 
 DAYS = [d("2026-01-01") + dt.timedelta(days=i) for i in range(40)]
@@ -122,3 +124,27 @@ def test_null_traps(spark):
     assert rows(df.groupBy("k").agg(last_value("v", "t").alias("v")), "k", "v") == [("a", 0.5), ("b", None)]
     keys = spark.createDataFrame([(1, None), (1, None), (1, 2), (None, 2)], "a int, b int")
     assert tuple(duplicate_count(keys, ["a", "b"]).first()) == (4, 3, 1)
+
+
+def test_asof_by_date_reads_the_facts_once(spark):
+    bars = spark.createDataFrame([(1, d("2026-01-01")), (2, d("2026-01-05")), (3, d("2026-02-01")), (4, None), (5, d("2025-12-01"))], "i int, day date")
+    rate = spark.createDataFrame([(d("2026-01-01"), 1.0), (d("2026-01-04"), None), (d("2026-01-05"), 3.0), (d("2026-01-05"), 2.0)], "date date, r double")
+    strict = asof_by_date(bars, "day", rate, "date", strict=True)
+    assert rows(strict, "i", "matched_t", "r") == sorted([(1, None, None), (2, d("2026-01-04"), None), (3, d("2026-01-05"), 3.0), (4, None, None), (5, None, None)], key=order)
+    both = asof_by_date(bars, "day", rate, "date")
+    assert rows(both, "i", "matched_t", "r") == sorted([(1, d("2026-01-01"), 1.0), (2, d("2026-01-05"), 3.0), (3, d("2026-01-05"), 3.0), (4, None, None), (5, None, None)], key=order)
+
+
+def test_rows_that_cannot_match_enter_no_ordered_group(spark):
+    left = spark.createDataFrame([("a", 5, 1), (None, 5, 2), ("a", None, 3)], "k string, t int, i int")
+    right = spark.createDataFrame([("a", 4, 1.0), (None, 4, 2.0)], "k string, s int, v double")
+    assert rows(asof_join(left, right, ["k"], "t", "s"), "i", "v") == [(1, 1.0), (2, None), (3, None)]
+
+
+def test_last_bar_of_a_day_counts_in_either_order(spark):
+    bars = [("E", "E-M", "HOLD", 1440, 1767330000 + k * 100, 0.1 * (k + 1), 0.9) for k in range(2)]
+    for order_ in (bars, bars[::-1]):
+        df = spark.createDataFrame(order_, "event_id string, market_id string, outcome string, interval int, ts bigint, bid_close double, ask_close double")
+        full = quote_bars(df.withColumns({c: F.lit(None).cast("double") for c in ("price_close", "price_mean", "vol", "oi")}).withColumn("is_partial", F.lit(False)))
+        got = daily_quotes(full, "").collect()
+        assert len(got) == 1 and got[0]["bid_close"] == pytest.approx(0.2)

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tenorgrid.functions.text import event_month, parse_symbol
 from tenorgrid.operators.classify import classify_questions
-from tenorgrid.plans.futures import futures_bars, settlement_outrights
+from tenorgrid.plans.futures import decade_counts, futures_bars, settlement_outrights
 from tenorgrid.plans.ladder import quote_bars
-from tenorgrid.sources.landing import (flatten_candles, flatten_events, flatten_history, flatten_markets, flatten_trades,
-                                       normalise_bars, token_plan)
+from tenorgrid.sources.landing import (candle_list, flatten_candles, flatten_events, flatten_history, flatten_markets,
+                                       flatten_trades, history_list, normalise_bars, token_plan, trade_list, unreadable,
+                                       unreadable_markets)
 from tenorgrid.sources.readers import (assemble_parts, manifest_value, read_series_csv, read_union_by_name,
-                                       series_header_check)
+                                       series_header_check, unreadable_dates)
 from tenorgrid.sources.schemas import POINTS, RATES, ordered
 from tenorgrid.sources.sinks import materialise, named_table_counts, register_views, write_sorted
 from tests.helpers import d, epoch, order, rows
@@ -56,6 +57,38 @@ def test_history(spark):
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in POINTS] and rows(out, "ts", "p", "fidelity") == [(10, 0.5, 60), (20, 0.6, 60)]
 
 
+HISTORY = "event_id string, market_id string, token_id string, outcome string, outcome_label string, fidelity int, body string, arrival int"
+
+
+def test_latest_arrival_wins_in_either_order(spark):
+    body = lambda p: json.dumps({"history": [{"t": 10, "p": p}]})
+    row = lambda p, n: ("e", "m", "t", "HOLD", "Yes", 60, body(p), n)
+    for order_ in ([row(0.1, 1), row(0.9, 2)], [row(0.9, 2), row(0.1, 1)]):
+        assert rows(flatten_history(spark.createDataFrame(order_, HISTORY)), "ts", "p") == [(10, 0.9)]
+
+
+def test_unreadable_bodies_are_accounted_for(spark):
+    good, cut, bad = json.dumps({"history": [{"t": 10, "p": 0.5}]}), '{"history": [{"t": 10, "p": 0.', "<html>"
+    df = spark.createDataFrame([("e", "m", "t", "HOLD", "Yes", 60, b, i) for i, b in enumerate([good, cut, bad, None])], HISTORY)
+    assert flatten_history(df).count() == 1
+    assert rows(unreadable(df, history_list()), "arrival", "rule") == [(i, "unreadable_body") for i in (1, 2, 3)]
+    trades = df.withColumn("body", F.regexp_replace("body", "history", "trades"))
+    assert rows(unreadable(trades, trade_list()), "arrival") == [(1,), (2,), (3,)]
+    candles = spark.createDataFrame([("[]",), ('[{"end_period_ts": 1}]',), ('[{"end_per',), (None,)], "body string")
+    assert rows(unreadable(candles, candle_list()), "body") == [('[{"end_per',), (None,)]
+    markets = spark.createDataFrame([("S", "H25", "{}", b) for b in ('{"ticker": "T"}', '{"tick', "x", None)],
+                                    "series_ticker string, leg string, series_body string, body string")
+    assert flatten_markets(markets).count() == 1 and unreadable_markets(markets).count() == 3
+
+
+def test_undecided_decades_are_counted(spark):
+    feed = spark.createDataFrame([(d("2022-01-03"), "ZQF2", 99.0, 1, "2022-01-03 20:00:00"), (d("2022-01-03"), "ZQG7", 95.0, 5, "2022-01-03 20:00:00")],
+                                 "trade_date date, symbol string, price double, instrument_id bigint, r string").withColumn(
+        "ts_recv", F.col("r").cast("timestamp")).drop("r")
+    assert rows(decade_counts(feed), "n_decades", "n_rows") == [(0, 1), (1, 1)]
+    assert settlement_outrights(feed).count() == 1
+
+
 def test_events_and_token_plan(spark):
     inventory = {"title": "Fed decision in March?", "start": "2026-01-02", "end": "2026-03-20T00:00:00Z", "closed": True, "markets": [
         {"q": "Fed decreases interest rates by 25 bps?", "tokens": '["1","2"]', "outcomes": '["Yes","No"]', "end": None, "closed": True, "vol": 5.5},
@@ -73,7 +106,7 @@ def test_events_and_token_plan(spark):
         ("0xb", "HOLD", '["3","4"]', "3", "4", "2026-03-18", None, None, True, False),
         ("ev#2", "OTHER", '["7","8"]', "", "", "2026-03-18", 1.0, None, False, False)], key=order)
     first = out.where("market_id = '0xa'").first()
-    assert len(first.description) == 2000 and first.ts == epoch("2026-03-20T00:00:00") and first.question == inventory["markets"][0]["q"]
+    assert len(first.description) == 2500 and first.ts == epoch("2026-03-20T00:00:00") and first.question == inventory["markets"][0]["q"]
     assert rows(token_plan(out), "market_id", "token_id", "label") == sorted([
         ("0xa", "1", "Yes"), ("0xa", "2", "No"), ("0xb", "3", "Yes"), ("0xb", "4", "No"), ("ev#2", "7", "Cut"), ("ev#2", "8", "idx1")], key=order)
 
@@ -138,13 +171,14 @@ def test_bars(spark):
 
 def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "EFFR.csv").write_text("observation_date,EFFR\n2026-01-01,.\n2026-01-02,3.63\n")
-    (tmp_path / "SOFR.csv").write_text("DATE,SOFR\n2026-01-02,3.60\n")
+    (tmp_path / "SOFR.csv").write_text("DATE,SOFR\n2026-01-02,3.60\nnot a date,1\n")
     paths = [str(tmp_path / f) for f in ("EFFR.csv", "SOFR.csv")]
     rates = read_series_csv(spark, paths)
     assert [f.name for f in rates.schema] == [f.name for f in RATES]
     assert rows(rates, "series_id", "date", "value", "ts") == sorted([
         ("EFFR", d("2026-01-01"), None, epoch("2026-01-01T00:00:00")), ("EFFR", d("2026-01-02"), 3.63, epoch("2026-01-02T00:00:00")),
         ("SOFR", d("2026-01-02"), 3.6, epoch("2026-01-02T00:00:00"))], key=order)
+    assert rows(unreadable_dates(spark, paths), "series_id", "raw_date", "raw_value") == [("SOFR", "not a date", "1")]
     assert rows(series_header_check(spark, paths), "series_id", "header_ok") == [("EFFR", True), ("SOFR", False)]
 
     (tmp_path / "manifest.json").write_text('{\n "fetched_at_utc": "2026-09-17T01:02:03",\n "x": {"y": 1}}')

@@ -12,7 +12,7 @@ from tenorgrid.operators.asof import asof_join
 from tenorgrid.operators.dedup import dedup_keep_last, upsert
 from tenorgrid.operators.joins import join_split
 from tenorgrid.operators.ordered import monotonic_violations, previous_row, rank_primary, stale_value_flag, variety_gate
-from tenorgrid.operators.skew import per_days, per_seconds, running_total, salted_join
+from tenorgrid.operators.skew import per_days, per_seconds, dimension_join, running_total
 from tests.helpers import d, order, rows
 
 SMALL = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -100,14 +100,14 @@ def test_upsert_new_wins(spark):
     assert rows(upsert(old, new, ["t"]), "t", "p") == [(1, 0.9), (2, 0.1), (3, 0.2)]
 
 
-def test_salted_join_keeps_every_row(spark):
+def test_dimension_join_keeps_every_row(spark):
     left = spark.createDataFrame([("hot", i) for i in range(500)] + [("none", -1), (None, -2)], "k string, i int")
     right = spark.createDataFrame([("hot", 1.5), ("cold", 2.5)], "k string, w double")
-    out = salted_join(left, right, ["k"])
+    out = dimension_join(left, right, ["k"])
     assert out.count() == 502 and out.where("w = 1.5").count() == 500
-    assert salted_join(left, right, ["k"], "left_anti").count() == 2
+    assert dimension_join(left, right, ["k"], "left_anti").count() == 2
     with pytest.raises(ValueError):
-        salted_join(left, right, ["k"], "full")
+        dimension_join(left, right, ["k"], "full")
 
 
 def test_join_split_equals_or_join(spark):
@@ -145,3 +145,26 @@ def test_scope_without_rows_reports(spark):
     out = scoped_report(df, {"all": F.lit(True), "none": F.col("v") > 9, "null": F.lit(None).cast("boolean")},
                         {"n": lambda s: F.count_if(s)}, quantiles=("v", {"m": 0.5}))
     assert rows(out, "scope", "n", "m") == [("all", 2, 1.5), ("none", 0, None), ("null", 0, None)]
+
+
+def test_salts_are_stable_columns_and_equal_rows_need_no_salt(spark):
+    left = spark.createDataFrame([("hot", 7, 1.5, "text")] * 2000 + [("cold", 8, 2.5, "text")], "k string, i int, x double, t string")
+    right = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, w int")
+    for salted in (dimension_join(left, right, ["k"]), dimension_join(left, right, ["k"], salt_by=["i"], salts=4)):
+        assert salted.groupBy("w").count().orderBy("w").collect() == [(1, 2000), (2, 1)]
+    with pytest.raises(ValueError):
+        dimension_join(left, right, ["k"], salt_by=["x"])
+
+
+def test_dimension_join_reads_only_the_columns_in_use(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = dimension_join(docs, docs.groupBy("lang").count(), ["lang"]).select("doc_id", "count")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan and "n_chars" not in plan
+
+
+def test_keep_last_moves_every_column_once(spark):
+    df = spark.createDataFrame([(1, "a", 5, None), (1, "b", 6, "x"), (1, "c", 6, "y"), (2, None, None, "z")], "k int, a string, t int, b string")
+    assert rows(dedup_keep_last(df, ["k"], ["t"]), "k", "a", "t", "b") == [(1, "c", 6, "y"), (2, None, None, "z")]
+    assert rows(dedup_keep_last(df, ["k"], [F.col("t") * -1], ["a"]), "k", "a", "t", "b") == [(1, "a", 5, None), (2, None, None, "z")]
+    struct = [f.dataType for f in df.groupBy("k").agg(F.max(F.struct("t", "a", "b"))).schema][1]
+    assert len(struct.fields) == 3
