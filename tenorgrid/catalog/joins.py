@@ -124,9 +124,9 @@ def self_join_pairs(t: Tables) -> DataFrame:
 
 
 @query("complement_check", """
-WITH h AS (SELECT user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) // 43200 AS hr, avg(value / 50) AS p FROM events GROUP BY ALL),
-j AS (SELECT y.user_id, abs(y.p + n.p - 1) AS dev FROM h y JOIN h n ON y.user_id = n.user_id AND y.hr = n.hr
-      WHERE y.event_type = 'click' AND n.event_type = 'view')
+WITH h AS (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) // 43200 AS hr, event_type, avg(value / 50) AS p FROM events
+           WHERE event_type IN ('click', 'view') GROUP BY ALL),
+j AS (SELECT user_id, abs(list_sum(list(p)) - 1) AS dev FROM h GROUP BY user_id, hr HAVING count(*) = 2 AND count(p) = 2)
 SELECT count(*) AS n_pairs, count(DISTINCT user_id) AS n_keys, round(median(dev), 6) AS median_dev, round(quantile_cont(dev, 0.95), 6) AS p95_dev,
        round(max(dev), 6) AS max_dev, count(*) FILTER (WHERE dev > 0.05) AS n_above FROM j
 """)

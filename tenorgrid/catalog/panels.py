@@ -123,18 +123,20 @@ COVERAGE_COUNTS = ["ladder_bars_day", "ladder_trades", "points_decision_events",
                    "contract_rows_total", "contract_rows_pre_decision", "contract_rows_in_month", "basis_days_ladder", "basis_days_points"]
 
 
+# One stacked row per thing that counts for a decision, then one conditional count per measure.
 @query("coverage_matrix", with_sql(SPINE_SQL, LADDER_SQL, POINTS_SQL, BARS_SQL, IMPLIED_SQL) + """,
-kc AS (SELECT event_id, count(*) AS n, min(d) AS d0, max(d) AS d1, round(sum(vol)) AS v FROM kq GROUP BY 1),
-kt AS (SELECT strftime(o_orderdate, '%Y-%m') AS event_id, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
-pr AS (SELECT pe.meeting_date, pe.role, count(DISTINCT pe.event_id) AS n_events, count(pp.ts) AS n_rows FROM pe LEFT JOIN pp USING (event_id) GROUP BY 1, 2),
-zr AS (SELECT meeting_date, count(*) AS n, count(*) FILTER (WHERE pre_decision) AS n_pre, count(*) FILTER (WHERE in_month) AS n_in FROM zq GROUP BY 1),
-br AS (SELECT meeting_date, count(*) FILTER (WHERE (k_fair - settle) IS NOT NULL AND pre_decision) AS nk, count(*) FILTER (WHERE (p_fair - settle) IS NOT NULL AND pre_decision) AS np FROM cx GROUP BY 1)
-SELECT s.meeting_date, s.change_bp AS realized_change_bp, kc.d0 AS ladder_first_day, kc.d1 AS ladder_last_day, CAST(kc.v AS DOUBLE) AS ladder_volume,
-       COALESCE(kc.n, 0) AS ladder_bars_day, COALESCE(kt.n, 0) AS ladder_trades, COALESCE(a.n_events, 0) AS points_decision_events, COALESCE(a.n_rows, 0) AS points_decision_hourly,
-       COALESCE(b.n_events, 0) AS points_other_events, COALESCE(b.n_rows, 0) AS points_other_hourly, COALESCE(zr.n, 0) AS contract_rows_total,
-       COALESCE(zr.n_pre, 0) AS contract_rows_pre_decision, COALESCE(zr.n_in, 0) AS contract_rows_in_month, COALESCE(br.nk, 0) AS basis_days_ladder, COALESCE(br.np, 0) AS basis_days_points
-FROM spine s LEFT JOIN kc ON kc.event_id = s.ym LEFT JOIN kt ON kt.event_id = s.ym LEFT JOIN pr a ON a.meeting_date = s.meeting_date AND a.role = 'decision'
-     LEFT JOIN pr b ON b.meeting_date = s.meeting_date AND b.role = 'other' LEFT JOIN zr ON zr.meeting_date = s.meeting_date LEFT JOIN br ON br.meeting_date = s.meeting_date
+thing AS (
+  SELECT meeting_date, 'ladder_bars_day' AS measure, d AS day, vol AS amount FROM kq JOIN spine ON ym = event_id
+  UNION ALL SELECT meeting_date, 'ladder_trades', NULL, NULL FROM orders JOIN spine ON ym = strftime(o_orderdate, '%Y-%m') WHERE o_orderstatus = 'F'
+  UNION ALL SELECT DISTINCT meeting_date, 'points_' || role || '_events', NULL, hash(event_id) FROM pe
+  UNION ALL SELECT meeting_date, 'points_' || role || '_hourly', NULL, NULL FROM pp JOIN pe USING (event_id)
+  UNION ALL SELECT meeting_date, unnest(['contract_rows_total', if(pre_decision, 'contract_rows_pre_decision', NULL), if(in_month, 'contract_rows_in_month', NULL)]), NULL, NULL FROM zq
+  UNION ALL SELECT meeting_date, 'basis_days_ladder', NULL, NULL FROM cx WHERE pre_decision AND k_fair IS NOT NULL AND settle IS NOT NULL
+  UNION ALL SELECT meeting_date, 'basis_days_points', NULL, NULL FROM cx WHERE pre_decision AND p_fair IS NOT NULL AND settle IS NOT NULL)
+SELECT s.meeting_date, any_value(s.change_bp) AS realized_change_bp, min(if(measure = 'ladder_bars_day', day, NULL)) AS ladder_first_day,
+       max(if(measure = 'ladder_bars_day', day, NULL)) AS ladder_last_day, CAST(round(sum(if(measure = 'ladder_bars_day', amount, NULL))) AS DOUBLE) AS ladder_volume, """ + ", ".join(
+    f"CAST(count_if(measure = '{m}') AS BIGINT) AS {m}" for m in COVERAGE_COUNTS) + """
+FROM spine s LEFT JOIN thing USING (meeting_date) GROUP BY s.meeting_date
 """)
 def coverage_matrix(t: Tables) -> DataFrame:
     return panel(t)["coverage_matrix"].select("meeting_date", "realized_change_bp", "ladder_first_day", "ladder_last_day", "ladder_volume", *COVERAGE_COUNTS)

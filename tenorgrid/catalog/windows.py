@@ -67,8 +67,7 @@ def variety(t: Tables) -> DataFrame:
 
 DAILY_SQL = """
 b AS (SELECT user_id % 10 AS event_id, user_id AS market_id, event_type AS outcome, CAST(timezone('America/New_York', to_timestamp(CAST(floor(epoch(ts)) AS BIGINT))) AS DATE) AS date,
-             arg_max(CASE WHEN value < 40 THEN value END, ts) AS p, epoch_us(max(ts)) AS ts_last, count(*) AS n_obs FROM events GROUP BY ALL),
-legs AS (SELECT DISTINCT event_id, market_id, outcome FROM b)"""
+             arg_max(CASE WHEN value < 40 THEN value END, ts) AS p, epoch_us(max(ts)) AS ts_last, count(*) AS n_obs FROM events GROUP BY ALL)"""
 
 
 def daily_legs(t: Tables) -> DataFrame:
@@ -80,15 +79,19 @@ def daily_legs(t: Tables) -> DataFrame:
         F.unix_micros(F.max("ts")).alias("ts_last"), F.count("*").alias("n_obs"))
 
 
+# A row holds from its day to the day before the leg's next row; days before a leg's first row have no row.
 GRID_OUT = """
-SELECT g.event_id, g.market_id, g.outcome, g.date, b.date AS obs_date, CAST(g.date - b.date AS INT) AS stale_days, b.p, b.ts_last, b.n_obs
-FROM grid g ASOF LEFT JOIN b ON g.market_id = b.market_id AND g.outcome = b.outcome AND g.date >= b.date"""
+held AS (SELECT *, lead(date, 1, DATE '9999-12-31') OVER (PARTITION BY market_id, outcome ORDER BY date) AS until FROM b)
+SELECT h.event_id, h.market_id, h.outcome, day AS date, h.date AS obs_date, CAST(day - h.date AS INT) AS stale_days, h.p, h.ts_last, h.n_obs
+FROM held h JOIN days ON days.event_id = h.event_id AND day >= h.date AND day < h.until
+UNION ALL
+SELECT l.event_id, l.market_id, l.outcome, day, NULL, NULL, NULL, NULL, NULL
+FROM (SELECT event_id, market_id, outcome, min(date) AS first FROM b GROUP BY ALL) l JOIN days ON days.event_id = l.event_id AND day < l.first"""
 
 
 @query("dense_grid_ffill", f"""
 WITH {DAILY_SQL},
-span AS (SELECT event_id, min(date) AS d0, max(date) AS d1 FROM b GROUP BY 1),
-grid AS (SELECT legs.*, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM legs JOIN span USING (event_id))
+days AS (SELECT event_id, CAST(unnest(range(min(date), max(date) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM b GROUP BY event_id),
 {GRID_OUT}
 """)
 def dense_grid(t: Tables) -> DataFrame:
@@ -97,8 +100,7 @@ def dense_grid(t: Tables) -> DataFrame:
 
 @query("dense_grid_capped", f"""
 WITH {DAILY_SQL},
-span AS (SELECT event_id, min(date) AS d0, least(max(date), DATE '2023-12-29' + CAST(event_id * 3 AS INT)) AS d1 FROM b GROUP BY 1),
-grid AS (SELECT legs.*, CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM legs JOIN span USING (event_id))
+days AS (SELECT event_id, CAST(unnest(range(min(date), least(max(date), DATE '2023-12-29' + CAST(event_id * 3 AS INT)) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM b GROUP BY event_id),
 {GRID_OUT}
 """)
 def dense_grid_capped(t: Tables) -> DataFrame:
