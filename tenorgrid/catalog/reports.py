@@ -49,7 +49,8 @@ def reconcile_totals(t: Tables) -> DataFrame:
 
 
 @query("series_profile", """
-WITH d AS (SELECT o_custkey % 50 AS series_id, CAST(o_orderdate AS DATE) AS date, o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS value, CASE WHEN o_orderpriority LIKE '4%' THEN 0 ELSE 1 END AS volume FROM orders)
+WITH a AS (SELECT o_custkey % 50 AS series_id, CAST(o_orderdate AS DATE) AS date, o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS value, CASE WHEN o_orderpriority LIKE '4%' THEN 0 ELSE 1 END AS volume FROM orders),
+d AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY series_id, date ORDER BY value IS NULL, o_orderkey DESC) = 1)
 SELECT series_id, count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null, min(date) AS first_date, max(date) AS last_date, arg_max(value, (date, o_orderkey)) FILTER (WHERE value IS NOT NULL) AS last_value,
        max(date) FILTER (WHERE value IS NOT NULL) AS last_value_date, count(*) FILTER (WHERE volume = 0) AS n_zero_volume,
        CAST(DATE '2001-08-10' - max(date) FILTER (WHERE value IS NOT NULL) AS INT) AS stale_days, DATE '2001-08-10' - max(date) FILTER (WHERE value IS NOT NULL) > 7 AS is_stale, count(*) < 30 AS is_short
@@ -60,10 +61,8 @@ def series_profile(t: Tables) -> DataFrame:
         (F.col("o_custkey") % 50).alias("series_id"), F.to_date("o_orderdate").alias("date"), "o_orderkey",
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("value"),
         F.when(F.col("o_orderpriority").startswith("4"), 0).otherwise(1).alias("volume"))
-    daily = dedup_keep_last(rows.where("value IS NOT NULL"), ["series_id", "date"], ["o_orderkey"]).select("series_id", "date", F.col("value").alias("last"))
-    out = cov.series_profile(rows, ["series_id"], "date", "value", F.lit("2001-08-10").cast("date"), volume="volume")
-    final = daily.withColumnRenamed("date", "last_value_date")
-    return out.drop("last_value").join(final, ["series_id", "last_value_date"], "left").withColumnRenamed("last", "last_value")
+    daily = dedup_keep_last(rows, ["series_id", "date"], [F.col("value").isNotNull(), "o_orderkey"]).select("series_id", "date", "value", "volume", "o_orderkey")
+    return cov.series_profile(daily, ["series_id"], "date", "value", F.lit("2001-08-10").cast("date"), volume="volume")
 
 
 @query("event_coverage", """
