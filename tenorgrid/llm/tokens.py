@@ -1,4 +1,5 @@
-"""Token ids of whole texts, word by word: a distinct word is encoded once per worker and looked up afterwards.
+"""Token ids of whole texts, word by word: a distinct word of a batch is encoded once, and looked up if a worker has met
+it before. Words that a worker meets for the second time are kept, up to a bound; most rare words never are.
 
 Byte-level BPE with the usual split pattern never joins what stands before a single space to the word after it, so a
 text is the concatenation of its first word and of " word" units. Texts in which a space has white space after it, or
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END = 0
-KNOWN, LONG, JOINED = 1_000_000, 64, 512
+KNOWN, MET, LONG, JOINED = 500_000, 1 << 23, 64, 512
 # A space before white space of any kind (a superset of what the pattern takes as such) or at the end of the text.
 _ODD = " ([\\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|$)"
 _coders: dict[str, "WordCoder"] = {}
@@ -48,73 +49,91 @@ class WordCoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.pool, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.met = np.zeros(MET, bool)
+        self.pool, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode units, many in one string; a unit's ids are those that cover its bytes."""
-        units = [" " + w for w in new]
-        parts = self._whole(["".join(units[k: k + JOINED]) for k in range(0, len(units), JOINED)])
+    def _units(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, encoded many in one string, and where they end: a unit's ids are those that cover its bytes."""
+        if not new:
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
+        parts = self._whole([" " + " ".join(new[k: k + JOINED]) for k in range(0, len(new), JOINED)])
         ids = np.concatenate(parts)
-        edge = np.cumsum([len(u.encode()) for u in units])
-        stop = np.searchsorted(np.cumsum(self.bytes_of[ids]), edge) + 1
-        start = np.concatenate([[0], stop[:-1]])
-        self.known.update(zip(new, range(len(self.start), len(self.start) + len(new))))
-        self.start = np.concatenate([self.start, start + len(self.pool)])
-        self.size = np.concatenate([self.size, stop - start])
-        self.pool = np.concatenate([self.pool, ids])
+        edge = np.cumsum([len(w.encode()) + 1 for w in new])
+        return ids, (np.searchsorted(np.cumsum(self.bytes_of[ids]), edge) + 1).astype(np.int32)
+
+    def _places(self, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pool of ids, and start and size in it of each name; names met before stay known."""
+        if len(self.known) > KNOWN:
+            self._forget()
+        new = [w for w in names if w not in self.known]
+        spot = np.fromiter(map(hash, new), np.int64, len(new)) & (len(self.met) - 1)
+        again = self.met[spot]
+        self.met[spot] = True
+        keep, rest = [], []
+        for w, a in zip(new, again.tolist()):
+            (keep if a and len(w) <= LONG else rest).append(w)
+        order = keep + rest
+        ids, stop = self._units(order)
+        first = np.concatenate([np.zeros(1, np.int32), stop[:-1]]) if len(stop) else stop
+        pool = np.concatenate([self.pool, ids])
+        start, size = np.concatenate([self.start, first + len(self.pool)]), np.concatenate([self.size, stop - first])
+        n = len(self.known)
+        self.known.update(zip(keep, range(n, n + len(keep))))
+        extra = dict(zip(rest, range(n + len(keep), n + len(order))))
+        index = np.fromiter((self.known[w] if w in self.known else extra[w] for w in names), np.int64, len(names))
+        if keep:
+            self.pool, self.start, self.size = pool[: start[n + len(keep) - 1] + size[n + len(keep) - 1]], start[: n + len(keep)], size[: n + len(keep)]
+        return pool, start[index], size[index]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and the places where texts begin and the last ends."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
         odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False))
-        if len(odd):
-            plain = pc.if_else(pa.array(np.isin(np.arange(n), odd)), "", texts)
-        else:
-            plain = texts
+        plain = pc.if_else(pa.array(np.isin(np.arange(n), odd)), "", texts) if len(odd) else texts
         lists = pc.split_pattern(plain, " ")
         at = lists.offsets.to_numpy().astype(np.int64)
         units = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
         at = at - at[0]
-        code = units.indices.to_numpy().astype(np.int64)
-        heads = [t.split(" ", 1)[0] for t in plain.to_pylist()]
+        code = units.indices.to_numpy()
         tail = np.ones(len(code), bool)
         tail[at[:-1]] = False
         wanted = np.zeros(len(units.dictionary), bool)
         wanted[code[tail]] = True
-        names = units.dictionary.filter(pa.array(wanted)).to_pylist()
-        if len(self.known) > KNOWN:
-            self._forget()
-        new = [w for w in names if w not in self.known]
-        if new:
-            self._learn(new)
-        index = np.zeros(len(wanted), np.int64)
-        index[wanted] = [self.known[w] for w in names]
+        names = units.dictionary.filter(pa.array(wanted))
+        # Units hold no space, so one joined string gives them back as Python strings.
+        one = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), " ")[0].as_py()
+        pool, start_of, size_of = self._places(one.split(" ") if len(names) else [])
+        heads = [t.split(" ", 1)[0] for t in plain.to_pylist()]
 
-        # Pool of this call: the words', then the heads' (whole texts for odd ones), then the end id.
+        # Pool of this call: the units', then the first words' (whole texts for odd ones), then the end id.
         whole = dict(zip(odd.tolist(), self._whole(texts.take(pa.array(odd)).to_pylist()))) if len(odd) else {}
         first = [whole.get(k, h) for k, h in enumerate(self._whole(heads))]
-        sizes = np.array([len(x) for x in first], np.int64)
-        begins = len(self.pool) + np.concatenate([[0], np.cumsum(sizes)])
-        pool = np.concatenate([self.pool, *first, np.array([END], np.int32)])
-        start, size = np.zeros(len(code) + n, np.int64), np.zeros(len(code) + n, np.int64)
-        place = np.arange(len(code)) + np.repeat(np.arange(n), np.diff(at))
-        start[place], size[place] = self.start[index[code]] if len(self.start) else 0, self.size[index[code]] if len(self.size) else 0
-        start[at[:-1] + np.arange(n)], size[at[:-1] + np.arange(n)] = begins[:-1], sizes
+        sizes = np.array([len(x) for x in first], np.int32)
+        begins = len(pool) + np.concatenate([[0], np.cumsum(sizes)])
+        pool = np.concatenate([pool, *first, np.array([END], np.int32)])
+        start_all, size_all = np.zeros(len(wanted), np.int32), np.zeros(len(wanted), np.int32)
+        start_all[wanted], size_all[wanted] = start_of, size_of
+        start, size = np.empty(len(code) + n, np.int32), np.empty(len(code) + n, np.int32)
+        body = np.ones(len(start), bool)
         last = at[1:] + np.arange(n)
+        body[last] = False
+        start[body], size[body] = start_all[code], size_all[code]
+        start[at[:-1] + np.arange(n)], size[at[:-1] + np.arange(n)] = begins[:-1], sizes
         start[last], size[last] = len(pool) - 1, 1
-        edge = np.concatenate([[0], np.cumsum(size)])
-        ids = pool[np.repeat(start - edge[:-1], size) + np.arange(edge[-1])]
-        for w in new:
-            if len(w) > LONG:
-                del self.known[w]
+        edge = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        if edge[-1] < 1 << 30:
+            shift = start - edge[:-1].astype(np.int32)
+            ids = pool[np.repeat(shift, size) + np.arange(edge[-1], dtype=np.int32)]
+        else:
+            ids = pool[np.repeat(start - edge[:-1], size) + np.arange(edge[-1])]
         return ids, edge[np.concatenate([[0], last + 1])]
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: int, limit: int = 6 << 20):
     """Parts of a batch with about ``limit`` bytes of text each."""
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     total, row = np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), 0
