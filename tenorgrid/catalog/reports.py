@@ -207,11 +207,12 @@ def counts_conserved(t: Tables) -> DataFrame:
     return quality.conserved_counts(built, {"orders": t.orders, "lines": t.lineitem})
 
 
-# The hedge layer: a calendar with clashing months, taken from the order months.
+# The hedge layer: a calendar with clashing months. Every order month belongs to the decision of its period.
+DECISION_MONTH = (1, 3, 3, 4, 7, 7, 7, 8, 11, 11, 11, 11)
 HEDGE_SQL = """
 rate AS (SELECT CAST(o_orderdate AS DATE) AS date, round(avg(o_totalprice) / 49999, 9) AS effr FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1),
 cal AS (SELECT c.date, rate.effr, rate.date AS obs FROM (SELECT CAST(unnest(generate_series((SELECT min(date) FROM rate), (SELECT max(date) FROM rate), INTERVAL 1 DAY)) AS DATE) AS date) c ASOF LEFT JOIN rate ON c.date >= rate.date),
-hm AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS m0 FROM orders WHERE month(o_orderdate) IN (1, 3, 4, 7, 8, 11)),
+hm AS (SELECT DISTINCT make_date(year(o_orderdate), [1, 3, 3, 4, 7, 7, 7, 8, 11, 11, 11, 11][month(o_orderdate)], 1) AS m0 FROM orders),
 hd AS (SELECT m0, CAST(CASE WHEN month(m0) = 8 THEN last_day(m0) ELSE m0 + 14 END AS DATE) AS d FROM hm),
 he AS (SELECT m0, d AS meeting_date, CAST(d + CASE isodow(d) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS e FROM hd),
 hs AS (SELECT h.*, CASE WHEN month(e) = month(meeting_date) THEN CAST(last_day(m0) - e + 1 AS INT) ELSE 0 END / CAST(day(last_day(m0)) AS INT) AS w, year(m0) * 12 + month(m0) AS m, year(e) * 12 + month(e) AS em,
@@ -230,8 +231,8 @@ def hedge_calendar(t: Tables) -> DataFrame:
 
 
 def hedge_spine(t: Tables) -> DataFrame:
-    first = t.orders.where(F.month("o_orderdate").isin(1, 3, 4, 7, 8, 11)).select(
-        F.trunc(F.to_date("o_orderdate"), "MM").alias("m0")).distinct()
+    decision = F.element_at(F.array(*map(F.lit, DECISION_MONTH)), F.month("o_orderdate"))
+    first = t.orders.select(F.make_date(F.year("o_orderdate"), decision, F.lit(1)).alias("m0")).distinct()
     s = first.select(F.when(F.month("m0") == 8, F.last_day("m0")).otherwise(F.date_add("m0", 14)).alias("meeting_date"))
     s = s.withColumns(calendar_columns(holidays=False))
     filled = hedge_calendar(t)
