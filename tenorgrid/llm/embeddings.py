@@ -254,3 +254,15 @@ def near_vectors(table: DataFrame, id: str = "vec_id", vector: str = "embedding"
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine 0.98 within equal labels."""
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND NOT list_contains(embedding, NULL)),
+good AS (SELECT * FROM v WHERE list_dot_product(e, e) > 0 AND isfinite(list_dot_product(e, e))),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+         WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= {COSINE}),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+root AS (SELECT a, min(b) AS r FROM reach GROUP BY 1), degree AS (SELECT a, count(*) AS n FROM link GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(r, vec_id)) AS component_id, vec_id <= coalesce(r, vec_id) AS kept
+FROM embeddings LEFT JOIN degree ON degree.a = vec_id LEFT JOIN root ON root.a = vec_id
+"""

@@ -259,3 +259,19 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
 def op3_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents over four-word shingles at 80 percent."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=4)
+
+
+SQL = r"""
+WITH RECURSIVE tok AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM tok),
+win AS (SELECT doc_id, n, i, string_agg(x, ' ') OVER p AS g FROM word
+        WINDOW p AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
+shingle AS (SELECT DISTINCT doc_id, g FROM win WHERE i <= greatest(1, n - 3)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * pair.n >= 80 * (x.n + y.n - pair.n)),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+root AS (SELECT a, min(b) AS r FROM reach GROUP BY 1)
+SELECT tok.doc_id, coalesce(size.n, 0) AS n_shingles, least(tok.doc_id, coalesce(r, tok.doc_id)) AS component_id, tok.doc_id <= coalesce(r, tok.doc_id) AS kept
+FROM tok LEFT JOIN size USING (doc_id) LEFT JOIN root ON root.a = tok.doc_id
+"""

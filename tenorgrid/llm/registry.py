@@ -18,5 +18,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_near_vectors": embeddings.SQL,
+    "op3_minhash_groups": minhash.SQL,
+    "op6_substring_dedup": substring.SQL,
     "op9_quality_lines": line_frequency.SQL,
 }

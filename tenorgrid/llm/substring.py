@@ -215,3 +215,15 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the number of words lost to 35-word windows that occur again, and the digest of the rest."""
     return without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept_text")
+
+
+SQL = rf"""
+WITH tok AS (SELECT doc_id, row_number() OVER () AS rn, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT rn, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM tok),
+win AS (SELECT rn, i, md5(string_agg(x, ' ') OVER p) AS g, count(*) OVER p AS k FROM word
+        WINDOW p AS (PARTITION BY rn ORDER BY i ROWS BETWEEN CURRENT ROW AND {WIDTH - 1} FOLLOWING)),
+hit AS (SELECT rn, i FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM win WHERE k = {WIDTH}) WHERE n > 1),
+left_over AS (SELECT word.rn, word.i, x, coalesce(word.i - hit.i < {WIDTH}, FALSE) AS gone FROM word ASOF LEFT JOIN hit ON word.rn = hit.rn AND word.i >= hit.i),
+kept AS (SELECT rn, count_if(gone) AS n, coalesce(string_agg(x, ' ' ORDER BY i) FILTER (NOT gone), '') AS t FROM left_over GROUP BY rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM tok LEFT JOIN kept USING (rn)
+"""
