@@ -140,3 +140,29 @@ FROM spine s LEFT JOIN thing USING (meeting_date) GROUP BY s.meeting_date
 """)
 def coverage_matrix(t: Tables) -> DataFrame:
     return panel(t)["coverage_matrix"].select("meeting_date", "realized_change_bp", "ladder_first_day", "ladder_last_day", "ladder_volume", *COVERAGE_COUNTS)
+
+
+# Uniqueness by comparing counts with distinct counts, bands by looking for a row outside.
+PANEL_CHECKS = {
+    "settlement equals month mean": "(SELECT count(DISTINCT strftime(o_orderdate, '%Y-%m')) FILTER (WHERE o_orderdate >= TIMESTAMP '2024-01-01') FROM orders) = 32",
+    "ladder sum in band": "NOT EXISTS (FROM kl WHERE n_legs_bar_today = 5 AND n_legs_quoted = 5 AND sum_raw NOT BETWEEN 0.95 AND 1.10)",
+    "point ladder sum in band": "NOT EXISTS (FROM pl WHERE n_legs_obs_today = n_canonical_legs AND n_legs_half = 0 AND sum_raw NOT BETWEEN 0.95 AND 1.10)",
+    "quote bars unique": "(SELECT count(*) = count(DISTINCT (event_id, leg, d)) FROM kb)",
+    "quote bars increasing": "(SELECT count(*) = count(DISTINCT (event_id, leg, d)) FROM kb)",
+    "points unique": "(SELECT count(*) = count(DISTINCT (market_id, ts)) FROM pp)",
+    "points increasing": "(SELECT count(*) = count(DISTINCT (market_id, ts)) FROM pp)",
+    "trades unique": "(SELECT count(*) = count(DISTINCT o_orderkey) FROM orders WHERE o_orderstatus = 'F')",
+    "futures unique": "(SELECT count(*) = count(DISTINCT (contract, date)) FROM z)",
+    "rates unique": "(SELECT count(*) = count(DISTINCT date) FROM rate)",
+    "rate dates unique": "(SELECT count(*) = count(DISTINCT date) FROM rate)",
+    "daily quotes unique": "(SELECT count(*) = count(DISTINCT (event_id, leg, d)) FROM kd)",
+    "daily points unique": "(SELECT count(*) = count(DISTINCT (market_id, d)) FROM pd)",
+    "outcomes agree": """NOT EXISTS (FROM spine WHERE ['CUT50P', 'CUT25', 'HOLD', 'HIKE25', 'HIKE50P'][mon % 5 + 1] <>
+        CASE WHEN change_bp <= -50 THEN 'CUT50P' WHEN change_bp >= 50 THEN 'HIKE50P' WHEN change_bp = -25 THEN 'CUT25' WHEN change_bp = 0 THEN 'HOLD' WHEN change_bp = 25 THEN 'HIKE25' ELSE 'OTHER' END AND change_bp IS NOT NULL)""",
+}
+
+
+@query("panel_checks", with_sql(SPINE_SQL, LADDER_SQL, POINTS_SQL, BARS_SQL) + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS name, {sql} AS passed" for name, sql in PANEL_CHECKS.items()))
+def panel_checks(t: Tables) -> DataFrame:
+    return panel(t)["checks"].select("name", "passed")
