@@ -51,7 +51,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping
     cuts = [i / QUANTILE_BINS for i in range(1, QUANTILE_BINS)]
     edges = counted.groupBy(*key).agg(
         F.percentile_approx("__v", cuts, 100 * QUANTILE_BINS).alias("__edges"), F.sum("__n").alias("__total"))
-    binned = dimension_join(counted, edges, key, "inner").withColumn("__bin", F.expr(_edges_below(0, len(cuts))))
+    # Without a group the edges are one row, read by a scalar subquery.
+    binned = dimension_join(counted, edges, key, "inner") if g else _attach(counted, edges.drop("__all"))
+    binned = binned.withColumn("__bin", F.expr(_edges_below(0, len(cuts))))
     bins = binned.groupBy(*key, "__bin").agg(F.sum("__n").alias("__bn"), F.min("__total").alias("__total"))
     upto = Window.partitionBy(*key).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("__before", F.coalesce(F.sum("__bn").over(upto), F.lit(0)))
