@@ -158,7 +158,7 @@ def _confirm(width: int, percent: int):
             for x, y in zip(*sets):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
     return run
 
 
