@@ -47,13 +47,13 @@ SYLLABLES = {"latin": "ba be bo da de di fa fi ga ge ha he ka ke ki la le li lo
 
 _NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’-]+|[А-ЯЁ][а-яё-]+"
 ENTITY = re.compile(
-    r"(?P<email>(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
+    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
     r"|(?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w.+-])[3-6]\d{3}(?:[\x20-]?\d{4}){2}[\x20-]?\d{1,7}(?!\w))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[\x20.-]?)(?:\(\d{1,4}\)[\x20.-]?)?\d{1,5}(?:[\x20.-]\d{1,5}){0,5}(?!\w)"
+    r"|(?P<card>(?<!\w)(?<!\d[.+-])[3-6]\d{3}(?:[\x20-]?\d{4}){2}[\x20-]?\d{1,7}(?!\w))"
+    r"|(?P<phone>(?<![\w.])\+1[\x20.-]?(?:\(\d{3}\)|\d{3})[\x20.-]?\d{3}[\x20.-]?\d{4}(?!\d)|(?<![\w.])(?:\+\d{1,3}[\x20.-]?)(?:\(\d{1,4}\)[\x20.-]?)?\d{1,5}(?:[\x20.-]\d{1,5}){0,5}(?!\w)"
     r"|(?<![\w.])\(\d{3}\)\x20?\d{3}[-.\x20]\d{4}(?!\w)|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-]))"
     r"|(?P<name>(?<!\w)(?P<title>" + "|".join(sorted(ADDRESS, key=len, reverse=True)) + rf")\.?\x20(?P<one>{_NAME})(?:\x20(?P<two>{_NAME}))?)")
 # Holds for every text with an entity.

@@ -144,6 +144,12 @@ def test_surrogates(spark):
     assert surrogates.replace_entities(df.limit(0)).count() == 0
 
 
+def test_entities_beside_other_text():
+    text = "éjohn.doe@mail.com,.4111111111111111 +1 (564) 555-4526 12 x ###152.143.123.131### 3.14 2024-01-02 v1.2.3.4.5 4785380592391139$$$"
+    assert [(text[a:b], k) for a, b, k, _ in surrogates.find(text)] == [
+        ("john.doe@mail.com", "email"), ("4111111111111111", "card"), ("+1 (564) 555-4526", "phone"), ("152.143.123.131", "ip"), ("4785380592391139", "card")]
+
+
 def test_surrogates_draw_again_on_collisions(spark):
     """A space of 81 addresses with 60 entities: all replacements differ, and none is an entity."""
     entities = spark.createDataFrame([("ip", f"1.1.{a}.{b}") for a in range(1, 9) for b in range(1, 9)]
