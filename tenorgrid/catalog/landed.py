@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, functions as F
 
 from tenorgrid.catalog.registry import Tables, query
@@ -9,8 +11,12 @@ from tenorgrid.functions.fixed import MONTH_CODES
 from tenorgrid.functions.text import event_month
 from tenorgrid.plans.futures import decade_counts, settlement_outrights
 from tenorgrid.plans.hedge import basis_cents, before_decision
+from tenorgrid.session import shared_folder
 from tenorgrid.sources.landing import (flatten_candles, flatten_history, flatten_markets, flatten_trades, history_list,
                                        unreadable, unreadable_markets)
+from tenorgrid.sources.readers import assemble_parts, manifest_value, read_series_csv, series_header_check, unreadable_dates
+from tenorgrid.sources.schemas import ordered
+from tenorgrid.sources.sinks import materialise, register_views, write_sorted
 
 
 def _json(**fields: Column) -> Column:
@@ -155,3 +161,68 @@ def cents(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", d.alias("date"), F.date_sub(F.last_day(d), F.col("l_linenumber")).alias("meeting_date"),
                              F.round(basis_cents(F.col("l_extendedprice"), F.col("l_quantity")), 6).alias("cents"))
     return before_decision(rows).drop("meeting_date")
+
+
+# Files that a query writes to the shared folder and reads back.
+SERIES = {"EFFR": "1-URGENT", "SOFR": "2-HIGH"}
+
+
+def _series_files(t: Tables) -> list[str]:
+    """One folder of CSV parts per series; days with an even order count have no value, every 17th no date."""
+    folder = shared_folder(t.spark)
+    for name, priority in SERIES.items():
+        daily = t.orders.where(F.col("o_orderpriority") == priority).groupBy(F.to_date("o_orderdate").alias("d")).agg(
+            F.round(F.max("o_totalprice"), 2).alias("v"), F.count("*").alias("n"))
+        daily.select(F.when(F.dayofyear("d") % 17 == 0, "n/a").otherwise(F.col("d").cast("string")).alias("observation_date"),
+                     F.when(F.col("n") % 2 == 0, ".").otherwise(F.col("v").cast("string")).alias(name)).write.csv(f"{folder}/{name}.csv", header=True)
+    return [f"{folder}/{name}.csv" for name in SERIES]
+
+
+SERIES_SQL = """
+WITH s AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'EFFR' ELSE 'SOFR' END AS series_id, CAST(o_orderdate AS DATE) AS date, CASE WHEN count(*) % 2 = 1 THEN max(o_totalprice) END AS value
+           FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2)
+"""
+
+
+@query("read_series_csv", SERIES_SQL + "SELECT series_id, date, value, CAST(epoch(date) AS BIGINT) AS ts FROM s WHERE dayofyear(date) % 17 <> 0")
+def series(t: Tables):
+    return read_series_csv(t.spark, _series_files(t)).select("series_id", "date", "value", "ts")
+
+
+@query("unreadable_dates", SERIES_SQL + "SELECT series_id, 'n/a' AS raw_date, count(*) AS n FROM s WHERE dayofyear(date) % 17 = 0 GROUP BY 1")
+def undated(t: Tables):
+    return unreadable_dates(t.spark, _series_files(t)).groupBy("series_id", "raw_date").agg(F.count("*").alias("n"))
+
+
+@query("series_header_check", "SELECT DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'EFFR' ELSE 'SOFR' END AS series_id, TRUE AS header_ok FROM orders WHERE o_orderpriority < '3'")
+def headers(t: Tables):
+    return series_header_check(t.spark, _series_files(t))
+
+
+@query("manifest_value", """
+WITH m AS (SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders)
+SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), d) <= 30 AS recent FROM orders, m
+""")
+def manifest(t: Tables):
+    path = shared_folder(t.spark)
+    t.orders.agg(F.max(F.to_date("o_orderdate")).cast("string").alias("fetched"), F.count("*").alias("rows")).write.json(path)
+    fetched = manifest_value(t.spark, path, "fetched").scalar().cast("date")
+    return t.orders.select("o_orderkey", (F.datediff(fetched, F.to_date("o_orderdate")) <= 30).alias("recent"))
+
+
+@query("assemble_parts", "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice FROM orders")
+def parts(t: Tables):
+    """Parts of one table staged in folders of their own; one part lacks a column."""
+    folder = shared_folder(t.spark)
+    for status in "FOP":
+        part = t.orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus", "o_totalprice")
+        write_sorted(part.drop("o_totalprice") if status == "P" else part, f"{folder}/{status}", ["o_orderkey"])
+    return assemble_parts(t.spark, folder, ordered("o_orderkey bigint, o_orderstatus string, o_totalprice double"))
+
+
+@query("materialised_view", "SELECT o_orderpriority, count(*) AS n, round(max(o_totalprice), 2) AS top FROM orders GROUP BY 1")
+def materialised(t: Tables):
+    name = f"orders_{uuid.uuid4().hex}"
+    built = materialise(t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), name)
+    view, = register_views({f"v_{name}": built})
+    return t.spark.sql(f"SELECT o_orderpriority, count(*) AS n, round(max(o_totalprice), 2) AS top FROM {view} GROUP BY 1")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tenorgrid.functions.values import number
@@ -36,9 +36,14 @@ def manifest_value(spark: SparkSession, path: str, field: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True).select(field)
 
 
+def _series_name() -> Column:
+    """The name before ``.csv`` of a file, or of a folder of part files."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv(?:/[^/]+)?$", 1).alias("series_id")
+
+
 def _series_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     raw = spark.read.schema("date string, value string").csv(list(paths), header=True)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1).alias("series_id"),
+    return raw.select(_series_name(),
                       F.col("date").alias("raw_date"), F.col("date").try_cast("date").alias("date"),
                       F.col("value").alias("raw_value"), number("value").alias("value"))
 
@@ -67,8 +72,7 @@ def unreadable_dates(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def series_header_check(spark: SparkSession, paths: Sequence[str], date_name: str = "observation_date") -> DataFrame:
     """One row per series file: whether its first line is the date column and the series id."""
     text = spark.read.text(list(paths), wholetext=False).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv$", 1).alias("series_id"),
-        (F.col("_metadata.file_block_start")).alias("at"), "value")
+        _series_name(), (F.col("_metadata.file_block_start")).alias("at"), "value")
     # Only the block at the start of a file is looked at; the header is the one line of it that can match.
     head = text.where("at = 0")
     header = F.concat_ws(",", F.lit(date_name), F.col("series_id"))
