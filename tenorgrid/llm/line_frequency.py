@@ -5,8 +5,8 @@ host's limit are boilerplate: they are removed from all documents but the first
 which too little is left is rejected. Besides, every document gets its base figures and is rejected if they fail.
 
 Two decisions keep sound documents. Copies of a text are not a template, so "distinct documents" counts distinct
-sketches (the smallest and the largest word), which copies and most near copies share. And the first document of a
-host keeps its lines, so that no content leaves the corpus altogether.
+texts, by the hash of the whole text. And the first document of a host keeps its lines, so that no content leaves the
+corpus altogether.
 
 Null text: no words, no lines; base rules reject it. Null host: one host of its own. Repeated rows: each is judged as
 a row. Other columns of the input are left alone.
@@ -40,7 +40,7 @@ def ink(text: Column) -> Column:
 
 
 def document_figures(docs: DataFrame, id: str, text: str, host: str) -> DataFrame:
-    """One row per row of ``docs``: id, host key, base figures, sketch and the hashed lines with their ink."""
+    """One row per row of ``docs``: id, host key, base figures, hash of the text and the hashed lines with their ink."""
     one = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(host)).alias("host"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     one = one.select("id", "host", "t", F.regexp_extract_all("t", F.lit(WORD), F.lit(0)).alias("w"),
                      F.filter(F.split("t", "\n", -1), lambda x: x.rlike(WORD)).alias("l"))
@@ -48,7 +48,7 @@ def document_figures(docs: DataFrame, id: str, text: str, host: str) -> DataFram
         "id", "host", F.size("w").cast("long").alias("n_words"), ink(F.col("t")).alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
-        F.xxhash64(F.array_min("w"), F.array_max("w")).alias("sketch"),
+        F.xxhash64("t").alias("copy"),
         F.transform("l", lambda x: F.struct(F.xxhash64(normal_line(x)).alias("h"), ink(x).alias("c"))).alias("lines"),
         F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
     grams = F.when(F.col("n_words") >= 5, F.transform(
@@ -69,10 +69,10 @@ def document_figures(docs: DataFrame, id: str, text: str, host: str) -> DataFram
 
 def frequent_lines(figures: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """Lines of each host in more than ``min_docs`` distinct documents and more than ``max_share`` of the host's."""
-    lines = figures.select("id", "host", "sketch", F.explode("lines.h").alias("h"))
-    per_sketch = lines.groupBy("host", "h", "sketch").agg(F.min("id").alias("first"))
-    counts = per_sketch.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first").alias("first"))
-    hosts = (figures.select("host", "sketch").groupBy("host", "sketch").agg(F.lit(1).alias("one"))
+    lines = figures.select("id", "host", "copy", F.explode("lines.h").alias("h"))
+    per_text = lines.groupBy("host", "h", "copy").agg(F.min("id").alias("first"))
+    counts = per_text.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("first").alias("first"))
+    hosts = (figures.select("host", "copy").groupBy("host", "copy").agg(F.lit(1).alias("one"))
              .groupBy("host").agg(F.count("*").alias("docs")))
     return (counts.where(F.col("n") > min_docs).join(hosts, "host")
             .where(F.col("n") > F.col("docs") * F.lit(max_share)).select("host", "h", "n", "first"))

@@ -105,6 +105,14 @@ def test_frequent_lines_are_removed_but_for_the_first(spark):
     assert clean[0] == rows[0][1] and clean[1] == h.prose(30, 1)
 
 
+def test_lines_are_counted_over_distinct_texts(spark):
+    """A template line that holds the smallest and the largest word of every document; copies still count once."""
+    rows = [(k, "#1 of the site ©\n" + h.prose(30, k), "host") for k in range(40)]
+    rows += [(100 + k, "copied line\n" + h.prose(30, 999), "host") for k in range(40)]
+    got = {r["doc_id"]: r["removed_chars"] for r in line_frequency.judge(h.table(spark, rows)).collect()}
+    assert got == {k: 0 if k == 0 or k >= 100 else 12 for k in got} and len(got) == 80
+
+
 def test_tokens_equal_the_library(coder):
     import random
 
