@@ -13,9 +13,8 @@ from tenorgrid.llm.common import keep
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the line frequencies accept."""
-    kept = line_frequency.judge(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Documents that the base rules and the line frequencies accept, without the frequent lines of their hosts."""
+    return line_frequency.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

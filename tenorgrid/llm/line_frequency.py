@@ -82,7 +82,11 @@ def judge(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "
           min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per row of ``docs``: its id, base figures, ``removed_chars``, ``base_failed``, ``depleted``, ``kept``."""
     figures = keep(document_figures(docs, id, text, host).withColumn("row", F.monotonically_increasing_id()))
-    often = frequent_lines(figures, min_docs, max_share)
+    return verdicts(figures, frequent_lines(figures, min_docs, max_share), id, min_left)
+
+
+def verdicts(figures: DataFrame, often: DataFrame, id: str = "doc_id", min_left: float = MIN_LEFT) -> DataFrame:
+    """What ``judge`` returns, from figures with a ``row`` number and the frequent lines."""
     lines = figures.select("row", "id", "host", F.explode("lines").alias("l")).select("row", "id", "host", "l.h", "l.c")
     removed = (lines.join(often, ["host", "h"]).where(F.coalesce(F.col("id") != F.col("first"), F.lit(True)))
                .groupBy("row").agg(F.sum("c").alias("removed_chars")))
@@ -103,7 +107,11 @@ def without_frequent_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
     Ids must be unique here. A null text stays null.
     """
     figures = keep(document_figures(docs, id, text, host))
-    often = frequent_lines(figures, min_docs, max_share)
+    return take_out(docs, figures, frequent_lines(figures, min_docs, max_share), id, text)
+
+
+def take_out(docs: DataFrame, figures: DataFrame, often: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the lines ``often`` of their hosts in ``text``."""
     bad = (figures.select("id", "host", F.explode("lines.h").alias("h")).join(often, ["host", "h"])
            .where(F.col("id") != F.col("first")).groupBy(F.col("id").alias("_id")).agg(F.collect_set("h").alias("_bad")))
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~(
@@ -112,6 +120,20 @@ def without_frequent_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
     return joined.withColumn(text, F.when(F.col("_bad").isNull(), F.col(text)).otherwise(kept)).select(docs.columns)
 
 
+def accepted(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", length: str = "n_chars",
+             min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+    """The kept documents of ``judge`` with their frequent lines taken out of ``text``, from one table of figures.
+
+    Of the documents that change, ``length`` becomes the number of characters. Rows with a null id leave.
+    """
+    figures = keep(document_figures(docs, id, text, host).withColumn("row", F.monotonically_increasing_id()))
+    often = keep(frequent_lines(figures, min_docs, max_share))
+    judged = verdicts(figures, often, id, min_left).where("kept").select(id)
+    clean = take_out(docs.withColumn("_old", F.col(text)).join(judged, id, "left_semi"), figures, often, id, text)
+    return (clean.withColumn(length, F.when(F.col(text) != F.col("_old"), F.length(text).cast(docs.schema[length].dataType))
+                             .otherwise(F.col(length))).select(docs.columns))
+
+
 def op9_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its base figures and the verdict of the line frequencies."""
     return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -182,6 +182,31 @@ def test_quality_rules_run_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_first_stage_takes_frequent_lines_out(spark):
+    """Against brute force: lines in more than 30 distinct texts and 3 % of a host's leave all but its first document."""
+    rows = [(k, f"Menu  {k % 10} of the SITE\n" + h.prose(40, k) + "\nFooter line", "a" if k % 3 else None) for k in range(120)]
+    rows += [(200 + k, "Copied line\n" + h.prose(40, 999), "a") for k in range(40)] + [(300, "Menu 1 of the site\nfooter line\nshort", "a")]
+    rows += [(400, h.prose(30, 8) + "\nFOOTER LINE", "b"), rows[5], rows[5]]
+
+    def normal(line):
+        return re.sub("[1-9]", "0", " ".join(h.words(h.lower(line))))
+
+    texts, first = {}, {}
+    for d, t, s in rows:
+        for x in {normal(x) for x in t.split("\n") if h.words(x)}:
+            texts.setdefault((s, x), set()).add(t)
+            first[s, x] = min(d, first.get((s, x), d))
+    totals = {s: len({t for _, t, z in rows if z == s}) for s in ("a", "b", None)}
+    expected = []
+    for d, t, s in rows:
+        lines = [x for x in t.split("\n") if not (h.words(x) and len(texts[s, normal(x)]) > max(30, 0.03 * totals[s]) and d != first[s, normal(x)])]
+        if d != 300:
+            expected.append((d, "\n".join(lines), len("\n".join(lines))))
+    got = sorted((r["doc_id"], r["text"], r["n_chars"]) for r in corpus_pipeline.quality_rules(spark, h.table(spark, rows), h.FOLDER).collect())
+    assert got == sorted(expected)
+    assert sum(t != dict((d, t) for d, t, _ in rows)[d] for d, t, _ in got) > 100
+
+
 def test_pipeline(spark):
     rows = [(d, t, s) for d, t, s in h.corpus()] + [(None, h.prose(50, 8), "a"), (900, h.prose(80, 900) + " password: abcDEF123456 end", "a")]
     docs = h.table(spark, rows)
