@@ -23,16 +23,25 @@ from pyspark.sql import functions as F
 
 from tenorgrid.llm.common import keep
 
-RULES_VERSION = 1
+RULES_VERSION = 2
 LEDGER = "blob string, rules_version int, spans array<struct<kind:string,start:int,end:int>>"
 
+# A private key ends at its END line, which lies before the next BEGIN. Without one it has the headers and the base64
+# block behind BEGIN: long runs, and shorter ones that fill a line. Line breaks may be written as \n in a string.
+_B64, _BREAK, _GAP = r"[A-Za-z0-9+/]", r"(?:\r?\n|\r|(?:\\r)?\\n)", r"(?:[\s>\"',]|\\[nr])+"
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY-----"
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z0-9 ]{0,30}PRIVATE KEY-----"
+    rf"|(?:(?:{_GAP}[A-Za-z-]+:\x20[^\n\\]*)+(?={_GAP}{_B64}{{16}}))?"
+    rf"(?:{_GAP}{_B64}{{24,}}={{0,2}}|{_BREAK}[\x20\t>\"']*{_B64}+={{0,2}}(?=[\x20\t\"',;]*(?:{_BREAK}|\Z)))*)")
+
 # The rules, in the order of their listing. The first three are the base rules; a match of `assign`
 # counts with 12 or more characters in group 2. The others are the published shapes of common credentials.
 RULES: list[tuple[str, re.Pattern]] = [
     ("assign", re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)),
     ("access", re.compile(r"AKIA[A-Z0-9]{14,}")),
     ("hex", re.compile(r"[0-9a-f]{16,}")),
-    ("private_key", re.compile(r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY-----")),
+    ("private_key", re.compile(PRIVATE_KEY)),
     ("github", re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}")),
     ("slack", re.compile(r"xox[abeoprs]-[A-Za-z0-9-]{10,}")),
     ("google", re.compile(r"AIza[A-Za-z0-9_-]{35}")),
