@@ -3,7 +3,8 @@
 Entities are found by their shapes: mail addresses, phone numbers, IPv4 and IPv6 addresses, card, account and social
 security numbers, and names behind a form of address. Each distinct entity gets a replacement of its own type and
 format from a keyed hash: digits stay digits at their places, check digits are valid where they were, names keep the
-gender of their form of address, the script and the capitals. One entity has one replacement in the whole corpus,
+gender of their form of address (in Latin and Cyrillic, which have lists of first names), the script and the capitals,
+and initials follow the name behind them. One entity has one replacement in the whole corpus,
 however it is written (coreference), and two entities never share one: claims to a replacement are counted over all
 distinct entities, the first keeps it, the others draw again, and no replacement may be an entity of the corpus.
 
@@ -19,7 +20,10 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +49,28 @@ FIRST = {
 SYLLABLES = {"latin": "ba be bo da de di fa fi ga ge ha he ka ke ki la le li lo ma me mi mo na ne no pa pe ra re ri ro sa se si so ta te ti to va ve vi".split(),
              "cyrillic": "ба бе бо ва ве ви га го да де ди ка ке ко ла ле ли ло ма ме ми на не но па пе ра ре ри ро са се та те ти то".split()}
 
-_NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ'’-]+|[А-ЯЁ][а-яё-]+"
+def _ranges(categories: tuple[str, ...]) -> str:
+    """The letters of these categories as the inside of a character class."""
+    runs: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c)) in categories:
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in runs)
+
+
+# A name word starts with a letter that is not a small one and goes on to where its letters end; apostrophes and
+# hyphens count between letters, but for a possessive s. Forms of address and suffixes are no name words.
+_TITLES = "|".join(sorted(ADDRESS, key=len, reverse=True))
+_LETTER, _MARK, _START = r"[^\W\d_]", "[\u0300-\u036f]*", f"[{_ranges(('Lu', 'Lt', 'Lo'))}]"
+_NAME = (rf"(?!(?:{_TITLES}|Jr|I|II|III|IV)(?![\w'’-]))(?:[dl]['’]|[ae]l-)?{_START}{_MARK}"
+         rf"(?:{_LETTER}{_MARK}|['’ʼ](?![sS](?!{_LETTER}))(?={_LETTER})|[-‐‑](?={_LETTER}))*(?!{_LETTER})")
+_INITIALS = rf"(?:{_START}{_MARK}\.\x20?(?={_START}))*"
+_PARTICLES = r"(?:(?:van|von|vom|der|den|de|del|della|di|da|do|dos|das|du|la|le|el|al|bin|ibn|ben|zu|zur|ter|ten|af|av|y)\x20){0,3}"
+_WORDS = rf"{_INITIALS}{_NAME}(?:\x20{_PARTICLES}{_INITIALS}{_NAME})*"
+_ONE_WORD = re.compile(rf"(?<!\w)(?P<initials>{_INITIALS})(?P<word>{_NAME})")
 ENTITY = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
     r"|(?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))"
@@ -55,7 +80,7 @@ ENTITY = re.compile(
     r"|(?P<card>(?<!\w)(?<!\d[.+-])[3-6]\d{3}(?:[\x20-]?\d{4}){2}[\x20-]?\d{1,7}(?!\w))"
     r"|(?P<phone>(?<![\w.])\+1[\x20.-]?(?:\(\d{3}\)|\d{3})[\x20.-]?\d{3}[\x20.-]?\d{4}(?!\d)|(?<![\w.])(?:\+\d{1,3}[\x20.-]?)(?:\(\d{1,4}\)[\x20.-]?)?\d{1,5}(?:[\x20.-]\d{1,5}){0,5}(?!\w)"
     r"|(?<![\w.])\(\d{3}\)\x20?\d{3}[-.\x20]\d{4}(?!\w)|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-]))"
-    r"|(?P<name>(?<!\w)(?P<title>" + "|".join(sorted(ADDRESS, key=len, reverse=True)) + rf")\.?\x20(?P<one>{_NAME})(?:\x20(?P<two>{_NAME}))?)")
+    rf"|(?P<name>(?<!\w)(?P<title>{_TITLES})\.?\x20{_PARTICLES}(?P<words>{_WORDS}))")
 # Holds for every text with an entity.
 SCREEN = "@|[0-9]{2}|[0-9A-Fa-f]:[0-9A-Fa-f]|[0-9]\\.[0-9]|(?:" + "|".join(ADDRESS) + r")\.?\x20"
 
@@ -69,7 +94,20 @@ def _luhn(digits: str) -> bool:
 
 
 def _script(word: str) -> str:
-    return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
+    name = unicodedata.name(word[0], "LATIN").split()[0].split("-")[0].lower()
+    return "latin" if name in ("fullwidth", "modifier") else name
+
+
+@lru_cache(maxsize=4096)
+def _letters(c: str) -> str:
+    """The letters of ``c``'s script and kind near it."""
+    near = map(chr, range(ord(c) & ~0xFF, (ord(c) | 0xFF) + 1))
+    return "".join(x for x in near if unicodedata.category(x) == unicodedata.category(c) and _script(x) == _script(c) and x.casefold() == x) or c
+
+
+def _name_key(word: str) -> str:
+    """A name in one form, however its capitals, accents, apostrophes and hyphens are written."""
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", word).casefold()).translate(str.maketrans("’ʼ‐‑", "''--"))
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
@@ -79,10 +117,12 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         kind, value = m.lastgroup, m[0]
         if m["title"]:
             gender = ADDRESS[m["title"]]
-            words = [("one", f"first_{gender}"), ("two", "last")] if m["two"] else [("one", "last")]
-            for group, kind in words:
-                names[m[group]] = kind
-                out.append((m.start(group), m.end(group), kind, m[group].casefold()))
+            words = list(_ONE_WORD.finditer(text, m.start("words"), m.end("words")))
+            for k, w in enumerate(words):
+                kind = f"first_{gender}" if k < len(words) - 1 else "last"
+                if len(w["word"]) > 1:
+                    names[w["word"]] = kind
+                out.append((w.start(), w.end(), kind, _name_key(w["word"])))
             continue
         kind = next(k for k in ("email", "ip6", "ip", "iban", "ssn", "card", "phone") if m[k])
         if kind == "email":
@@ -101,7 +141,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         mention = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
         for m in mention.finditer(text):
             if not any(a < m.end() and m.start() < b for a, b in taken):
-                out.append((m.start(), m.end(), names[m[0]], m[0].casefold()))
+                out.append((m.start(), m.end(), names[m[0]], _name_key(m[0])))
         out.sort()
     return out
 
@@ -154,6 +194,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         number = int("".join(str(int(c, 36)) for c in body + value[:2] + "00"))
         return f"{value[:2]}{98 - number % 97:02d}{body}"
     script = _script(value)
+    if script not in SYLLABLES:
+        new = "".join(pool[s.below(len(pool))] if len(pool := _letters(c)) > 1 else c for c in value)
+        return new + "".join((pool := _letters(value[-1]))[s.below(len(pool))] for _ in range(attempt // 8))
     if kind.startswith("first_"):
         pool = FIRST[script, kind[-1]]
         name = pool[s.below(len(pool))]
@@ -177,7 +220,11 @@ def written(original: str, kind: str, canonical: str) -> str:
     if kind == "email" and original.isupper():
         return canonical.upper()
     if kind == "last" or kind.startswith("first_"):
-        return "-".join(p.capitalize() for p in canonical.split("-"))
+        m = _ONE_WORD.fullmatch(original)
+        initials, word = (m["initials"], m["word"]) if m else ("", original)
+        new = canonical.upper() if len(word) > 1 and word.isupper() else "-".join(p.capitalize() for p in canonical.split("-"))
+        letters = iter([c.upper() for c in canonical if c.isalpha()] * len(initials))
+        return "".join(next(letters) if c.isalpha() else c for c in unicodedata.normalize("NFC", initials)) + new
     return canonical
 
 

@@ -144,6 +144,29 @@ def test_surrogates(spark):
     assert surrogates.replace_entities(df.limit(0)).count() == 0
 
 
+NAMES = {
+    "Mr McDonald": ["McDonald"], "Mr O'Brien": ["O'Brien"], "Mr O’Brien's": ["O’Brien"], "Mrs Jean-Paul Sartre": ["Jean-Paul", "Sartre"],
+    "Mr Dvořák": ["Dvořák"], "Mr Dvor\u030ca\u0301k": ["Dvor\u030ca\u0301k"], "Mrs Anna Maria Schmidt": ["Anna", "Maria", "Schmidt"],
+    "Mr John F. Kennedy": ["John", "F. Kennedy"], "Dr J.R.R. Tolkien": ["J.R.R. Tolkien"], "Mr Łukasz Nowak": ["Łukasz", "Nowak"],
+    "Mr JOHN SMITH": ["JOHN", "SMITH"], "Mrs Eva van der Berg": ["Eva", "Berg"], "Dr von Braun": ["Braun"], "Mr Παπαδόπουλος": ["Παπαδόπουλος"],
+    "Госпожа Анна Мария Иванова-Петрова": ["Анна", "Мария", "Иванова-Петрова"], "Mr Smith Mrs Jones": ["Smith", "Jones"], "Dr 王小明": ["王小明"]}
+
+
+def test_names_are_found_as_whole_words(spark):
+    for text, expected in NAMES.items():
+        for around in ("{}", "with {}, and", "a {}. He", "({})"):
+            whole = around.format(text)
+            assert [whole[a:b] for a, b, _, _ in surrogates.find(whole)] == expected, whole
+    docs = h.table(spark, [(k, f"with {t}, and", None) for k, t in enumerate(NAMES)])
+    for r in surrogates.replace_entities(docs).collect():
+        old = list(NAMES)[r["doc_id"]]
+        assert not any(w.split()[-1].casefold() in r["text"].casefold() for w in NAMES[old]), (old, r["text"])
+        again = [r["text"][a:b] for a, b, _, _ in surrogates.find(r["text"])]
+        assert r["n_entities"] == len(NAMES[old]) == len(again)
+        assert [w.isupper() for w in again] == [w.isupper() for w in NAMES[old]]
+        assert [surrogates._script(w) for w in again] == [surrogates._script(w) for w in NAMES[old]]
+
+
 def test_entities_beside_other_text():
     text = "éjohn.doe@mail.com,.4111111111111111 +1 (564) 555-4526 12 x ###152.143.123.131### 3.14 2024-01-02 v1.2.3.4.5 4785380592391139$$$"
     assert [(text[a:b], k) for a, b, k, _ in surrogates.find(text)] == [
