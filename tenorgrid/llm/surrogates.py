@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenorgrid.llm.common import keep, mark_maybe
@@ -129,6 +129,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             value = value.lower()
         elif kind in ("card", "phone", "ssn"):
             value = re.sub(r"\D", "", value)
+            if kind == "phone" and len(value) == 10 and not m[0].startswith("+"):
+                value = "1" + value  # a national number is its +1 number
             if kind == "phone" and not 7 <= len(value) <= 15 or kind == "card" and not 13 <= len(value) <= 19:
                 continue
         elif kind == "iban":
@@ -213,7 +215,8 @@ def _word(s: Stream, script: str, n: int) -> str:
 def written(original: str, kind: str, canonical: str) -> str:
     """The canonical replacement in the form in which the original is written."""
     if kind in ("card", "phone", "ssn", "iban"):
-        rest = iter(canonical)
+        # a national number is written without its leading 1
+        rest = iter(canonical[max(0, len(canonical) - sum(c.isalnum() for c in original)):] if kind == "phone" else canonical)
         return "".join(next(rest, "") if c.isalnum() else c for c in original)
     if kind == "ip6" and original.isupper():
         return canonical.upper()
@@ -249,10 +252,21 @@ def _draw(key: bytes):
 
 
 def _family(kind: str):
-    """First names of all genders are one family of names, as they are written alike."""
+    """First names of all genders are one family of names, as they are written alike and may name one person."""
     return F.when(F.col(kind).startswith("first_"), F.lit("first")).otherwise(F.col(kind))
 
 
+def distinct_entities(found: DataFrame) -> DataFrame:
+    """``(kind, value)`` once per entity: a first name has one gender, a stated one before none or two stated ones."""
+    def stated(kind: str) -> Column:
+        return F.max(F.col("kind") == kind)
+
+    m, f = F.col("m"), F.col("f")
+    return (found.groupBy(_family("kind").alias("family"), "value").agg(stated("first_m").alias("m"), stated("first_f").alias("f"))
+            .select(F.when(F.col("family") != "first", F.col("family")).when(m & ~f, F.lit("first_m"))
+                    .when(f & ~m, F.lit("first_f")).otherwise(F.lit("first_n")).alias("kind"), "value"))
+
+
 def draw_surrogates(entities: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
     """``(kind, value, new)`` for distinct entities: replacements all different, and none of them an entity."""
     shape = "kind string, value string, attempt int, new string"
@@ -275,10 +289,10 @@ def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, counts = [], []
         for text, names in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            new, out, at = {(n["kind"], n["value"]): n["new"] for n in names}, [], 0
+            new, out, at = {(n["family"], n["value"]): n["new"] for n in names}, [], 0
             found = find(text)
             for start, end, kind, value in found:
-                out += [text[at:start], written(text[start:end], kind, new[kind, value])]
+                out += [text[at:start], written(text[start:end], kind, new["first" if kind.startswith("first_") else kind, value])]
                 at = end
             texts.append("".join(out) + text[at:])
             counts.append(len(found))
@@ -293,8 +307,9 @@ def replace_entities(docs: DataFrame, text: str = "text", key: bytes = DEMO_KEY)
     found = keep(named.where(F.col(text).rlike(SCREEN)).select(F.col("_rid").alias("rid"), F.col(text)).mapInArrow(
         _detect, "rid bigint, found array<struct<kind:string,value:string>>").dropDuplicates(["rid"]))
     each = found.select("rid", F.explode("found").alias("e")).select("rid", "e.kind", "e.value")
-    new = draw_surrogates(keep(each.select("kind", "value").distinct()), key)
-    per_text = keep(each.join(new, ["kind", "value"]).groupBy("rid").agg(F.collect_list(F.struct("kind", "value", "new")).alias("names")))
+    new = draw_surrogates(keep(distinct_entities(each)), key).select(_family("kind").alias("family"), "value", "new")
+    per_text = keep(each.select("rid", _family("kind").alias("family"), "value").join(new, ["family", "value"])
+                    .groupBy("rid").agg(F.collect_list(F.struct("family", "value", "new")).alias("names")))
     marked = mark_maybe(named, F.col("_rid"), per_text, "rid")
     once = (marked.where("_maybe").select("_rid", F.col(text).alias("_text")).groupBy("_rid").agg(F.max("_text").alias("_text"))
             .join(per_text, F.col("_rid") == F.col("rid")).select("rid", "_text", "names"))

@@ -167,6 +167,22 @@ def test_names_are_found_as_whole_words(spark):
         assert [surrogates._script(w) for w in again] == [surrogates._script(w) for w in NAMES[old]]
 
 
+def test_one_entity_has_one_replacement(spark):
+    texts = ["x Mr John Smith y", "x Dr John SMITH y", "x Mrs Maria Smith y", "x Prof Maria Smith y", "x Dr Robin Miller y", "x Mr Andrea Miller y",
+             "x Mrs Andrea Miller y", "+1 415 555 1234", "(415) 555-1234", "415.555.1234", "+1 (415) 555-1234", "+41 5555 1234", "+415 555 1234"]
+    got = {r["doc_id"]: r["text"] for r in surrogates.replace_entities(h.table(spark, [(k, t, None) for k, t in enumerate(texts)])).collect()}
+    names = {k: got[k].split()[2:4] for k in range(7)}
+    assert names[0][0] == names[1][0] and names[0][1].upper() == names[1][1] and names[2] == names[3] and names[5] == names[6]
+    assert len({names[k][0] for k in (0, 2, 4, 5)}) == 4 and len({names[k][1] for k in (0, 4)}) == 2
+    assert names[0][0].split("-")[0] in surrogates.FIRST["latin", "m"] and names[2][0].split("-")[0] in surrogates.FIRST["latin", "f"]
+    assert names[5][0].split("-")[0] in surrogates.FIRST["latin", "n"]
+    digits = {k: re.sub(r"\D", "", got[k]) for k in range(7, 13)}
+    assert digits[7] == digits[10] == "1" + digits[8] == "1" + digits[9] != "14155551234" and digits[7][0] == "1"
+    assert digits[11] == digits[12] != digits[8]  # one number of another country, with the digits of a national one
+    for k in range(7, 13):
+        assert re.sub(r"\d", "0", got[k]) == re.sub(r"\d", "0", texts[k])
+
+
 def test_entities_beside_other_text():
     text = "éjohn.doe@mail.com,.4111111111111111 +1 (564) 555-4526 12 x ###152.143.123.131### 3.14 2024-01-02 v1.2.3.4.5 4785380592391139$$$"
     assert [(text[a:b], k) for a, b, k, _ in surrogates.find(text)] == [
