@@ -61,6 +61,23 @@ def maybe_in(df: DataFrame, key: Column, ids: DataFrame, id_column: str) -> Data
     return mark_maybe(df, key, ids, id_column).where("_maybe").drop("_maybe")
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def free(taken: list[str], *wanted: str) -> list[str]:
+    """Names for inner columns, each as wanted or with underscores in front, that no column of the caller has."""
+    used = {name.lower() for name in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def task_count(rows: int, per_task: int) -> int:
     """Number of partitions or shards that grows with the rows."""
     return max(1, -(-rows // per_task))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tenorgrid.llm import embeddings, html_cut, line_frequency, minhash, mixing, packing, secrets, substring, surrogates, token_files
+from tenorgrid.llm import embeddings, html_cut, line_frequency, minhash, mixing, packing, pieces, secrets, substring, surrogates, token_files
 
 QUERIES = {
     "op1_near_vectors": embeddings.op1_near_vectors,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_quality_lines": line_frequency.op9_quality_lines,
     "op10_packing": packing.op10_packing,
+    "op11_sentence_pieces": pieces.op11_sentence_pieces,
 }
 
 SQL = {
