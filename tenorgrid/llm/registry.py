@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from tenorgrid.llm import embeddings, html_cut, line_frequency, minhash, mixing, packing, pieces, secrets, substring, surrogates, token_files
+from tenorgrid.llm import (
+    alignment,
+    embeddings,
+    html_cut,
+    line_frequency,
+    minhash,
+    mixing,
+    packing,
+    pieces,
+    secrets,
+    substring,
+    surrogates,
+    token_files,
+)
 
 QUERIES = {
     "op1_near_vectors": embeddings.op1_near_vectors,
@@ -16,6 +29,7 @@ QUERIES = {
     "op9_quality_lines": line_frequency.op9_quality_lines,
     "op10_packing": packing.op10_packing,
     "op11_sentence_pieces": pieces.op11_sentence_pieces,
+    "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 SQL = {

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 END = 0
 KNOWN, MET, LONG, JOINED = 500_000, 1 << 23, 64, 512
 # A space before white space of any kind (a superset of what the pattern takes as such) or at the end of the text.
-_ODD = " ([\\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|$)"
+ODD = " ([\\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|$)"
 _coders: dict[str, "WordCoder"] = {}
 
 
@@ -92,7 +92,7 @@ class WordCoder:
         """Ids of all texts, each followed by the end id, and the places where texts begin and the last ends."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
-        odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False))
+        odd = np.flatnonzero(pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False))
         plain = pc.if_else(pa.array(np.isin(np.arange(n), odd)), "", texts) if len(odd) else texts
         lists = pc.split_pattern(plain, " ")
         at = lists.offsets.to_numpy().astype(np.int64)
