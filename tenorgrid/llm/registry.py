@@ -9,6 +9,7 @@ from tenorgrid.llm import (
     line_frequency,
     minhash,
     mixing,
+    negatives,
     packing,
     pieces,
     secrets,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_quality_lines": line_frequency.op9_quality_lines,
     "op10_packing": packing.op10_packing,
     "op11_sentence_pieces": pieces.op11_sentence_pieces,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
     "op13_token_alignment": alignment.op13_token_alignment,
 }
 
@@ -37,4 +39,5 @@ SQL = {
     "op3_minhash_groups": minhash.SQL,
     "op6_substring_dedup": substring.SQL,
     "op9_quality_lines": line_frequency.SQL,
+    "op12_hard_negatives": negatives.SQL,
 }
