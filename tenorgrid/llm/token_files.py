@@ -55,8 +55,8 @@ def _encode(path: str):
 
 def write_tokens(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> None:
     """Encode ``docs`` and write them to the folder ``path``, one file per range of ids."""
-    ordered = (docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
-               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
+    ordered = (docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange("doc_id")
+               .sortWithinPartitions("doc_id", F.xxhash64("text"), "text"))
     (ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
      .mapInArrow(_encode(vocabulary or tokenizer_path()), LAYOUT).write.options(**FILE_FORMAT).parquet(path))
 

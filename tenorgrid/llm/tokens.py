@@ -3,12 +3,14 @@ it before. Words that a worker meets for the second time are kept, up to a bound
 
 Byte-level BPE with the usual split pattern never joins what stands before a single space to the word after it, so a
 text is the concatenation of its first word and of " word" units. Texts in which a space has white space after it, or
-ends the text, are encoded as they are.
+ends the text, and texts with the string of an added token are encoded as they are.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +42,13 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)  # a character of a token's name stands for one byte
+        # Texts with the string of an added token are encoded whole, as the library takes the string for the token.
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([ODD, *added])
         self._forget()
 
     def _forget(self) -> None:
@@ -55,44 +59,43 @@ class WordCoder:
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _units(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of units, encoded many in one string, and where they end: a unit's ids are those that cover its bytes."""
+    def _units(self, new: list[str], width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units of ``width`` bytes, encoded many in one string, and where they end: a unit's ids are those that
+        cover its bytes.
+        """
         if not new:
             return np.zeros(0, np.int32), np.zeros(0, np.int32)
         parts = self._whole([" " + " ".join(new[k: k + JOINED]) for k in range(0, len(new), JOINED)])
         ids = np.concatenate(parts)
-        edge = np.cumsum([len(w.encode()) + 1 for w in new])
-        return ids, (np.searchsorted(np.cumsum(self.bytes_of[ids]), edge) + 1).astype(np.int32)
+        return ids, (np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(width + 1)) + 1).astype(np.int32)
 
-    def _places(self, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _places(self, names: list[str], width: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pool of ids, and start and size in it of each name; names met before stay known."""
         if len(self.known) > KNOWN:
             self._forget()
-        new = [w for w in names if w not in self.known]
-        spot = np.fromiter(map(hash, new), np.int64, len(new)) & (len(self.met) - 1)
-        again = self.met[spot]
+        index = np.fromiter(map(self.known.get, names, itertools.repeat(-1)), np.int64, len(names))
+        where = np.flatnonzero(index < 0)
+        spot = np.fromiter(map(hash, map(names.__getitem__, where.tolist())), np.int64, len(where)) & (len(self.met) - 1)
+        stay = self.met[spot] & (width[where] <= LONG)
         self.met[spot] = True
-        keep, rest = [], []
-        for w, a in zip(new, again.tolist()):
-            (keep if a and len(w) <= LONG else rest).append(w)
-        order = keep + rest
-        ids, stop = self._units(order)
+        where = where[np.argsort(~stay, kind="stable")]  # those to keep come first
+        order = list(map(names.__getitem__, where.tolist()))
+        ids, stop = self._units(order, width[where])
         first = np.concatenate([np.zeros(1, np.int32), stop[:-1]]) if len(stop) else stop
         pool = np.concatenate([self.pool, ids])
         start, size = np.concatenate([self.start, first + len(self.pool)]), np.concatenate([self.size, stop - first])
-        n = len(self.known)
-        self.known.update(zip(keep, range(n, n + len(keep))))
-        extra = dict(zip(rest, range(n + len(keep), n + len(order))))
-        index = np.fromiter((self.known[w] if w in self.known else extra[w] for w in names), np.int64, len(names))
-        if keep:
-            self.pool, self.start, self.size = pool[: start[n + len(keep) - 1] + size[n + len(keep) - 1]], start[: n + len(keep)], size[: n + len(keep)]
+        n, kept = len(self.known), int(stay.sum())
+        index[where] = n + np.arange(len(where))
+        if kept:
+            self.known.update(zip(order[:kept], range(n, n + kept)))
+            self.pool, self.start, self.size = pool[: start[n + kept - 1] + size[n + kept - 1]], start[: n + kept], size[: n + kept]
         return pool, start[index], size[index]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and the places where texts begin and the last ends."""
         texts = pc.fill_null(texts, "")
         n = len(texts)
-        odd = np.flatnonzero(pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False))
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
         plain = pc.if_else(pa.array(np.isin(np.arange(n), odd)), "", texts) if len(odd) else texts
         lists = pc.split_pattern(plain, " ")
         at = lists.offsets.to_numpy().astype(np.int64)
@@ -106,7 +109,7 @@ class WordCoder:
         names = units.dictionary.filter(pa.array(wanted))
         # Units hold no space, so one joined string gives them back as Python strings.
         one = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), " ")[0].as_py()
-        pool, start_of, size_of = self._places(one.split(" ") if len(names) else [])
+        pool, start_of, size_of = self._places(one.split(" ") if len(names) else [], pc.binary_length(names).to_numpy().astype(np.int64))
         heads = [t.split(" ", 1)[0] for t in plain.to_pylist()]
 
         # Pool of this call: the units', then the first words' (whole texts for odd ones), then the end id.
