@@ -66,16 +66,25 @@ def named(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
-def free(taken: list[str], *wanted: str) -> list[str]:
-    """Names for inner columns, each as wanted or with underscores in front, that no column of the caller has."""
-    used = {name.lower() for name in taken}
-    out = []
-    for name in wanted:
-        while name.lower() in used:
-            name = "_" + name
-        used.add(name.lower())
-        out.append(name)
-    return out
+class Sheltered:
+    """The columns of a caller under inner names ``c0``, ``c1`` ..., so that columns added inside cannot meet them.
+
+    ``df`` is the renamed table, ``self[name]`` the inner name of a column, ``back`` restores columns and names.
+    """
+
+    def __init__(self, table: DataFrame):
+        self.names = table.columns
+        self.inner = [f"c{k}" for k in range(len(self.names))]
+        self.df = table.toDF(*self.inner)
+
+    def __contains__(self, name: str | None) -> bool:
+        return name in self.names
+
+    def __getitem__(self, name: str) -> str:
+        return self.inner[self.names.index(name)]
+
+    def back(self, df: DataFrame) -> DataFrame:
+        return df.select(*self.inner).toDF(*self.names)
 
 
 def task_count(rows: int, per_task: int) -> int:

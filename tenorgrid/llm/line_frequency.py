@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorgrid.llm.common import SPACES, WORD, keep
+from tenorgrid.llm.common import SPACES, WORD, Sheltered, keep
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -110,17 +110,25 @@ def without_frequent_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
     return take_out(docs, figures, frequent_lines(figures, min_docs, max_share), id, text)
 
 
-def take_out(docs: DataFrame, figures: DataFrame, often: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the lines ``often`` of their hosts in ``text``."""
+def take_out(docs: DataFrame, figures: DataFrame, often: DataFrame, id: str = "doc_id", text: str = "text",
+             length: str | None = None) -> DataFrame:
+    """``docs`` without the lines ``often`` of their hosts in ``text``; ``length``, where it is a column, follows a text
+    that changes.
+    """
     bad = (figures.select("id", "host", F.explode("lines.h").alias("h")).join(often, ["host", "h"])
            .where(F.col("id") != F.col("first")).groupBy(F.col("id").alias("_id")).agg(F.collect_set("h").alias("_bad")))
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~(
+    inside = Sheltered(docs)
+    t = inside[text]
+    kept = F.array_join(F.filter(F.split(t, "\n", -1), lambda x: ~(
         x.rlike(WORD) & F.array_contains("_bad", F.xxhash64(normal_line(x))))), "\n")
-    joined = docs.join(bad, docs[id] == bad["_id"], "left")
-    return joined.withColumn(text, F.when(F.col("_bad").isNull(), F.col(text)).otherwise(kept)).select(docs.columns)
+    done = inside.df.join(bad, F.col(inside[id]) == F.col("_id"), "left").withColumn("_new", F.when(F.col("_bad").isNotNull(), kept))
+    if length in inside:
+        n = inside[length]
+        done = done.withColumn(n, F.when(F.col("_new") != F.col(t), F.length("_new").cast(docs.schema[length].dataType)).otherwise(F.col(n)))
+    return inside.back(done.withColumn(t, F.coalesce("_new", F.col(t))))
 
 
-def accepted(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", length: str = "n_chars",
+def accepted(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", length: str | None = "n_chars",
              min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """The kept documents of ``judge`` with their frequent lines taken out of ``text``, from one table of figures.
 
@@ -129,9 +137,7 @@ def accepted(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str
     figures = keep(document_figures(docs, id, text, host).withColumn("row", F.monotonically_increasing_id()))
     often = keep(frequent_lines(figures, min_docs, max_share))
     judged = verdicts(figures, often, id, min_left).where("kept").select(id)
-    clean = take_out(docs.withColumn("_old", F.col(text)).join(judged, id, "left_semi"), figures, often, id, text)
-    return (clean.withColumn(length, F.when(F.col(text) != F.col("_old"), F.length(text).cast(docs.schema[length].dataType))
-                             .otherwise(F.col(length))).select(docs.columns))
+    return take_out(docs.join(judged, id, "left_semi").select(docs.columns), figures, often, id, text, length)
 
 
 def op9_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,11 +161,10 @@ def rules_sql(docs: str) -> str:
                     length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS c
                   FROM line WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
     dup AS (SELECT rn, count(*) - count(DISTINCT l) AS n FROM full_line GROUP BY rn),
-    extremes AS (SELECT rn, source, list_min(w) || ' ' || list_max(w) AS sk FROM toks),
-    hosts AS (SELECT source, count(DISTINCT coalesce(sk, '')) AS docs FROM extremes GROUP BY source),
-    often AS (SELECT f.source, nl, min(doc_id) AS first FROM full_line f JOIN extremes e USING (rn)
+    hosts AS (SELECT source, count(DISTINCT t) AS docs FROM toks GROUP BY source),
+    often AS (SELECT f.source, nl, min(f.doc_id) AS first FROM full_line f JOIN toks USING (rn)
                 JOIN hosts h ON h.source IS NOT DISTINCT FROM f.source
-              GROUP BY f.source, nl, docs HAVING count(DISTINCT sk) > {MIN_DOCS} AND count(DISTINCT sk) > docs * {MAX_SHARE}),
+              GROUP BY f.source, nl, docs HAVING count(DISTINCT t) > {MIN_DOCS} AND count(DISTINCT t) > docs * {MAX_SHARE}),
     gone AS (SELECT rn, sum(c) AS c FROM full_line f JOIN often o ON o.source IS NOT DISTINCT FROM f.source AND o.nl = f.nl
              WHERE f.doc_id <> o.first GROUP BY rn),
     fig AS (SELECT s.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tenorgrid.llm.common import WORD, keep, task_count
+from tenorgrid.llm.common import WORD, Sheltered, keep, task_count
 
 CAP = 2.0
 WEIGHTS = (3, 1, 2)
@@ -132,10 +132,13 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", length: str |
     """
     taken = mix(docs, id, text, **settings).where("taken > 0").select(
         F.col(id).alias("_id"), F.floor(F.col("taken") / F.col("size")).alias("_whole"), (F.col("taken") % F.col("size")).alias("_left"))
-    copies, left = F.col("_whole"), F.col("_left")
-    rows = docs.join(taken, docs[id] == taken["_id"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies + (left > 0).cast("long"))))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
+    inside = Sheltered(docs)
+    t, copies, left = inside[text], F.col("_whole"), F.col("_left")
+    rows = inside.df.join(taken, F.col(inside[id]) == F.col("_id")).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies + (left > 0).cast("long"))))
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(t), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
     rows = rows.withColumn("_cut", F.when(F.col("_copy") > copies, cut))
-    if length in docs.columns:
-        rows = rows.withColumn(length, F.when(F.col("_cut").isNotNull(), F.length("_cut").cast(docs.schema[length].dataType)).otherwise(F.col(length)))
-    return rows.withColumn(text, F.coalesce("_cut", F.col(text))).select(docs.columns)
+    if length in inside:
+        n = inside[length]
+        rows = rows.withColumn(n, F.when(F.col("_cut").isNotNull(), F.length("_cut").cast(docs.schema[length].dataType)).otherwise(F.col(n)))
+    return inside.back(rows.withColumn(t, F.coalesce("_cut", F.col(t))))

@@ -21,19 +21,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorgrid.llm.common import keep
+from tenorgrid.llm.common import Sheltered, keep, named
 
-RULES_VERSION = 2
+RULES_VERSION = 3
 LEDGER = "blob string, rules_version int, spans array<struct<kind:string,start:int,end:int>>"
 
 # A private key ends at its END line, which lies before the next BEGIN. Without one it has the headers and the base64
-# block behind BEGIN: long runs, and shorter ones that fill a line. Line breaks may be written as \n in a string.
-_B64, _BREAK, _GAP = r"[A-Za-z0-9+/]", r"(?:\r?\n|\r|(?:\\r)?\\n)", r"(?:[\s>\"',]|\\[nr])+"
+# block behind BEGIN: long runs, and shorter ones that fill a line. Line breaks may be written as \n in a string. A
+# header fills a line and its value ends with the line, so headers are read in one way only, without going back.
+_B64, _BREAK, _GAP = r"[A-Za-z0-9+/]", r"(?:\r?\n|\r|(?:\\r)?\\n)", r"(?:[\s>\"',]|\\[nr])++"
+_HEADER = rf"{_BREAK}[\x20\t>\"']*+[A-Za-z-]++:\x20[^\r\n\\]*+"
 PRIVATE_KEY = (
     r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY-----"
     r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z0-9 ]{0,30}PRIVATE KEY-----"
-    rf"|(?:(?:{_GAP}[A-Za-z-]+:\x20[^\n\\]*)+(?={_GAP}{_B64}{{16}}))?"
-    rf"(?:{_GAP}{_B64}{{24,}}={{0,2}}|{_BREAK}[\x20\t>\"']*{_B64}+={{0,2}}(?=[\x20\t\"',;]*(?:{_BREAK}|\Z)))*)")
+    rf"|(?:(?:{_HEADER})++(?={_GAP}{_B64}{{16}}))?"
+    rf"(?:{_GAP}{_B64}{{24,}}+={{0,2}}|{_BREAK}[\x20\t>\"']*+{_B64}++={{0,2}}(?=[\x20\t\"',;]*(?:{_BREAK}|\Z)))*+)")
 
 # The rules, in the order of their listing. The first three are the base rules; a match of `assign`
 # counts with 12 or more characters in group 2. The others are the published shapes of common credentials.
@@ -75,26 +77,62 @@ def blob_of(text: str) -> Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
 
 
-def update_ledger(versions: DataFrame, text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
-    """Ledger rows for the blobs of ``versions`` that ``ledger`` does not have under the present rules."""
-    blobs = versions.select(blob_of(text).alias("blob"), F.when(F.col(text).rlike(SCREEN), F.col(text)).alias("text"))
-    blobs = blobs.groupBy("blob").agg(F.max("text").alias("text"))
+def _screened(versions: DataFrame, text: str) -> DataFrame:
+    """Blob of every row, and its text where the screen lets it pass."""
+    return versions.select(blob_of(text).alias("blob"), F.when(F.col(text).rlike(SCREEN), F.col(text)).alias("text"))
+
+
+def _unseen(screened: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    blobs = screened.groupBy("blob").agg(F.max("text").alias("text"))
     if ledger is not None:
         blobs = blobs.join(ledger.where(F.col("rules_version") == RULES_VERSION).select("blob"), "blob", "left_anti")
     return blobs.mapInArrow(_scan, LEDGER)
 
 
+def update_ledger(versions: DataFrame, text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
+    """Ledger rows for the blobs of ``versions`` that ``ledger`` does not have under the present rules."""
+    return _unseen(_screened(versions, text), ledger)
+
+
+def _present(entries: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """The rows of both under the present rules, one for a blob."""
+    if ledger is None:
+        return entries
+    return entries.union(ledger.where(F.col("rules_version") == RULES_VERSION).select(entries.columns).dropDuplicates(["blob"]))
+
+
+def findings(versions: DataFrame, keys: list[str], ledger: DataFrame, text: str = "text") -> DataFrame:
+    """Keys, blob and spans of every row of ``versions``, from a ledger that has all of their blobs."""
+    with_spans = ledger.where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    rows = versions.select(*map(named, keys), blob_of(text).alias("_of"))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    return rows.join(with_spans, F.col("_of") == F.col("_blob"), "left").select(
+        *map(named, keys), F.col("_of").alias("blob"), F.coalesce("_spans", none).alias("spans"))
+
+
 def scan(versions: DataFrame, keys: list[str], text: str = "text", ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(findings, entries)``: keys, blob and spans of every row of ``versions``; the rows to add to the ledger."""
+    """``(findings, entries)``: keys, blob and spans of every row of ``versions``; the rows to add to the ledger.
+
+    ``keys`` must not be called ``blob``, ``spans``, ``_of``, ``_blob`` or ``_spans``.
+    """
+    taken = {"blob", "spans", "_of", "_blob", "_spans"} & set(keys)
+    if taken:
+        raise ValueError(f"rename the key columns {sorted(taken)}")
     entries = keep(update_ledger(versions, text, ledger))
-    known = entries if ledger is None else entries.union(
-        ledger.where(F.col("rules_version") == RULES_VERSION).select(entries.columns).dropDuplicates(["blob"]))
-    with_spans = known.where(F.size("spans") > 0).select(F.col("blob").alias("_blob"), "spans")
-    rows = versions.select(*keys, blob_of(text).alias("blob"))
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    found = rows.join(with_spans, rows.blob == with_spans["_blob"], "left").select(
-        *keys, "blob", F.coalesce("spans", none).alias("spans"))
-    return found, entries
+    return findings(versions, keys, _present(entries, ledger), text), entries
+
+
+def scan_in_steps(versions: DataFrame, keys: list[str], step: Column, steps: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(findings, ledger)`` of versions that arrive one step (0, 1, ... of ``steps``) after the other.
+
+    Each step reads the ledger that the steps before wrote, scans the blobs that it does not have and enters them; at
+    the end the findings are joined back to the rows of all steps.
+    """
+    ledger = None
+    for k in range(steps):
+        _, entries = scan(versions.where(step == k), keys, text, ledger)
+        ledger = entries if ledger is None else ledger.union(entries)
+    return findings(versions, keys, ledger, text), ledger
 
 
 def spans_text(spans: Column) -> Column:
@@ -114,24 +152,33 @@ def _hide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(texts, pa.string())], names=["blob", "clean"])
 
 
-def redact(docs: DataFrame, text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
-    """``docs`` with every found span replaced by ``[secret]``; other texts and all other columns stay as they are."""
-    entries = keep(update_ledger(docs, text, ledger))
-    known = entries if ledger is None else entries.union(
-        ledger.where(F.col("rules_version") == RULES_VERSION).select(entries.columns).dropDuplicates(["blob"]))
-    dirty = known.where(F.size("spans") > 0).select("blob", "spans")
-    named = docs.select(F.col(text).alias("t"), blob_of(text).alias("b")).where(F.col("t").rlike(SCREEN))
-    once = named.groupBy("b").agg(F.max("t").alias("t"))
-    clean = keep(once.join(dirty, once.b == dirty.blob).select("t", "spans", "blob").mapInArrow(_hide, "blob string, clean string"))
-    clean = clean.withColumnRenamed("blob", "_blob").withColumnRenamed("clean", "_clean")
-    return (docs.withColumn("_b", blob_of(text)).join(clean, F.col("_b") == F.col("_blob"), "left")
-            .withColumn(text, F.coalesce("_clean", F.col(text))).select(docs.columns))
+def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars", ledger: DataFrame | None = None) -> DataFrame:
+    """``docs`` with every found span replaced by ``[secret]``; other texts and all other columns stay as they are, but
+    for ``length``, where it is a column: it becomes the number of characters of a text that changes.
+
+    Every text is hashed and screened once into a table that has only the texts with a possible finding.
+    """
+    inside = Sheltered(docs)
+    t = inside[text]
+    screened = keep(_screened(inside.df, t))
+    entries = keep(_unseen(screened, ledger))
+    dirty = _present(entries, ledger).where(F.size("spans") > 0).select("blob", "spans")
+    once = screened.where(F.col("text").isNotNull()).groupBy("blob").agg(F.max("text").alias("t"))
+    clean = keep(once.join(dirty, "blob").select("t", "spans", "blob").mapInArrow(_hide, "blob string, clean string"))
+    done = inside.df.join(clean, blob_of(t) == F.col("blob"), "left")
+    if length in inside:
+        n = inside[length]
+        done = done.withColumn(n, F.when(F.col("clean").isNotNull(), F.length("clean").cast(docs.schema[length].dataType)).otherwise(F.col(n)))
+    return inside.back(done.withColumn(t, F.coalesce("clean", F.col(t))))
+
+
+STEPS = 3
 
 
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Findings of every document through the blob ledger."""
+    """Findings of every document; the sources arrive in ``STEPS`` steps, each scanned against the ledger so far."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found, _ = scan(docs, ["doc_id"])
+    found, _ = scan_in_steps(docs, ["doc_id"], F.pmod(F.xxhash64("source"), F.lit(STEPS)), STEPS)
 
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

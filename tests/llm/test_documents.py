@@ -1,13 +1,17 @@
 """Operators over documents against brute force, on awkward rows."""
 
+import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tenorgrid.llm import line_frequency, minhash, mixing, packing, secrets, substring, token_files
 from tenorgrid.llm.common import shared_folder
@@ -31,6 +35,14 @@ def coder():
     return WordCoder(tokenizer_path())
 
 
+@pytest.fixture(scope="module")
+def library():
+    """The library's tokenizer as the file gives it, next to the coder's."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
 def bag(df, *columns):
     return sorted(tuple(r[c] for c in columns) for r in df.collect())
 
@@ -113,7 +125,7 @@ def test_lines_are_counted_over_distinct_texts(spark):
     assert got == {k: 0 if k == 0 or k >= 100 else 12 for k in got} and len(got) == 80
 
 
-def test_tokens_equal_the_library(coder):
+def test_tokens_equal_the_library(coder, library):
     import random
 
     import pyarrow as pa
@@ -123,21 +135,27 @@ def test_tokens_equal_the_library(coder):
     texts = ["".join(random.choices(parts, k=random.randint(0, 15))) for _ in range(3000)] + [None, "", " ", h.prose(500, 1)]
     ids, edge = coder.encode(pa.array(texts, pa.string()))
     for t, a, b in zip(texts, edge[:-1], edge[1:]):
-        assert ids[a:b].tolist() == coder.tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
+        assert ids[a:b].tolist() == library.encode(t or "", add_special_tokens=False).ids + [0]
+    ids, _ = coder.encode(pa.array(["end <|endoftext|> here"]))
+    assert ids.tolist() == [437, 220, 50256, 994, 0]
 
 
-def _ids(coder, text):
-    return np.array(coder.tokenizer.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
+def _ids(library, text):
+    return np.array(library.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
 
 
-def test_token_files_round_trip(spark, docs, none, coder):
+SPECIAL = [(5000, "end <|endoftext|> here", None), (5001, "<|endoftext|>", None), (5002, "a<|endoftext|><|endoftext|>  b", "x")]
+
+
+def test_token_files_round_trip(spark, none, library):
     path = shared_folder(spark)
-    token_files.write_tokens(docs, path)
+    rows = h.corpus() + SPECIAL
+    token_files.write_tokens(h.table(spark, rows), path)
     got = sorted(map(tuple, token_files.token_digest(spark, path).collect()), key=lambda r: (r[0], r[1]))
-    assert [r[0] for r in got] == sorted(d for d, _, _ in h.corpus())
+    assert [r[0] for r in got] == sorted(d for d, _, _ in rows)
     by_id = defaultdict(list)
-    for d, t, _ in h.corpus():
-        by_id[d].append(_ids(coder, t))
+    for d, t, _ in rows:
+        by_id[d].append(_ids(library, t))
     at = 0
     for d, start, n, crc in got:
         assert start == at and any(len(x) == n and zlib.crc32(x.tobytes()) == crc for x in by_id[d])
@@ -162,11 +180,12 @@ def test_token_file_layout(spark, docs):
 
 
 @pytest.mark.parametrize("size", [1024, 64, 7])
-def test_packing(docs, none, coder, size):
-    got = packing.pack(docs, size=size).collect()
+def test_packing(spark, none, library, size):
+    rows = h.corpus() + SPECIAL
+    got = packing.pack(h.table(spark, rows), size=size).collect()
     ids = defaultdict(list)
-    for d, t, _ in h.corpus():
-        ids[d].append(_ids(coder, t))
+    for d, t, _ in rows:
+        ids[d].append(_ids(library, t))
     pieces, sequences = defaultdict(Counter), defaultdict(list)
     for r in got:
         pieces[r["doc_id"]][r["start"], r["length"], r["ids_crc32"]] += 1
@@ -282,6 +301,76 @@ def test_private_keys_go_as_a_whole(spark):
     assert got[100] == "[secret]\n\nwords between\n[secret] and [secret]" and got[101] == "The line [secret] is not a key."
 
 
+@pytest.mark.parametrize("text", [
+    "-----BEGIN PRIVATE KEY-----" + " a: b" * 10_000, "-----BEGIN PRIVATE KEY-----" + "\na: b" * 10_000, "-----BEGIN PRIVATE KEY-----\n" * 10_000,
+    "-----BEGIN PRIVATE KEY-----" + " " * 200_000, "-----BEGIN PRIVATE KEY-----" + "\nAb1/" * 50_000 + "!", "-----BEGIN PRIVATE KEY-----" + ">\n" * 100_000,
+    "-----BEGIN PRIVATE KEY-----\n" + "a: b\n" * 10_000 + "Zz09" * 5])
+def test_private_keys_in_linear_time(text):
+    start = time.perf_counter()
+    assert len(secrets.find(text)) >= 1
+    assert time.perf_counter() - start < 1
+
+
+def test_ledger_in_steps_gives_what_one_scan_gives(spark):
+    rows = [(k, (SECRET if k % 3 == 0 else "clean") + f" {k % 7}", f"s{k % 5}") for k in range(60)] + [(100, None, None), (101, "", "s0")]
+    docs = h.table(spark, rows)
+    whole, ledger = secrets.scan(docs, ["doc_id"])
+    found, steps = secrets.scan_in_steps(docs, ["doc_id"], F.pmod(F.xxhash64("source"), F.lit(3)), 3)
+    assert bag(found, "doc_id", "blob", "spans") == bag(whole, "doc_id", "blob", "spans")
+    assert bag(steps, "blob") == bag(ledger, "blob")  # a blob that several steps hold is entered once
+
+
+def _base_spans(text):
+    """Written from the contract, apart from the operator's rules."""
+    found = [(m.start(), k, kind, m.end()) for k, (kind, rule, least, group, flags) in enumerate((
+        ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12, 2, re.I | re.A),
+        ("access", "AKIA[A-Z0-9]+", 18, 0, 0), ("hex", "[0-9a-f]+", 16, 0, 0)))
+        for m in re.finditer(rule, text, flags) if len(m[group]) >= least]
+    return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found)]
+
+
+def test_secret_query_equals_brute_force(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{h.FOLDER}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in secrets.op7_secret_ledger(spark, h.FOLDER).collect()}
+    assert got.keys() == docs.keys()
+    for d, text in docs.items():
+        spans, r = _base_spans(text), got[d]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s.startswith(k + ":") for s in spans) for k in ("assign", "access", "hex"))
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+        assert set(spans) <= set(r.spans.split(","))
+
+
+INNER = ["_b", "_blob", "_clean", "_of", "_spans", "_old", "_bad", "_new", "_id", "_cut", "_copy", "_left", "_whole", "_maybe", "_p", "_w", "_rid", "_n",
+         "blob", "clean", "spans", "t", "c0", "c3", "size", "key", "row", "host", "copy", "order", "rate", "target", "n_entities"]
+
+
+@pytest.mark.parametrize("operator", [secrets.redact, line_frequency.accepted, mixing.mixed, line_frequency.without_frequent_lines])
+def test_columns_of_the_caller_keep_their_values(spark, operator):
+    rows = [(k, f"Menu line\n{SECRET if k % 9 == 0 else ''} {h.prose(30 + k, k)}", f"s{k % 2}") for k in range(80)]
+    docs = h.table(spark, rows).select("doc_id", "text", "source", "n_chars")
+    plain = bag(operator(docs), "doc_id", "text", "source", "n_chars")
+    more = docs.select("*", *(F.concat(F.lit(name), F.col("doc_id")).alias(name) for name in INNER))
+    got = operator(more)
+    assert got.columns == more.columns and bag(got, "doc_id", "text", "source", "n_chars") == plain and len(plain) > 40
+    assert all(r[name] == f"{name}{r.doc_id}" for r in got.collect() for name in INNER)
+
+
+def test_redact_follows_the_length(spark):
+    rows = [(1, SECRET, None), (2, "clean", None), (3, None, None)]
+    assert all(r.n_chars == len(r.text or "") for r in secrets.redact(h.table(spark, rows)).collect())
+
+
+def test_line_query_sql_counts_distinct_texts(spark):
+    rows = [(k, "#1 of the site ©\n" + h.prose(30, k), "host") for k in range(40)]
+    rows += [(100 + k, "copied line\n" + h.prose(30, 999), "host") for k in range(40)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    rel = con.execute(f"SELECT doc_id, removed_chars, kept FROM ({line_frequency.SQL})").fetchall()
+    assert sorted(rel) == bag(line_frequency.judge(h.table(spark, rows)), "doc_id", "removed_chars", "kept")
+    assert sum(r[1] > 0 for r in rel) == 39
+
+
 def test_ledger_scans_only_unseen_blobs(spark):
     old = h.table(spark, [(1, SECRET, None), (2, "clean", None)])
     _, ledger = secrets.scan(old, ["doc_id"])
