@@ -1,8 +1,9 @@
 """Alignment of the tokens of two tokenizers over the same texts, and how often their ids end together.
 
 Tokenizer A (tokenizers library, byte level) reads a space and the text, tokenizer B (sentencepiece) reads the text and
-adds the space itself. The library's character offsets for A and the spans of B's proto are coarse cuts: a place where a
-token of each ends and the next ones begin. Offsets do not divide characters, so between two coarse cuts the bytes
+adds the space itself. The library's character offsets for A and the spans of B's pieces (the installed sentencepiece gives
+those of its former immutable proto as an offset mapping) are coarse cuts: a place where a token of each ends and the
+next ones begin. Offsets do not divide characters, so between two coarse cuts the bytes
 that the tokens decode to say where further tokens end together. A stretch with a single token on one side needs none.
 Places where tokens of both end cut the tokens into groups, and link the two tokens that end there.
 
@@ -22,6 +23,7 @@ whole. Extra columns are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,20 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values common to two increasing arrays stand in each."""
+    at = np.minimum(np.searchsorted(y, x), max(len(y) - 1, 0))
+    i = np.flatnonzero(y[at] == x) if len(y) else np.zeros(0, np.int64)
+    return i, at[i]
+
+
+def _both(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """The values of either array, in order; none is above ``most``."""
+    has = np.zeros(most + 1, bool)
+    has[x] = has[y] = True
+    return np.flatnonzero(has)
+
+
 class Aligner:
     def __init__(self, a: str, b: str):
         from tokenizers import Tokenizer, processors
@@ -70,7 +86,10 @@ class Aligner:
         for token, i in names.items():
             self.a_bytes[i] = added.get(i) or bytes(value[c] for c in token)
         self.a_size, self.b_size = np.array([len(x) for x in self.a_bytes]), np.array([len(x) for x in self.b.pieces])
-        self.name = [str(k) for k in range(max(len(self.a_bytes), len(self.b.pieces)))]
+        # Written ids with what follows: of A inside a group and at its end, then of B.
+        self.marked = np.array([f"{k}{c}" for x, c in ((self.a_bytes, ","), (self.a_bytes, "|"), (self.b.pieces, ","), (self.b.pieces, ";"))
+                                for k in range(len(x))], object)
+        self.marked_size = np.array([len(x) for x in self.marked])
         self.met = np.zeros(MET, bool)
         self._forget()
 
@@ -78,10 +97,10 @@ class Aligner:
         """Ids of A and B, and the numbers of tokens of A and of B up to the end of each group; None if bytes differ."""
         whole = (" " + text).encode()
         got = self.a.encode(" " + text, add_special_tokens=False)
-        proto = self.b.library.encode(text, return_type="proto")
-        a, offsets = np.array(got.ids, np.int64), np.array(got.offsets, np.int64).reshape(-1, 2)
-        b = np.array([p.id for p in proto.pieces], np.int64)
-        stop = np.array([p.end for p in proto.pieces], np.int64) + 1  # behind the added space
+        spans = self.b.library.encode(text.encode(), return_type="offset_mapping")
+        a, b = np.array(got.ids, np.int64), np.array(spans["ids"], np.int64)
+        offsets = np.fromiter(itertools.chain.from_iterable(got.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        stop = np.fromiter(itertools.chain.from_iterable(spans["offsets"]), np.int64, 2 * len(b))[1::2] + 1  # behind the added space
         a_text, b_text = b"".join(map(self.a_bytes.__getitem__, a)), b"".join(map(self.b.pieces.__getitem__, b))
         if a_text != whole or b_text != whole:
             return None
@@ -91,7 +110,7 @@ class Aligner:
         a_clean = np.append(offsets[:-1, 1] <= offsets[1:, 0], True)
         b_clean = stop > np.concatenate([[0], np.maximum.accumulate(stop)[:-1]])
         a_at, b_at = np.flatnonzero(a_clean), np.flatnonzero(b_clean)
-        _, i, j = np.intersect1d(place[offsets[a_at, 1]], stop[b_at], return_indices=True)
+        i, j = _common(place[offsets[a_at, 1]], stop[b_at])
         a_cut, b_cut = a_at[i] + 1, b_at[j] + 1
         # Between two coarse cuts with several tokens on both sides, decoded bytes show the other common ends.
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
@@ -99,18 +118,29 @@ class Aligner:
         a_cut, b_cut = a_cut[right], b_cut[right]
         open_ = (np.diff(a_cut, prepend=0) > 1) & (np.diff(b_cut, prepend=0) > 1)
         a_in, b_in = (np.flatnonzero(np.repeat(open_, np.diff(c, prepend=0))) for c in (a_cut, b_cut))
-        _, i, j = np.intersect1d(a_end[a_in], b_end[b_in], return_indices=True)
-        return a, b, np.union1d(a_cut, a_in[i] + 1), np.union1d(b_cut, b_in[j] + 1)
+        i, j = _common(a_end[a_in], b_end[b_in])
+        return a, b, _both(a_cut, a_in[i] + 1, len(a)), _both(b_cut, b_in[j] + 1, len(b))
 
-    def _figures(self, found: Aligned) -> tuple[list[str], np.ndarray]:
-        """The written groups, and the pair of ids linked at each group's end."""
+    def _written(self, found: Aligned) -> tuple[str, np.ndarray]:
+        """The written groups, each with a semicolon behind it, and where each ends."""
+        a, b, a_cut, b_cut = found
+        n, m = len(self.a_bytes), len(self.b.pieces)
+        of_a, of_b = (np.repeat(np.arange(len(c)), np.diff(c, prepend=0)) for c in (a_cut, b_cut))
+        what = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = (np.zeros(len(x), np.int64) for x in (a, b))
+        last_a[a_cut - 1] = last_b[b_cut - 1] = 1
+        what[np.arange(len(a)) + np.concatenate([[0], b_cut])[of_a]] = a + n * last_a
+        at_b = np.arange(len(b)) + a_cut[of_b]
+        what[at_b] = 2 * n + b + m * last_b
+        return "".join(self.marked[what].tolist()), np.cumsum(self.marked_size[what])[at_b[b_cut - 1]]
+
+    def _hash(self, found: Aligned) -> str:
+        return hashlib.sha256(self._written(found)[0][:-1].encode()).hexdigest()
+
+    def _links(self, found: Aligned) -> np.ndarray:
+        """The pair of ids linked at each group's end."""
         a, b, a_cut, b_cut = found
-        name, x, y = self.name, a.tolist(), b.tolist()
-        texts, p, q = [], 0, 0
-        for i, j in zip(a_cut.tolist(), b_cut.tolist()):
-            texts.append(",".join([name[k] for k in x[p:i]]) + "|" + ",".join([name[k] for k in y[q:j]]))
-            p, q = i, j
-        return texts, (a[a_cut - 1] << SHIFT) | b[b_cut - 1]
+        return (a[a_cut - 1] << SHIFT) | b[b_cut - 1]
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
@@ -134,39 +164,39 @@ class Aligner:
                 sizes.append(np.zeros((3, 1), np.int64))
                 continue
             a, b, a_cut, b_cut = found
-            edge = np.cumsum([len(u.encode()) + 1 for u in part])
+            whole = np.frombuffer((" " + " ".join(part)).encode(), np.uint8)
+            edge = np.append(np.flatnonzero(whole == 32)[1:], len(whole))
             last = np.searchsorted(np.cumsum(self.a_size[a])[a_cut - 1], edge)  # the group that ends with the unit
-            written, links = self._figures(found)
-            stops = (last + 1).tolist()
-            texts += [";".join(written[p:q]) for p, q in zip([0, *stops[:-1]], stops)]
+            written, stops = self._written(found)
+            stops = stops[last].tolist()
+            texts += [written[p: q - 1] for p, q in zip([0, *stops[:-1]], stops)]
             sizes.append(np.stack([np.diff(a_cut[last], prepend=0), np.diff(b_cut[last], prepend=0), np.diff(last + 1, prepend=0)]))
-            pairs.append(links)
+            pairs.append(self._links(found))
         return texts, np.concatenate(sizes, axis=1), np.concatenate(pairs)
 
-    def _places(self, names: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _places(self, names: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray]:
         """Of units: written groups, sizes, start in the pool of pairs, the pool; units met before stay known."""
         if len(self.known) > KNOWN:
             self._forget()
-        new = [u for u in names if u not in self.known]
-        spot = np.fromiter(map(hash, new), np.int64, len(new)) & (MET - 1)
-        again = self.met[spot]
+        index = np.fromiter(map(self.known.get, names, itertools.repeat(-1)), np.int64, len(names))
+        where = np.flatnonzero(index < 0)
+        spot = np.fromiter(map(hash, map(names.__getitem__, where.tolist())), np.int64, len(where)) & (MET - 1)
+        stay = self.met[spot] & (np.fromiter(map(len, map(names.__getitem__, where.tolist())), np.int64, len(where)) <= LONG)
         self.met[spot] = True
-        stay, rest = [], []
-        for u, seen in zip(new, again.tolist()):
-            (stay if seen and len(u) <= LONG else rest).append(u)
-        texts, size, pairs = self._units(stay + rest)
-        start = np.concatenate([[0], np.cumsum(size[2])[:-1]]).astype(np.int64)[: size.shape[1]] + len(self.pairs)
+        where = where[np.argsort(~stay, kind="stable")]  # those to keep come first
+        order = list(map(names.__getitem__, where.tolist()))
+        texts, size, pairs = self._units(order)
+        start = np.cumsum(size[2]) - size[2] + len(self.pairs)
         pool, begins, sizes = np.concatenate([self.pairs, pairs]), np.concatenate([self.start, start]), np.concatenate([self.size, size], axis=1)
-        n = len(self.texts)
-        place = dict(zip(rest, range(n + len(stay), n + len(stay) + len(rest))))
-        self.known.update(zip(stay, range(n, n + len(stay))))
+        n, kept = len(self.texts), int(stay.sum())
         everything = self.texts + texts
-        if stay:
-            m = n + len(stay)
+        if kept:
+            m = n + kept
+            self.known.update(zip(order[:kept], range(n, m)))
             self.texts, self.start, self.size = everything[:m], begins[:m], sizes[:, :m]
             self.pairs = pool[: begins[m - 1] + sizes[2, m - 1]]
-        at = np.fromiter((self.known[u] if u in self.known else place[u] for u in names), np.int64, len(names))
-        return [everything[k] for k in at.tolist()], sizes[:, at], begins[at], pool, at
+        index[where] = n + np.arange(len(where))
+        return [everything[k] for k in index.tolist()], sizes[:, index], begins[index], pool
 
     def documents(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Per text: sizes (A, B, groups) and the hash of its groups; then all distinct (text, pair) with their number."""
@@ -181,25 +211,21 @@ class Aligner:
         code = units.indices.to_numpy()
         names = units.dictionary.to_pylist()
         use = [k for k, u in enumerate(names) if u]
-        written, size, start, pool, _ = self._places([names[k] for k in use])
+        written, size, start, pool = self._places([names[k] for k in use])
         full = np.zeros((3, len(names) + 1), np.int64)
         full[:, use] = size
         begin = np.zeros(len(names) + 1, np.int64)
         begin[use] = start
-        text_of: list[str | None] = [""] * len(names)
-        for k, w in zip(use, written):
-            text_of[k] = w
+        text_of = np.full(len(names), "", object)
+        text_of[use] = written
 
         sizes, hashes, owner, found = np.zeros((3, n), np.int64), [""] * n, [], []
-        codes, edges = code.tolist(), at.tolist()
-        good = np.zeros(n, bool)
-        for k in range(n):
-            if odd[k]:
-                continue
-            parts = [text_of[c] for c in codes[edges[k] + 1: edges[k + 1]]]
-            if parts and None not in parts:
-                hashes[k] = hashlib.sha256(";".join(parts).encode()).hexdigest()
-                good[k] = True
+        # A text is good with at least one unit, all of which come back from both tokenizers.
+        lost = np.concatenate([[0], np.cumsum(full[0, code] == 0)])
+        good = ~odd & (at[1:] > at[:-1] + 1) & (lost[at[1:]] == lost[np.minimum(at[:-1] + 1, len(code))])
+        parts, edges = text_of[code].tolist(), at.tolist()
+        for k in np.flatnonzero(good).tolist():
+            hashes[k] = hashlib.sha256(";".join(parts[edges[k] + 1: edges[k + 1]]).encode()).hexdigest()
         total = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(full[:, code], axis=1)], axis=1)
         sizes[:, good] = (total[:, at[1:]] - total[:, at[:-1]])[:, good]
         doc = np.repeat(np.arange(n), np.diff(at))
@@ -212,9 +238,9 @@ class Aligner:
             text = texts[k].as_py()[1:]
             aligned = self.align(text) if text else None
             if aligned is not None:
-                groups, links = self._figures(aligned)
-                hashes[k] = hashlib.sha256(";".join(groups).encode()).hexdigest()
-                sizes[:, k] = len(aligned[0]), len(aligned[1]), len(groups)
+                links = self._links(aligned)
+                hashes[k] = self._hash(aligned)
+                sizes[:, k] = len(aligned[0]), len(aligned[1]), len(links)
                 owner.append(np.full(len(links), k))
                 found.append(links)
         key, number = np.unique((np.concatenate(owner) << 2 * SHIFT) | np.concatenate(found), return_counts=True)
