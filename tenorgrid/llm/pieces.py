@@ -247,10 +247,15 @@ def encode_pieces(docs: DataFrame, keys: list[str], text: str = "text", model: s
     return rows.toDF(*_places(rows)).mapInArrow(_encode(model or tokenizer_path(MODEL)), schema)
 
 
+def _rows(lists: pa.ListArray) -> list[list[int]]:
+    edge, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [values[a:b].tolist() for a, b in zip(edge[:-1], edge[1:])]
+
+
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = piece_model(path).library.decode(batch.column(0).to_pylist(), num_threads=1) if len(batch) else []
+            texts = piece_model(path).library.decode(_rows(batch.column(0)), num_threads=1) if len(batch) else []
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*batch.schema.names[1:], "decoded"])
     return run
 
@@ -270,7 +275,7 @@ def _digest(path: str):
         for whole in batches:
             for k in range(0, len(whole), 1024):
                 batch = whole.slice(k, 1024)
-                ids = batch.column(0).to_pylist()
+                ids = _rows(batch.column(0))
                 texts = model.library.decode(ids, num_threads=1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1), batch.column(2), batch.column(3),
