@@ -12,6 +12,7 @@ from tenorgrid.functions.times import month_key
 from tenorgrid.functions.values import bucket_change, lookup
 from tenorgrid.operators.asof import calendar_ffill
 from tenorgrid.operators.dedup import dedup_keep_last
+from tenorgrid.operators.rules import Rule, broken_rules
 from tenorgrid.plans import coverage as cov
 from tenorgrid.plans import hedge, quality
 from tenorgrid.plans.spine import calendar_columns
@@ -98,29 +99,27 @@ def trailing_trim(t: Tables) -> DataFrame:
     return cov.trailing_trim(points, bounds).select("event_id", "token_id", "fidelity", "ts")
 
 
-@query("anomaly_table", """
-SELECT 'price outside band' AS "check", CAST(l_partkey AS VARCHAR) AS key, CAST(count(*) AS VARCHAR) AS detail FROM lineitem WHERE l_extendedprice < 1500 OR l_extendedprice > 104000 GROUP BY l_partkey
+@query("table_rules", """
+SELECT 'price outside band' AS "check", l_orderkey || '/' || l_linenumber AS key, CAST(l_extendedprice AS VARCHAR) AS detail FROM lineitem WHERE l_extendedprice < 1500 OR l_extendedprice > 104000
+UNION ALL SELECT 'discount without quantity', l_orderkey || '/' || l_linenumber, NULL FROM lineitem WHERE l_discount > 0.09 AND l_quantity < 2
 UNION ALL SELECT 'keys share a line', l_orderkey || '/' || l_linenumber, CAST(count(*) AS VARCHAR) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 UNION ALL SELECT 'ships before order', CAST(l_orderkey AS VARCHAR), CAST(min(CAST(l_shipdate AS DATE)) AS VARCHAR) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate GROUP BY l_orderkey
 UNION ALL SELECT 'order without lines', CAST(o_orderkey AS VARCHAR), NULL FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
 UNION ALL SELECT 'label missing', CAST(doc_id AS VARCHAR), lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 """)
-def anomaly_table(t: Tables) -> DataFrame:
-    price = F.col("l_extendedprice")
-    odd = t.lineitem.where((price < 1500) | (price > 104000)).groupBy("l_partkey").count()
-    shared = t.lineitem.groupBy("l_orderkey", "l_linenumber").count().where("count > 1")
-    first = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("ship"))
-    early = first.join(t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey").where("ship < o_orderdate")
-    bare = t.orders.select("o_orderkey").join(first, "o_orderkey", "left_anti")
-    unlabelled = t.documents.select("doc_id", "lang").join(t.labels.select("doc_id"), "doc_id", "left_anti")
-    c = F.col
-    return cov.anomaly_rows({
-        "price outside band": (odd, c("l_partkey"), c("count")),
-        "keys share a line": (shared, F.concat_ws("/", "l_orderkey", "l_linenumber"), c("count")),
-        "ships before order": (early, c("o_orderkey"), F.to_date("ship")),
-        "order without lines": (bare, c("o_orderkey"), F.lit(None)),
-        "label missing": (unlabelled, c("doc_id"), c("lang")),
-    })
+def table_rules(t: Tables) -> DataFrame:
+    c, price = F.col, F.col("l_extendedprice")
+    line = F.concat_ws("/", "l_orderkey", "l_linenumber")
+    by_line = t.lineitem.groupBy("l_orderkey", "l_linenumber").count()
+    first = t.lineitem.groupBy(c("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("ship"))
+    orders = t.orders.select("o_orderkey", "o_orderdate").join(first, "o_orderkey", "left")
+    documents = t.documents.select("doc_id", "lang").join(t.labels.select("doc_id", F.lit(True).alias("known")).distinct(), "doc_id", "left")
+    return (broken_rules(t.lineitem, [Rule("price outside band", (price < 1500) | (price > 104000), line, price),
+                                      Rule("discount without quantity", (c("l_discount") > 0.09) & (c("l_quantity") < 2), line)])
+            .unionAll(broken_rules(by_line, [Rule("keys share a line", c("count") > 1, line, c("count"))]))
+            .unionAll(broken_rules(orders, [Rule("ships before order", c("ship") < c("o_orderdate"), c("o_orderkey"), F.to_date("ship")),
+                                            Rule("order without lines", c("ship").isNull(), c("o_orderkey"))]))
+            .unionAll(broken_rules(documents, [Rule("label missing", c("known").isNull(), c("doc_id"), c("lang"))])))
 
 
 @query("outcome_agreement", """

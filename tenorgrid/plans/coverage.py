@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenorgrid.functions.fixed import DAY_BAR, HOUR_BAR, LEG_OUTCOME, MINUTE_BAR, OTHER
 from tenorgrid.functions.text import event_month
 from tenorgrid.functions.times import epoch_iso, month_key
 from tenorgrid.operators.aggregates import last_value, share_before
+from tenorgrid.operators.rules import Rule, broken_rules
 from tenorgrid.operators.skew import dimension_join
 
 DAY_S = 86400
@@ -126,63 +128,122 @@ def trailing_trim(points: DataFrame, bounds: DataFrame, fidelity: int = MINUTE_B
     return rows.where((F.col("fidelity") != fidelity) | inside).select(*points.columns)
 
 
-def anomaly_rows(checks: Mapping[str, tuple[DataFrame, Column, Column]]) -> DataFrame:
-    """``check -> (rows that fail, key, detail)`` as one table of (check, key, detail)."""
-    out = None
-    for name, (rows, key, detail) in checks.items():
-        one = rows.select(F.lit(name).alias("check"), key.cast("string").alias("key"), detail.cast("string").alias("detail"))
-        out = one if out is None else out.unionAll(one)
-    return out
-
-
-def anomalies(points: DataFrame, markets: DataFrame, spine: DataFrame, ladder_events: DataFrame, legs: DataFrame,
-              point_events: DataFrame, trades: DataFrame | None = None, bars: DataFrame | None = None) -> DataFrame:
-    """Structural anomalies of all sources as rows."""
+def point_anomalies(points: DataFrame, markets: DataFrame) -> DataFrame:
+    """Series against their markets: points by token once, markets once by row and once by outcome of an event."""
     col = F.col
-    ends = markets.select("market_id", "closed", F.when(col("ts") >= 0, col("ts")).alias("end_ts"))
-    last = points.where(col("fidelity") == HOUR_BAR).groupBy("market_id", "token_id").agg(F.max("ts").alias("last_ts"))
-    closed = dimension_join(last, ends, ["market_id"], "inner").where(col("closed") & col("end_ts").isNotNull())
     days = lambda a, b: F.round((a - b) / DAY_S, 1)
+    ends = markets.select("market_id", "closed", F.when(col("ts") >= 0, col("ts")).alias("end_ts"))
+    tokens = points.groupBy("market_id", "token_id").agg(
+        F.max(F.when(col("fidelity") == HOUR_BAR, col("ts"))).alias("last_ts"),
+        F.count_if((col("p") < 0) | (col("p") > 1)).alias("n_outside"))
+    tokens = dimension_join(tokens, ends, ["market_id"])
     end_d, decision_d = col("end_date").try_cast("date"), col("decision_date").try_cast("date")
-    shared = markets.where(col("outcome") != OTHER).groupBy("event_id", "outcome").count().where("count > 1")
-    parsed = ladder_events.select("event_id", "seq", event_month("event_id").alias("m"))
-    per_month = parsed.where("m.ym IS NOT NULL").groupBy("m.ym").agg(
-        F.count("*").alias("n"), F.min_by("event_id", F.struct("seq", "event_id")).alias("kept"))
+    legs = markets.where(col("outcome") != OTHER).groupBy("event_id", "outcome").agg(F.count("*").alias("n"))
+    return broken_rules(tokens, [
+        Rule("series ends early", col("closed") & (col("last_ts") + 3600 < col("end_ts") - 2 * DAY_S), col("token_id"), days(col("end_ts"), col("last_ts"))),
+        Rule("series runs past end", col("closed") & (col("last_ts") > col("end_ts") + 3 * DAY_S), col("token_id"), days(col("last_ts"), col("end_ts"))),
+        Rule("price outside 0..1", col("n_outside") > 0, col("token_id"), col("n_outside")),
+    ]).unionAll(broken_rules(markets, [
+        Rule("end before decision", end_d < decision_d, col("market_id"), col("end_date")),
+        Rule("volume is null", col("volume").isNull(), col("market_id"), col("venue_volume")),
+    ])).unionAll(broken_rules(legs, [Rule("legs share an outcome", col("n") > 1, col("event_id"), col("outcome"))]))
+
+
+def link_anomalies(spine: DataFrame, ladder_events: DataFrame, legs: DataFrame, point_events: DataFrame) -> DataFrame:
+    """What does not fit between the decisions and the events of both venues.
+
+    Events are checked by row (their ticker) and by month, legs by row and by event. Of several events of a month only
+    the first is linked, so only its day and its month are compared with the decision.
+    """
+    col = F.col
     decisions = spine.select("meeting_date", "meeting_month", "ladder_event")
-    dated_legs = legs.join(decisions.withColumnRenamed("ladder_event", "event_id"), "event_id")
-    paid = legs.where(col("result") == "yes").groupBy("event_id").agg(F.count("*").alias("n")).where("n > 1")
-    months = parsed.where("m.ym IS NOT NULL").select("event_id", col("m.ym").alias("meeting_month"), col("m.day").alias("day"))
-    with_month = months.join(decisions.select("meeting_date", "meeting_month"), "meeting_month", "left")
-    event_end = F.substring("end", 1, 10).try_cast("date")
-    unlinked = point_events.select("event_id", event_end.alias("meeting_date"), "end")
-    checks = {
-        "end before decision": (markets.where(end_d < decision_d), col("market_id"), col("end_date")),
-        "volume is null": (markets.where(col("volume").isNull()), col("market_id"), col("venue_volume")),
-        "series ends early": (closed.where(col("last_ts") + 3600 < col("end_ts") - 2 * DAY_S), col("token_id"),
-                              days(col("end_ts"), col("last_ts"))),
-        "series runs past end": (closed.where(col("last_ts") > col("end_ts") + 3 * DAY_S), col("token_id"),
-                                 days(col("last_ts"), col("end_ts"))),
-        "price outside 0..1": (points.where((col("p") < 0) | (col("p") > 1)).groupBy("token_id").agg(
-            F.count("*").alias("n")), col("token_id"), col("n")),
-        "legs share an outcome": (shared, col("event_id"), col("outcome")),
-        "ticker does not parse": (parsed.where("m.ym IS NULL"), col("event_id"), F.lit(None)),
-        "several events in a month": (per_month.where("n > 1"), col("ym"), col("kept")),
-        "event month without decision": (with_month.where("meeting_date IS NULL"), col("event_id"), col("meeting_month")),
-        "ticker day differs": (with_month.where(col("day") != F.dayofmonth("meeting_date")), col("event_id"), col("day")),
-        "close differs from decision": (dated_legs.where(F.substring("close", 1, 10) != col("meeting_date").cast("string")),
-                                        F.concat_ws("/", "event_id", "leg"), col("close")),
-        "unknown leg code": (legs.where(~col("leg").isin(*LEG_OUTCOME)), F.concat_ws("/", "event_id", "leg"), col("leg")),
-        "several legs paid": (paid, col("event_id"), col("n")),
-        "event not linked": (unlinked.join(decisions, "meeting_date", "left_anti"), col("event_id"), col("end")),
-        "several decision events": (spine.where(F.size("point_events_decision") > 1), col("meeting_date"),
-                                    F.array_join("point_events_decision", ",")),
-        "effective next month": (spine.where(month_key("effective_date") != col("meeting_month")), col("meeting_date"),
-                                 col("effective_date")),
-        "outcomes disagree": (spine.where(col("ladder_result_outcome") != col("realized_outcome")), col("meeting_date"),
-                              F.concat_ws("/", "ladder_result_outcome", "realized_outcome")),
-    }
-    if trades is not None and bars is not None:
-        checks["market without trades"] = (
-            bars.select("market_id").distinct().join(trades.select("market_id").distinct(), "market_id", "left_anti"),
-            col("market_id"), F.lit(None))
-    return anomaly_rows(checks)
+    parsed = ladder_events.select("event_id", "seq", event_month("event_id").alias("m"))
+    first = F.min(F.struct("seq", "event_id", col("m.day").alias("day")))
+    months = parsed.where("m.ym IS NOT NULL").groupBy(col("m.ym").alias("meeting_month")).agg(
+        F.count("*").alias("n"), first.alias("kept")).join(decisions.drop("ladder_event"), "meeting_month", "left")
+    dated = legs.join(decisions.withColumnRenamed("ladder_event", "event_id"), "event_id", "left")
+    leg_name = F.concat_ws("/", "event_id", "leg")
+    events = legs.groupBy("event_id").agg(F.count_if(col("result") == "yes").alias("n_paid"), F.min("close").alias("c0"), F.max("close").alias("c1"))
+    linked = point_events.withColumn("meeting_date", F.substring("end", 1, 10).try_cast("date")).join(
+        decisions.select("meeting_date", F.lit(True).alias("known")), "meeting_date", "left")
+    per_month = spine.groupBy("meeting_month").agg(F.count("*").alias("n"))
+    found = [
+        broken_rules(parsed, [Rule("ticker does not parse", col("m.ym").isNull(), col("event_id"))]),
+        broken_rules(months, [
+            Rule("several events in a month", col("n") > 1, col("meeting_month"), col("kept.event_id")),
+            Rule("event month without decision", col("meeting_date").isNull(), col("kept.event_id"), col("meeting_month")),
+            Rule("ticker day differs", col("kept.day") != F.dayofmonth("meeting_date"), col("kept.event_id"), col("kept.day")),
+        ]),
+        broken_rules(dated, [
+            Rule("close differs from decision", F.substring("close", 1, 10) != col("meeting_date").cast("string"), leg_name, col("close")),
+            Rule("unknown leg code", ~col("leg").isin(*LEG_OUTCOME), leg_name, col("leg")),
+        ]),
+        broken_rules(events, [
+            Rule("several legs paid", col("n_paid") > 1, col("event_id"), col("n_paid")),
+            Rule("closes differ", col("c0") != col("c1"), col("event_id"), F.concat_ws("/", "c0", "c1")),
+        ]),
+        broken_rules(linked, [
+            Rule("event end unreadable", col("meeting_date").isNull(), col("event_id"), col("end")),
+            Rule("event not linked", col("meeting_date").isNotNull() & col("known").isNull(), col("event_id"), col("end")),
+        ]),
+        broken_rules(spine, [
+            Rule("several decision events", F.size("point_events_decision") > 1, col("meeting_date"), F.array_join("point_events_decision", ",")),
+            Rule("effective next month", month_key("effective_date") != col("meeting_month"), col("meeting_date"), col("effective_date")),
+            Rule("outcomes disagree", col("ladder_result_outcome") != col("realized_outcome"), col("meeting_date"),
+                 F.concat_ws("/", "ladder_result_outcome", "realized_outcome")),
+        ]),
+        broken_rules(per_month, [Rule("several decisions in a month", col("n") > 1, col("meeting_month"), col("n"))]),
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+def trade_anomalies(trades: DataFrame, bars: DataFrame, ladder_markets: DataFrame, tol: float = 0.02) -> DataFrame:
+    """Markets with bars against their trades and their recorded volume: trades and bars are each read once.
+
+    Shares and differences are given in hundredths of a percent.
+    """
+    col = F.col
+    first = trades.groupBy("market_id").agg(F.min("ts").alias("first_trade"))
+    daily = F.when(col("interval") == DAY_BAR, F.coalesce("vol", F.lit(0.0))).otherwise(0.0)
+    per = dimension_join(bars.select("market_id", "interval", "ts", "vol"), first, ["market_id"]).groupBy("market_id").agg(
+        F.max("first_trade").alias("first_trade"), F.sum(daily).alias("total"),
+        F.sum(F.when(col("ts") < col("first_trade"), daily).otherwise(0.0)).alias("before"))
+    rows = dimension_join(per, ladder_markets.select("market_id", "volume_fp"), ["market_id"])
+    rel = (col("total") - col("volume_fp")) / F.nullif("volume_fp", F.lit(0.0))
+    return broken_rules(rows, [
+        Rule("market without trades", col("first_trade").isNull(), col("market_id")),
+        Rule("trades begin late", col("before") > 0, col("market_id"), F.round(10000 * col("before") / col("total")).cast("bigint")),
+        Rule("volume is off", F.abs(rel) > tol, col("market_id"), F.round(10000 * rel).cast("bigint")),
+    ])
+
+
+def series_anomalies(series: DataFrame, as_of: Column, max_gap: int = 10, min_rows: int = 30, max_stale: int = 7) -> DataFrame:
+    """Daily series (``series_id``, ``date``, ``value``, one row a day at most): gaps, length, age, bar in progress."""
+    col = F.col
+    before = F.lag("date").over(Window.partitionBy("series_id").orderBy("date"))
+    gap = F.datediff("date", "before") > max_gap
+    per = series.withColumn("before", before).groupBy("series_id").agg(
+        F.count("*").alias("n"), F.count_if(gap).alias("n_gaps"), F.min(F.when(gap, F.struct("before", "date"))).alias("gap"),
+        F.max("date").alias("last"), F.max(F.when(col("value").isNotNull(), col("date"))).alias("last_value"))
+    return broken_rules(per, [
+        Rule("long gap", col("n_gaps") > 0, col("series_id"), F.concat_ws("/", "n_gaps", "gap.before", "gap.date")),
+        Rule("short series", col("n") < min_rows, col("series_id"), col("n")),
+        Rule("stale series", F.datediff(as_of, "last_value") > max_stale, col("series_id"), col("last_value")),
+        Rule("last bar in progress", col("last") >= as_of, col("series_id"), col("last")),
+    ])
+
+
+def anomalies(points: DataFrame, markets: DataFrame, spine: DataFrame, ladder_events: DataFrame, legs: DataFrame,
+              point_events: DataFrame, trades: DataFrame | None = None, bars: DataFrame | None = None,
+              ladder_markets: DataFrame | None = None, series: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
+    """Structural anomalies of all sources as (``check``, ``key``, ``detail``).
+
+    Every input is read once for each grain that its rules have; rules of one grain share the scan. Landed events have
+    rules of their own, ``sources.landing.event_anomalies``.
+    """
+    found = [point_anomalies(points, markets), link_anomalies(spine, ladder_events, legs, point_events)]
+    if trades is not None and bars is not None and ladder_markets is not None:
+        found.append(trade_anomalies(trades, bars, ladder_markets))
+    if series is not None:
+        found.append(series_anomalies(series, F.current_date() if as_of is None else as_of))
+    return reduce(DataFrame.unionAll, found)

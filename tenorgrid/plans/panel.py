@@ -17,12 +17,15 @@ from tenorgrid.sources.sinks import register_views
 Keep = Callable[[str, DataFrame], DataFrame]
 
 INPUTS = ("spine", "quote_bars", "trades", "ladder_markets", "points", "point_markets", "futures", "rates")
+# What the spine is built from where it is not an input; ``target`` is the rate that decides the realised change.
+SPINE_INPUTS = ("calendar", "ladder_events", "legs", "point_events", "target", "futures")
 
 
 class Panel(Mapping[str, DataFrame]):
     """Tables of the panel by name, each defined when first asked for.
 
-    Inputs are the typed tables named in ``INPUTS``; where an input is enriched (quote bars, futures) the table of
+    Inputs are the typed tables named in ``INPUTS``, with those of ``SPINE_INPUTS`` in place of the spine if that is to be
+    built; where an input is enriched (quote bars, futures) the table of
     that name is the enriched one. ``keep(name, df)`` decides what is written out. The spine is joined by almost
     every stage and the two dense grids feed several tables, so a production build passes
     ``lambda name, df: materialise(df, f"panel.{name}")`` to compute each of them once.
@@ -56,13 +59,25 @@ class Panel(Mapping[str, DataFrame]):
         return register_views({f"{prefix}{name}": self[name] for name in self})
 
 
+def _spine(p: Panel) -> DataFrame:
+    return p.raw["spine"] if "spine" in list(p.raw) else sp.build_spine(*(p.raw[n] for n in SPINE_INPUTS))
+
+
+def _links(p: Panel) -> DataFrame:
+    """From the events themselves where they are at hand: no list per decision lies in between."""
+    if "point_events" in list(p.raw):
+        return sp.dated_links(p.raw["point_events"], p["spine"])
+    return sp.spine_links(p["spine"])
+
+
 STAGES: dict[str, Callable[[Panel], DataFrame]] = {
+    "spine": _spine,
     "windows": lambda p: sp.decision_windows(p["spine"]),
     "quote_bars": lambda p: lad.quote_bars(p.raw["quote_bars"]),
     "futures": lambda p: fut.futures_bars(p.raw["futures"], p.fetched_day),
     "rates_wide": lambda p: fut.rates_wide(p["rates"]),
     "rate_calendar": lambda p: fut.rate_calendar(p["rates_wide"]),
-    "links": lambda p: sp.link_events(sp.spine_links(p["spine"]), p["point_markets"]),
+    "links": lambda p: sp.link_events(_links(p), p["point_markets"]),
     "daily_quotes": lambda p: lad.daily_quotes(p["quote_bars"], p.event_prefix),
     "daily_points": lambda p: lad.daily_points(p["points"], p["point_markets"]),
     "ladder_daily": lambda p: lad.ladder_daily(p["daily_quotes"], p["spine"], p["windows"]),
@@ -79,4 +94,4 @@ STAGES: dict[str, Callable[[Panel], DataFrame]] = {
 }
 
 # Tables that several later stages read.
-KEPT = {"windows", "links", "daily_quotes", "daily_points", "basis_daily"}
+KEPT = {"spine", "windows", "links", "daily_quotes", "daily_points", "basis_daily"}

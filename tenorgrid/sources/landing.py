@@ -11,7 +11,7 @@ from tenorgrid.functions.values import lookup, no_nan, number
 from tenorgrid.operators.classify import classify_questions
 from tenorgrid.operators.dedup import dedup_keep_last
 from tenorgrid.operators.joins import nearest_match
-from tenorgrid.operators.skew import dimension_join
+from tenorgrid.operators.rules import Rule, broken_rules
 from tenorgrid.sources import schemas
 
 
@@ -139,58 +139,115 @@ def _text_array(c: Column) -> Column:
     return F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
 
 
-def flatten_events(inventory: DataFrame, venue_events: DataFrame, calendar: DataFrame, decision: str,
-                   venue: str = "b", tol_days: int = 8) -> DataFrame:
-    """Event inventory (``event_id, body``) and the venue's own event records (``event_id, body``) to one row
-    per market.
+def event_body(schema: str, body: str = "body") -> Column:
+    """An event's JSON; NULL where the text is no JSON, is cut off, or has no list of markets."""
+    corrupt = "_corrupt_record"
+    whole = F.from_json(F.col(body), schema.removesuffix(">") + f",{corrupt}:string>", {"columnNameOfCorruptRecord": corrupt})
+    return F.when(whole[corrupt].isNull() & whole["markets"].isNotNull(), whole)
+
+
+def unreadable_events(df: DataFrame, schema: str = schemas.EVENT_JSON, body: str = "body") -> DataFrame:
+    """Event responses that give no list of markets, whole."""
+    return df.where(event_body(schema, body).isNull()).withColumn("rule", F.lit("unreadable_body"))
+
+
+def match_events(inventory: DataFrame, venue_events: DataFrame, calendar: DataFrame, decision: str, tol_days: int = 8) -> DataFrame:
+    """Event inventory (``event_id, body``, ``arrival``) and the venue's own event records (the same columns) to one row
+    per market, in its place of the event, with the venue record it takes; an event without markets is one row.
 
-    A market takes the venue record with the same token list, otherwise the one with the same question text.
-    Token ids and labels come from the inventory, or from the venue record when they are missing there. A
-    market without a condition id is named by event and position. The decision is the calendar entry within
+    Of several responses for an event the one that arrived last counts. The two nested lists meet inside the event: one
+    join of events, then a market takes the first venue record with the same token list, otherwise the first with the
+    same question text, and each row carries its own record alone. The decision is the calendar entry within
     ``tol_days`` of the event's end.
     """
-    ev = inventory.select("event_id", F.from_json("body", schemas.EVENT_JSON).alias("e"))
-    markets = ev.select("event_id", F.col("e.title").alias("event_title"), F.col("e.start").alias("start_date"),
-                        F.col("e.end").alias("event_end"), F.col("e.closed").alias("event_closed"),
-                        F.posexplode("e.markets").alias("idx", "m"))
-    markets = markets.withColumns({"toks": _text_array(F.col("m.tokens")), "outs": _text_array(F.col("m.outcomes")),
-                                   "q": F.lower(F.trim("m.q"))})
-    g = venue_events.select("event_id", F.from_json("body", schemas.VENUE_EVENT_JSON).alias("g")).select(
-        "event_id", F.col("g.negRisk").alias("event_neg_risk"), F.posexplode("g.markets").alias("pos", "r"))
-    g = g.withColumns({"toks": _text_array(F.col("r.clobTokenIds")), "q": F.lower(F.trim("r.question"))})
-    record = F.struct("r", "event_neg_risk")
-    first = lambda key: g.groupBy("event_id", key).agg(F.min_by(record, "pos").alias(f"by_{key}"))
-    matched = dimension_join(markets, first("toks").where(F.size("toks") > 0), ["event_id", "toks"])
-    matched = dimension_join(matched, first("q"), ["event_id", "q"])
-    hit = F.coalesce("by_toks", "by_q")
-    matched = matched.withColumns({"r": hit["r"], "neg": hit["event_neg_risk"], "question": F.col("m.q")})
-    matched = classify_questions(matched, "question")
-    toks = F.when(F.size("toks") > 0, F.col("toks")).otherwise(_text_array(F.col("r.clobTokenIds")))
-    outs = F.when(F.size("outs") > 0, F.col("outs")).otherwise(_text_array(F.col("r.outcomes")))
-    matched = matched.withColumns({"toks": toks, "outs": outs})
+    last = lambda df, name: _arrived(df).groupBy("event_id").agg(F.max_by("body", "arrival").alias(name))
+    ev = last(inventory, "body").select("event_id", event_body(schemas.EVENT_JSON).alias("e")).where("e IS NOT NULL")
+    ven = last(venue_events, "body").select("event_id", event_body(schemas.VENUE_EVENT_JSON).alias("g"))
+    both = ev.join(ven.withColumn("has_body", F.lit(True)), "event_id", "left")
+    text = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    both = both.withColumn("records", F.transform(F.coalesce("g.markets", F.array().cast(f"array<{schemas.VENUE_MARKET_JSON}>")), lambda r: F.struct(
+        r.alias("r"), _text_array(r["clobTokenIds"]).alias("toks"), text(r["question"]).alias("q"))))
+
+    def place(m: Column, i: Column) -> Column:
+        toks = _text_array(m["tokens"])
+        same = F.get(F.filter("records", lambda r: (F.size(toks) > 0) & (r["toks"] == toks)), F.lit(0))
+        named = F.get(F.filter("records", lambda r: r["q"] == text(m["q"])), F.lit(0))
+        return F.struct(i.alias("idx"), m.alias("m"), toks.alias("toks"), _text_array(m["outcomes"]).alias("outs"),
+                        F.coalesce(same, named)["r"].alias("r"))
+
+    rows = both.select("event_id", F.col("e.title").alias("event_title"), F.col("e.start").alias("start_date"), F.col("e.end").alias("event_end"),
+                       F.col("e.closed").alias("event_closed"), F.col("g.id").alias("venue_event_id"), F.col("g.negRisk").alias("neg"),
+                       F.col("g.resolutionSource").alias("event_source"), F.size("records").alias("n_records"),
+                       (F.col("has_body").isNotNull() & F.col("g").isNull()).alias("venue_unreadable"),
+                       F.explode_outer(F.transform("e.markets", place)).alias("x"))
+    rows = rows.select("*", "x.*").drop("x").withColumn("question", F.col("m.q"))
+    rows = classify_questions(rows, "question").withColumns({
+        "own_toks": F.col("toks"),
+        "toks": F.when(F.size("toks") > 0, F.col("toks")).otherwise(_text_array(F.col("r.clobTokenIds"))),
+        "outs": F.when(F.size("outs") > 0, F.col("outs")).otherwise(_text_array(F.col("r.outcomes"))),
+        "condition_id": F.nullif("r.conditionId", F.lit("")),
+        "event_day": F.substring("event_end", 1, 10).try_cast("date")})
+    rows = rows.withColumn("market_id", F.coalesce("condition_id", F.concat_ws("#", "event_id", "idx")))
+    return nearest_match(rows, "event_day", calendar, decision, tol_days, "decision")
+
+
+def event_markets(matched: DataFrame, venue: str = "b") -> DataFrame:
+    """The markets of ``match_events`` in the shared schema.
+
+    Token ids and labels come from the inventory, or from the venue record when they are missing there. A market
+    without a condition id is named by event and position.
+    """
     token = lambda label: F.coalesce(
         F.get("toks", F.nullif(F.array_position("outs", label), F.lit(0)).cast("int") - 1), F.lit(""))
     end = F.coalesce(F.nullif("m.end", F.lit("")), F.nullif("event_end", F.lit("")))
     blank = lambda c: F.coalesce(c, F.lit(""))
-    matched = matched.withColumn("__end", F.substring("event_end", 1, 10).try_cast("date"))
-    dated = nearest_match(matched, "__end", calendar, decision, tol_days, "__decision")
-    flat = dated.select(
-        F.lit(venue).alias("venue"), "event_id",
-        F.coalesce(F.nullif("r.conditionId", F.lit("")), F.concat_ws("#", "event_id", "idx")).alias("market_id"),
+    flat = matched.where("idx IS NOT NULL").select(
+        F.lit(venue).alias("venue"), "event_id", "market_id",
         "outcome", F.col("detail").alias("outcome_detail"), blank("note").alias("mapping_note"),
         F.coalesce(iso_epoch(end), F.lit(-1)).alias("ts"), "question", blank("event_title").alias("event_title"),
         F.to_json("outs").alias("outcomes"), F.to_json("toks").alias("token_ids"), token("Yes").alias("yes_token_id"),
         token("No").alias("no_token_id"), blank("start_date").alias("start_date"), blank(end).alias("end_date"),
-        blank("r.closedTime").alias("closed_time"), F.col("__decision").cast("string").alias("decision_date"),
+        blank("r.closedTime").alias("closed_time"), F.col("decision").cast("string").alias("decision_date"),
         F.coalesce("m.closed", F.lit(False)).alias("closed"), F.coalesce("event_closed", F.lit(False)).alias("event_closed"),
         F.col("m.vol").alias("volume"), F.col("r.volumeNum").alias("venue_volume"),
         F.col("r.liquidityNum").alias("venue_liquidity"), F.col("r.enableOrderBook").alias("enable_order_book"),
         (F.coalesce("neg", F.lit(False)) | F.coalesce("r.negRisk", F.lit(False))).alias("neg_risk"),
         F.to_json(_text_array(F.col("r.outcomePrices"))).alias("final_outcome_prices"),
-        blank("r.description").alias("description"))
+        blank("r.description").alias("description"), blank("venue_event_id").alias("venue_event_id"), blank("r.id").alias("venue_market_id"),
+        blank("r.slug").alias("market_slug"), blank("condition_id").alias("condition_id"), blank("r.questionID").alias("question_id"),
+        blank("r.startDate").alias("venue_start_date"), blank("r.endDate").alias("venue_end_date"),
+        blank("r.umaResolutionStatus").alias("resolution_status"),
+        F.coalesce(F.nullif("r.resolutionSource", F.lit("")), F.nullif("event_source", F.lit("")), F.lit("")).alias("resolution_source"))
     return _conform(flat, schemas.POINT_MARKETS)
 
 
+def flatten_events(inventory: DataFrame, venue_events: DataFrame, calendar: DataFrame, decision: str,
+                   venue: str = "b", tol_days: int = 8) -> DataFrame:
+    """Event inventory and venue records to one row per market; see ``match_events`` and ``event_markets``."""
+    return event_markets(match_events(inventory, venue_events, calendar, decision, tol_days), venue)
+
+
+def event_anomalies(matched: DataFrame) -> DataFrame:
+    """What the landing of ``match_events`` found wanting, as (``check``, ``key``, ``detail``), from one pass over it."""
+    col = F.col
+    event, market = F.coalesce("idx", F.lit(0)) == 0, col("idx").isNotNull()
+    blank = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit("")) == ""
+    day = lambda c: F.substring(c, 1, 10)
+    return broken_rules(matched, [
+        Rule("event start is empty", event & blank(col("start_date")), col("event_id"), col("event_end")),
+        Rule("no decision near the end", event & col("decision").isNull(), col("event_id"), col("event_end")),
+        Rule("event without markets", col("idx").isNull(), col("event_id")),
+        Rule("venue record unreadable", event & col("venue_unreadable"), col("event_id")),
+        Rule("no matching venue record", market & col("r").isNull() & (col("n_records") > 0), col("market_id"), col("question")),
+        Rule("tokens recovered", market & (F.size("own_toks") == 0) & (F.size("toks") > 0), col("market_id"), col("question")),
+        Rule("tokens missing", market & (F.size("toks") == 0), col("market_id"), col("question")),
+        Rule("question not mapped", market & (col("detail") == "UNMAPPED"), col("market_id"), col("question")),
+        Rule("no condition id", market & col("condition_id").isNull(), col("market_id"), col("question")),
+        Rule("no Yes label", market & ~F.array_contains("outs", "Yes"), col("market_id"), F.to_json("outs")),
+        Rule("market end differs", market & ~blank(col("m.end")) & (day("m.end") != day("event_end")), col("market_id"), col("m.end")),
+    ])
+
+
 def token_plan(markets: DataFrame) -> DataFrame:
     """Tokens to collect per market: always Yes, No for canonical outcomes, all when there is no Yes."""
     from tenorgrid.operators.sets import keep_collectable, unnest_zip

@@ -56,7 +56,9 @@ POINT_MARKETS = ordered(
     "ts bigint, question string, event_title string, outcomes string, token_ids string, yes_token_id string, "
     "no_token_id string, start_date string, end_date string, closed_time string, decision_date string, "
     "closed boolean, event_closed boolean, volume double, venue_volume double, venue_liquidity double, "
-    "enable_order_book boolean, neg_risk boolean, final_outcome_prices string, description string")
+    "enable_order_book boolean, neg_risk boolean, final_outcome_prices string, description string, "
+    "venue_event_id string, venue_market_id string, market_slug string, condition_id string, question_id string, "
+    "venue_start_date string, venue_end_date string, resolution_status string, resolution_source string")
 
 FUTURES_BARS = ordered(
     f"{KEYS}, date date, contract string, source_symbol string, product string, delivery_month string, "

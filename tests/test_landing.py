@@ -104,7 +104,7 @@ def test_events_and_token_plan(spark):
     assert rows(out, "market_id", "outcome", "token_ids", "yes_token_id", "no_token_id", "decision_date", "volume", "venue_volume", "neg_risk", "closed") == sorted([
         ("0xa", "CUT25", '["1","2"]', "1", "2", "2026-03-18", 5.5, 6.0, True, True),
         ("0xb", "HOLD", '["3","4"]', "3", "4", "2026-03-18", None, None, True, False),
-        ("ev#2", "OTHER", '["7","8"]', "", "", "2026-03-18", 1.0, None, False, False)], key=order)
+        ("ev#2", "OTHER", '["7","8"]', "", "", "2026-03-18", 1.0, None, True, False)], key=order)  # the event's own mark
     first = out.where("market_id = '0xa'").first()
     assert len(first.description) == 2500 and first.ts == epoch("2026-03-20T00:00:00") and first.question == inventory["markets"][0]["q"]
     assert rows(token_plan(out), "market_id", "token_id", "label") == sorted([

@@ -77,7 +77,7 @@ def test_spine(spark):
     found = cov.anomalies(spark.createDataFrame([], POINTS), markets, out, events, legs, points)
     got = {(r.check, r.key) for r in found.collect()}
     assert {("several events in a month", "2026-09"), ("ticker does not parse", "JUNK"), ("event not linked", "x"), ("several decision events", "2026-09-16"),
-            ("volume is null", "1"), ("volume is null", "2")} == got
+            ("volume is null", "1"), ("volume is null", "2"), ("closes differ", "FEDDECISION-26SEP16")} == got
 
 
 PRICES = {"CUT50P": 0.005, "CUT25": 0.005, "HOLD": 0.38, "HIKE25": 0.6, "HIKE50P": 0.01}
