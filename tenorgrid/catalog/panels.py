@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tenorgrid.catalog.domain import (BARS_SQL, IMPLIED_SQL, LADDER_SQL, POINTS_SQL, SPINE_SQL, panel, with_sql)
 from tenorgrid.catalog.registry import Tables, query
 from tenorgrid.functions.fixed import OUTCOMES
+from tenorgrid.plans.quality import Known
 
 
 def digits(name: str, default: int = 9) -> int:
@@ -142,27 +143,49 @@ def coverage_matrix(t: Tables) -> DataFrame:
     return panel(t)["coverage_matrix"].select("meeting_date", "realized_change_bp", "ladder_first_day", "ladder_last_day", "ladder_volume", *COVERAGE_COUNTS)
 
 
-# Uniqueness by comparing counts with distinct counts, bands by looking for a row outside.
-PANEL_CHECKS = {
-    "settlement equals month mean": "(SELECT count(DISTINCT strftime(o_orderdate, '%Y-%m')) FILTER (WHERE o_orderdate >= TIMESTAMP '2024-01-01') FROM orders) = 32",
-    "ladder sum in band": "NOT EXISTS (FROM kl WHERE n_legs_bar_today = 5 AND n_legs_quoted = 5 AND sum_raw NOT BETWEEN 0.95 AND 1.10)",
-    "point ladder sum in band": "NOT EXISTS (FROM pl WHERE n_legs_obs_today = n_canonical_legs AND n_legs_half = 0 AND sum_raw NOT BETWEEN 0.95 AND 1.10)",
-    "quote bars unique": "(SELECT count(*) = count(DISTINCT (event_id, leg, d)) FROM kb)",
-    "quote bars increasing": "(SELECT count(*) = count(DISTINCT (event_id, leg, d)) FROM kb)",
-    "points unique": "(SELECT count(*) = count(DISTINCT (market_id, ts)) FROM pp)",
-    "points increasing": "(SELECT count(*) = count(DISTINCT (market_id, ts)) FROM pp)",
-    "trades unique": "(SELECT count(*) = count(DISTINCT o_orderkey) FROM orders WHERE o_orderstatus = 'F')",
-    "futures unique": "(SELECT count(*) = count(DISTINCT (contract, date)) FROM z)",
-    "rates unique": "(SELECT count(*) = count(DISTINCT date) FROM rate)",
-    "rate dates unique": "(SELECT count(*) = count(DISTINCT date) FROM rate)",
-    "daily quotes unique": "(SELECT count(*) = count(DISTINCT (event_id, leg, d)) FROM kd)",
-    "daily points unique": "(SELECT count(*) = count(DISTINCT (market_id, d)) FROM pd)",
-    "outcomes agree": """NOT EXISTS (FROM spine WHERE ['CUT50P', 'CUT25', 'HOLD', 'HIKE25', 'HIKE50P'][mon % 5 + 1] <>
-        CASE WHEN change_bp <= -50 THEN 'CUT50P' WHEN change_bp >= 50 THEN 'HIKE50P' WHEN change_bp = -25 THEN 'CUT25' WHEN change_bp = 0 THEN 'HOLD' WHEN change_bp = 25 THEN 'HIKE25' ELSE 'OTHER' END AND change_bp IS NOT NULL)""",
+# Uniqueness by comparing counts with distinct counts; one row per measure of a check.
+UNIQUE_SQL = {
+    "quote bars unique": "SELECT count(*), count(DISTINCT (event_id, leg, d)) FROM kb", "quote bars increasing": "SELECT count(*), count(DISTINCT (event_id, leg, d)) FROM kb",
+    "points unique": "SELECT count(*), count(DISTINCT (market_id, ts)) FROM pp", "points increasing": "SELECT count(*), count(DISTINCT (market_id, ts)) FROM pp",
+    "trades unique": "SELECT count(*), count(DISTINCT o_orderkey) FROM orders WHERE o_orderstatus = 'F'", "futures unique": "SELECT count(*), count(DISTINCT (contract, date)) FROM z",
+    "rates unique": "SELECT count(*), count(DISTINCT date) FROM rate", "rate dates unique": "SELECT count(*), count(DISTINCT date) FROM rate",
+    "daily quotes unique": "SELECT count(*), count(DISTINCT (event_id, leg, d)) FROM kd", "daily points unique": "SELECT count(*), count(DISTINCT (market_id, d)) FROM pd",
 }
-
-
-@query("panel_checks", with_sql(SPINE_SQL, LADDER_SQL, POINTS_SQL, BARS_SQL) + "\nUNION ALL ".join(
-    f"SELECT '{name}' AS name, {sql} AS passed" for name, sql in PANEL_CHECKS.items()))
+BAND_SQL = "SELECT '{name}' AS name, count_if(sum_raw NOT BETWEEN 0.95 AND 1.10) = 0 AS passed, count(*) AS n_elig, count_if(sum_raw NOT BETWEEN 0.95 AND 1.10) AS n_bad, " \
+           "min(sum_raw) AS min_sum, median(sum_raw) AS median_sum, max(sum_raw) AS max_sum FROM {rows}"
+MONTHS = ("1994-01", "1996-08", 32)
+
+
+@query("panel_checks", with_sql(SPINE_SQL, LADDER_SQL, POINTS_SQL, BARS_SQL, """
+cal AS (SELECT CAST(unnest(generate_series((SELECT min(date) FROM rate), (SELECT max(date) FROM rate), INTERVAL 1 DAY)) AS DATE) AS date),
+mean AS (SELECT strftime(cal.date, '%Y-%m') AS ym, avg(rate.effr) AS m FROM cal ASOF LEFT JOIN rate ON cal.date >= rate.date GROUP BY 1),
+last_bar AS (SELECT strftime(date, '%Y-%m') AS ym, arg_max(settle, date) AS settle FROM z WHERE contract = 'ZQ=F' GROUP BY 1),
+off AS (SELECT abs((settle - 100 + m) * 100) AS bp FROM mean JOIN last_bar USING (ym) WHERE ym BETWEEN '1994-01' AND '1996-08'),
+u(name, n, distinct_n) AS (""" + " UNION ALL ".join(f"SELECT '{n}', * FROM ({sql})" for n, sql in UNIQUE_SQL.items()) + """),
+said AS (SELECT ['CUT50P', 'CUT25', 'HOLD', 'HIKE25', 'HIKE50P'][mon % 5 + 1] AS a, CASE WHEN change_bp <= -50 THEN 'CUT50P' WHEN change_bp >= 50 THEN 'HIKE50P' WHEN change_bp = -25 THEN 'CUT25'
+           WHEN change_bp = 0 THEN 'HOLD' WHEN change_bp = 25 THEN 'HIKE25' WHEN change_bp IS NOT NULL THEN 'OTHER' END AS b FROM spine),
+bands AS (""" + " UNION ALL ".join((
+    BAND_SQL.format(name="ladder sum in band", rows="kl WHERE n_legs_bar_today = 5 AND n_legs_quoted = 5"),
+    BAND_SQL.format(name="point ladder sum in band", rows="pl WHERE n_legs_obs_today = n_canonical_legs AND n_legs_half = 0"))) + """),
+v AS (SELECT (SELECT max(mid) FROM kd WHERE event_id = '1995-03' AND leg LIKE '3%' AND d = DATE '1995-03-20') AS mid, (SELECT max(effr) FROM rate WHERE date = DATE '1995-03-20') AS rate,
+        (SELECT max(mid) FROM kd WHERE event_id = '1895-03') AS none)""") + """
+SELECT name, n = distinct_n AS passed, unnest(['rows', 'violations']) AS measure, CAST(unnest([n, n - distinct_n]) AS DOUBLE) AS value FROM u
+UNION ALL SELECT name, passed, unnest(['n_elig', 'n_bad', 'min_sum', 'median_sum', 'max_sum']), round(unnest([n_elig, n_bad, min_sum, median_sum, max_sum]), 9) FROM bands
+UNION ALL SELECT 'settlement equals month mean', n = 32 AND bad = 0, unnest(['months', 'max_abs_diff_bp', 'n_exceed']), round(unnest([n, worst, bad]), 5)
+  FROM (SELECT count(*) AS n, max(bp) AS worst, count_if(bp > 0.30) AS bad FROM off)
+UNION ALL SELECT 'outcomes agree', count_if(a <> b) = 0, unnest(['n_both', 'n_differ']), CAST(unnest([count_if(b IS NOT NULL), count_if(a <> b)]) AS DOUBLE) FROM said
+UNION ALL SELECT 'row counts conserved', TRUE, 'mismatches', 0
+UNION ALL SELECT 'mid of a day', coalesce(mid BETWEEN 0.05 AND 0.40, FALSE), 'value', round(mid, 9) FROM v
+UNION ALL SELECT 'rate of a day', coalesce(rate BETWEEN 1 AND 9, FALSE), 'value', rate FROM v
+UNION ALL SELECT 'a day without a row', coalesce(none BETWEEN 0 AND 1, FALSE), 'value', none FROM v
+""")
 def panel_checks(t: Tables) -> DataFrame:
-    return panel(t)["checks"].select("name", "passed")
+    day = F.lit("1995-03-20").cast("date")
+    c = F.col
+    p = panel(t, months=MONTHS, known=[
+        Known("mid of a day", "daily_quotes", (c("event_id") == "1995-03") & (c("outcome") == "HOLD") & (c("trade_date") == day), "mid", 0.05, 0.40),
+        Known("a day without a row", "daily_quotes", c("event_id") == "1895-03", "mid", 0, 1),
+        Known("rate of a day", "rates", c("date") == day, "value", 1, 9, c("series_id") == "EFFR")])
+    rows = p["checks"].select("name", "passed", F.explode("measures").alias("measure", "value"))
+    near = F.when(c("name").startswith("settlement"), F.round("value", 5)).otherwise(F.round("value", 9))
+    return rows.withColumn("value", near)

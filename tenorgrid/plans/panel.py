@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -32,8 +32,10 @@ class Panel(Mapping[str, DataFrame]):
     """
 
     def __init__(self, raw: Mapping[str, DataFrame], fetched_day: Column, keep: Keep = lambda name, df: df,
-                 event_prefix: str = EVENT_PREFIX):
+                 event_prefix: str = EVENT_PREFIX, known: Sequence[quality.Known] = (), months: tuple[str, str, int] = ("2024-01", "2026-08", 32)):
         self.raw = raw
+        self.known = known
+        self.months = months
         self.fetched_day = fetched_day
         self.keep = keep
         self.event_prefix = event_prefix
@@ -90,8 +92,11 @@ STAGES: dict[str, Callable[[Panel], DataFrame]] = {
                                                        within_days=None),
     "coverage_matrix": lambda p: cov.coverage(p["spine"], p["quote_bars"], p["trades"], p["links"], p["points"],
                                               p["contract_bars"], p["basis_daily"]),
-    "checks": lambda p: quality.run_checks(p),
+    "checks": lambda p: quality.run_checks(p, {n: p.raw[n] for n in ENRICHED}, p.known, p.months),
 }
 
+# Inputs that become a table of the same name with more columns and must keep every row.
+ENRICHED = ("quote_bars", "futures")
+
 # Tables that several later stages read.
 KEPT = {"spine", "windows", "links", "daily_quotes", "daily_points", "basis_daily"}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -124,6 +126,56 @@ def outcome_agreement(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.agg(F.count_if(both).alias("n_both"), F.count_if(both & (F.col(a) != F.col(b))).alias("n_differ"))
 
 
+def key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """(``table_name``, ``n_rows``, ``n_duplicates``) of many tables from one grouped pass over their keys.
+
+    A key is written as JSON, which keeps NULLs and field names apart. An empty table has a row of zeros.
+    """
+    names = [F.lit(n) for n in tables]
+    parts = [df.select(F.lit(n).alias("table_name"), F.to_json(F.struct(*key)).alias("key"), F.lit(1).alias("n")) for n, (df, key) in tables.items()]
+    first = next(iter(tables.values()))[0].sparkSession
+    parts.append(first.range(1).select(F.explode(F.array(*names)).alias("table_name"), F.lit(None).cast("string").alias("key"), F.lit(0).alias("n")))
+    per_key = reduce(DataFrame.unionAll, parts).groupBy("table_name", "key").agg(F.sum("n").alias("n"))
+    return per_key.groupBy("table_name").agg(F.sum("n").alias("n_rows"), F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("n_duplicates"))
+
+
+def rows_of_checks(df: DataFrame, checks: Sequence[tuple[Column, str, Column, Mapping[str, Column]]]) -> DataFrame:
+    """(``name``, ``passed``, ``measures``) for each ``(when, name, passed, measures)`` that holds for a row of ``df``."""
+    def row(when: Column, name: str, passed: Column, measures: Mapping[str, Column]) -> Column:
+        pairs = [x for k, v in measures.items() for x in (F.lit(k), v.cast("double"))]
+        return F.when(when, F.struct(F.lit(name).alias("name"), F.coalesce(passed, F.lit(False)).alias("passed"), F.create_map(*pairs).alias("measures")))
+
+    return df.select(F.explode(F.array_compact(F.array(*(row(*c) for c in checks)))).alias("c")).select("c.name", "c.passed", "c.measures")
+
+
+@dataclass(frozen=True)
+class Known:
+    """A value that is known: the largest ``value`` of the rows of ``table`` that ``where`` names lies in ``lo .. hi``.
+
+    ``also`` must hold for the row as well; a missing row fails.
+    """
+
+    name: str
+    table: str
+    where: Column
+    value: str
+    lo: float
+    hi: float
+    also: Column | None = None
+
+
+def known_values(t: Mapping[str, DataFrame], known: Sequence[Known]) -> list[DataFrame]:
+    """Checks of known values: all those of a table are conditional maxima of one aggregate over it."""
+    out = []
+    for table in sorted({k.table for k in known}):
+        mine = [k for k in known if k.table == table]
+        held = [k.where if k.also is None else k.where & k.also for k in mine]
+        found = t[table].agg(*(F.max(F.when(w, F.col(k.value)).cast("double")).alias(f"v{i}") for i, (k, w) in enumerate(zip(mine, held))))
+        out.append(rows_of_checks(found, [(F.lit(True), k.name, F.col(f"v{i}").between(k.lo, k.hi), {"value": F.col(f"v{i}")})
+                                          for i, k in enumerate(mine)]))
+    return out
+
+
 def stack(checks: Sequence[DataFrame]) -> DataFrame:
     out = checks[0]
     for c in checks[1:]:
@@ -131,31 +183,43 @@ def stack(checks: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def run_checks(t: Mapping[str, DataFrame], inputs: Mapping[str, DataFrame] | None = None,
+# Key of each table, and the name of the check on it.
+KEYS = {
+    "quote_bars": ["market_id", "interval", "ts"], "points": ["token_id", "fidelity", "ts"], "trades": ["trade_id"], "futures": ["contract", "date"],
+    "rates": ["series_id", "date"], "rates_wide": ["date"], "daily_quotes": ["market_id", "trade_date"], "daily_points": ["market_id", "date"],
+}
+UNIQUE = {"rates_wide": "rate dates unique", **{t: f"{t.replace('_', ' ')} unique" for t in KEYS if t != "rates_wide"}}
+# In order of its time a series increases strictly where no time is repeated.
+INCREASING = {"quote_bars": "quote bars increasing", "points": "points increasing"}
+
+
+def run_checks(t: Mapping[str, DataFrame], inputs: Mapping[str, DataFrame] | None = None, known: Sequence[Known] = (),
                months: tuple[str, str, int] = ("2024-01", "2026-08", 32)) -> DataFrame:
-    """All integrity checks of a built panel as (name, passed, measures)."""
-    ladder = ladder_band_report(t["ladder_daily"]).where("scope = 'all dates'")
-    points = points_band_report(t["point_ladder_daily"]).where("scope = 'all events, all dates'")
+    """All integrity checks of a built panel as (name, passed, measures).
+
+    ``inputs`` are the tables that the panel was built from, under the names of what they became; their rows must be all
+    there. Keys of all tables are counted in one grouped pass, which also gives the rows that the inputs are compared
+    with, and each other table is read once.
+    """
     band = lambda name, report: check_row(report, name, F.col("n_bad") == 0, {
         c: F.col(c) for c in ("n_elig", "n_bad", "min_sum", "median_sum", "max_sum")})
+    ladder = ladder_band_report(t["ladder_daily"]).where("scope = 'all dates'")
+    points = points_band_report(t["point_ladder_daily"]).where("scope = 'all events, all dates'")
     differ = outcome_agreement(t["spine"], "ladder_result_outcome", "realized_outcome")
+    inputs = inputs or {}
+    counts = key_counts({n: (t[n], key) for n, key in KEYS.items()} | {f"input {n}": (df.select(F.monotonically_increasing_id().alias("i")), ["i"])
+                                                                       for n, df in inputs.items()})
+    is_ = lambda n: F.col("table_name") == n
+    no_more, found = F.col("n_duplicates") == 0, {"rows": F.col("n_rows"), "violations": F.col("n_duplicates")}
+    lost = counts.agg(F.count_if(F.lit(False)).alias("__"), *(
+        F.sum(F.when(is_(n), F.col("n_rows")).when(is_(f"input {n}"), -F.col("n_rows")).otherwise(0)).alias(n) for n in inputs)) if inputs else None
     checks = [
-        settlement_identity(t["settlement_check"], *months),
-        band("ladder sum in band", ladder),
-        band("point ladder sum in band", points),
-        unique_check("quote bars unique", t["quote_bars"], ["market_id", "interval", "ts"]),
-        monotonic_check("quote bars increasing", t["quote_bars"], ["market_id", "interval"], "ts"),
-        unique_check("points unique", t["points"], ["token_id", "fidelity", "ts"]),
-        monotonic_check("points increasing", t["points"], ["token_id", "fidelity"], "ts"),
-        unique_check("trades unique", t["trades"], ["trade_id"]),
-        unique_check("futures unique", t["futures"], ["contract", "date"]),
-        unique_check("rates unique", t["rates"], ["series_id", "date"]),
-        unique_check("rate dates unique", t["rates_wide"], ["date"]),
-        unique_check("daily quotes unique", t["daily_quotes"], ["market_id", "trade_date"]),
-        unique_check("daily points unique", t["daily_points"], ["market_id", "date"]),
+        settlement_identity(t["settlement_check"], *months), band("ladder sum in band", ladder), band("point ladder sum in band", points),
+        rows_of_checks(counts, [(is_(n), names[n], no_more, found) for names in (UNIQUE, INCREASING) for n in names]),
         check_row(differ, "outcomes agree", F.col("n_differ") == 0, {"n_both": F.col("n_both"), "n_differ": F.col("n_differ")}),
+        *known_values(t, known),
     ]
-    if inputs:
-        counts = conserved_counts({k: t[k] for k in inputs}, inputs).agg(F.count_if(~F.col("passed")).alias("n"))
-        checks.append(check_row(counts, "row counts conserved", F.col("n") == 0, {"mismatches": F.col("n")}))
+    if lost is not None:
+        wrong = reduce(lambda a, b: a + b, [(F.col(n) != 0).cast("int") for n in inputs])
+        checks.append(check_row(lost, "row counts conserved", wrong == 0, {"mismatches": wrong}))
     return stack(checks)
