@@ -134,7 +134,7 @@ def test_coverage_and_checks(panel):
             c.contract_rows_total, c.contract_rows_pre_decision, c.basis_days_ladder) == (10, 0, 1, 1, 10, 1, 3, 2, 1)
     got = {r.name: r.passed for r in panel["checks"].collect()}
     assert got.pop("settlement equals month mean") is False
-    assert all(got.values()) and len(got) == 13
+    assert all(got.values()) and len(got) == 14
     assert panel.publish("t_") and panel["trades"].sparkSession.table("t_basis_daily").count() == panel["basis_daily"].count()
 
 
