@@ -33,7 +33,7 @@ from tenorgrid.llm.common import keep, named
 
 SCALE = 256
 SAMPLE, CENTRES = 4096, 256  # of the top of the cover: rows that centres are chosen from, most centres of a length
-SHARD, LEAF, WIDTH = 4096, 48, 32  # rows of a shard and of a leaf, most children of a node
+SHARD, LEAF, WIDTH = 4096, 64, 32  # rows of a shard and of a leaf, most children of a node
 QUERIES = 1024  # searched at once
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 PACKED = "id bigint, label bigint, dims int, vector binary, norm double"
@@ -112,7 +112,7 @@ class CoverTree:
                 if stop - start <= LEAF or radius == 0:
                     continue
                 first = int(far.argmin())
-                chosen, near, _ = _farthest_first(raised[mine], first, WIDTH, radius / 2)
+                chosen, near, _ = _farthest_first(raised[mine], first, min(WIDTH, 1 - (start - stop) // LEAF), radius / 2)
                 by = np.argsort(near, kind="stable")
                 order[start:stop] = mine[by]
                 count = np.bincount(near, minlength=len(chosen))
@@ -190,35 +190,41 @@ class _Look:
     def __init__(self, tree: CoverTree, queries, own, labels, of, low, high, same, kind):
         self.tree, self.queries, self.own, self.labels = tree, queries, own, labels
         self.of, self.low, self.high, self.same, self.points = of, low, high, same, tree.points.astype(kind)
-        self.done: set[tuple[int, int]] = set()
+        self.dived = np.full(len(of), -1)
 
     def verify(self, top: _Top, depth: np.ndarray, w: np.ndarray, node: np.ndarray, most: np.ndarray) -> None:
         """Best leaves first; each round takes twice as many leaves of a window as the one before."""
+        name = depth * len(self.points) + node
+        new = name != self.dived[w]
+        depth, w, node, most, name = depth[new], w[new], node[new], most[new], name[new]
+        if self.dived.max(initial=-1) < 0:
+            self.dived[w] = name
         order = np.lexsort((-most, w))
-        depth, w, node, most = depth[order], w[order], node[order], most[order]
+        depth, w, node, most, name = depth[order], w[order], node[order], most[order], name[order]
         rank = np.arange(len(w)) - np.searchsorted(w, w)
         step = np.floor(np.log2(rank + 1)).astype(np.int64)
         for r in range(int(step.max(initial=-1)) + 1):
             now = np.flatnonzero((step == r) & (most >= top.least[w]))
+            now = now[np.argsort(name[now], kind="stable")]
+            edges = np.flatnonzero(np.diff(name[now], prepend=-1, append=-1)).tolist()
             found = []
-            name = depth[now] * len(self.points) + node[now]
-            for leaf in np.unique(name).tolist():
-                mine = now[name == leaf]
-                start, stop = self.tree.levels[depth[mine[0]]][0][node[mine[0]]].tolist()
-                found.append(self._leaf(top, w[mine], start, stop))
+            for a, b in zip(edges[:-1], edges[1:]):
+                first = now[a]
+                start, stop = self.tree.levels[depth[first]][0][node[first]].tolist()
+                found.append(self._leaf(top, w[now[a:b]], start, stop))
             if found:
                 top.add(*(np.concatenate(x) for x in zip(*found)))
 
     def _leaf(self, top: _Top, w: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        tree = self.tree
-        w = w[[(x, start) not in self.done for x in w.tolist()]]
-        self.done.update((x, start) for x in w.tolist())
-        names, place = np.unique(self.of[w], return_inverse=True)
-        score = (self.queries[names] @ self.points[start:stop].T).astype(np.int64)[place]
+        """Points of a leaf that are in windows ``w`` (in order, as are their queries)."""
+        tree, query = self.tree, self.of[w]
+        head = np.flatnonzero(np.diff(query, prepend=-1))
+        score = (self.queries[query[head]] @ self.points[start:stop].T).astype(np.int64)
+        score = score[np.repeat(np.arange(len(head)), np.diff(np.append(head, len(w))))]
         labels, ids = tree.labels[start:stop], tree.ids[start:stop]
-        query = self.of[w]
-        good = (labels == self.labels[query][:, None]) == self.same[w][:, None]
-        good &= (ids != self.own[query][:, None]) & (score >= top.least[w][:, None]) & (score <= self.high[w][:, None])
+        good = (score >= top.least[w][:, None]) & (score <= self.high[w][:, None])
+        good &= (labels == self.labels[query][:, None]) == self.same[w][:, None]
+        good &= ids != self.own[query][:, None]
         i, j = np.nonzero(good)
         return w[i], ids[j], score[i, j]
 
