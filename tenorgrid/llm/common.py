@@ -66,6 +66,18 @@ def named(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def free(taken: list[str], *wanted: str) -> list[str]:
+    """Names for new columns, each as wanted or with underscores in front, that no column of the caller has."""
+    used = {name.lower() for name in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Sheltered:
     """The columns of a caller under inner names ``c0``, ``c1`` ..., so that columns added inside cannot meet them.
 

@@ -1,24 +1,30 @@
 """Personal data by surrogate generation.
 
-Entities are found by their shapes: mail addresses, phone numbers, IPv4 and IPv6 addresses, card, account and social
-security numbers, and names behind a form of address. Each distinct entity gets a replacement of its own type and
+Entities are found by their shapes: mail addresses (also of international domains), phone numbers, IPv4 and IPv6 addresses
+(also compressed), card, account and social security numbers, numbers behind a word for telephone, and names behind a form of
+address or a phrase that introduces one. Each distinct entity gets a replacement of its own type and
 format from a keyed hash: digits stay digits at their places, check digits are valid where they were, names keep the
 gender of their form of address (in Latin and Cyrillic, which have lists of first names), the script and the capitals,
 and initials follow the name behind them. One entity has one replacement in the whole corpus,
 however it is written (coreference), and two entities never share one: claims to a replacement are counted over all
-distinct entities, the first keeps it, the others draw again, and no replacement may be an entity of the corpus.
+distinct entities, the first keeps it, the others draw again, and no replacement may be an entity of the corpus. Settled
+claims leave the loop. Formats widen after some draws (longer words and labels, another range of numbers), and after
+``LAST`` draws a replacement is a label with a hash of 128 bits, so the loop always ends: all but the largest corpora see
+none of these.
 
 Replacing is distributed: entities of a document are joined to their replacements and only documents that may have
 entities, by a bitmap of bounded size, are shuffled; all others pass through unread by Python code. An entity that a
 third of the documents have is one row in the table of entities, and its many occurrences are rows of a join.
 
-Null text stays null. Repeated rows are replaced alike. Extra columns stay. An empty table gives no rows.
+Texts are named by their SHA-256. Null text stays null. Repeated rows are replaced alike. Extra columns stay, whatever they
+are called; where one is ``n_entities``, the number of entities is ``_n_entities``. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import sys
 import unicodedata
@@ -29,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenorgrid.llm.common import keep, mark_maybe
+from tenorgrid.llm.common import Sheltered, free, keep, mark_maybe
 
 DEMO_KEY = b"replace-this-key"  # a parameter: name a secret of your own in production
-ROUNDS = 60
+LAST = 32
+LABEL = re.compile(r"[a-z0-9]+-[0-9a-f]{32}")
 
 # Forms of address with the gender they show, first names of the replacements by script and gender.
 ADDRESS = {"Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Господин": "m",
@@ -71,18 +78,24 @@ _INITIALS = rf"(?:{_START}{_MARK}\.\x20?(?={_START}))*"
 _PARTICLES = r"(?:(?:van|von|vom|der|den|de|del|della|di|da|do|dos|das|du|la|le|el|al|bin|ibn|ben|zu|zur|ter|ten|af|av|y)\x20){0,3}"
 _WORDS = rf"{_INITIALS}{_NAME}(?:\x20{_PARTICLES}{_INITIALS}{_NAME})*"
 _ONE_WORD = re.compile(rf"(?<!\w)(?P<initials>{_INITIALS})(?P<word>{_NAME})")
+# Words for a telephone before its number, and phrases that introduce a name.
+_CALL = "|".join(f"{w}|{w.capitalize()}|{w.upper()}" for w in "telephone telefon tel phone fon mobile mobil fax".split())
+_INTRO = "|".join(("[Mm]y name is", "[Mm]ein Name ist", "[Ii]ch heiße", "[Jj]e m['’]appelle", "[Mm]e llamo", "[Mm]i nombre es", "[Мм]еня зовут"))
 ENTITY = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})"
-    r"|(?P<ip6>(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))"
+    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)*\.[^\W\d_]{2,})"
+    r"|(?P<ip6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:]))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<!\w)(?<!\d[.+-])[3-6]\d{3}(?:[\x20-]?\d{4}){2}[\x20-]?\d{1,7}(?!\w))"
     r"|(?P<phone>(?<![\w.])\+1[\x20.-]?(?:\(\d{3}\)|\d{3})[\x20.-]?\d{3}[\x20.-]?\d{4}(?!\d)|(?<![\w.])(?:\+\d{1,3}[\x20.-]?)(?:\(\d{1,4}\)[\x20.-]?)?\d{1,5}(?:[\x20.-]\d{1,5}){0,5}(?!\w)"
-    r"|(?<![\w.])\(\d{3}\)\x20?\d{3}[-.\x20]\d{4}(?!\w)|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-]))"
-    rf"|(?P<name>(?<!\w)(?P<title>{_TITLES})\.?\x20{_PARTICLES}(?P<words>{_WORDS}))")
+    r"|(?<![\w.])\(\d{3}\)\x20?\d{3}[-.\x20]\d{4}(?!\w)|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])"
+    r"|(?<![\w.,+/-])0[1-9]\d{1,3}[\x20/-]\d{5,8}(?![\w,.-]*\d))"
+    rf"|(?<!\w)(?:{_CALL})[.:]{{0,2}}\x20?(?P<called>\d(?:[\x20./-]?\d){{4,12}})(?!\w)"
+    rf"|(?P<name>(?<!\w)(?:(?P<title>{_TITLES})\.?|(?P<intro>{_INTRO}))\x20{_PARTICLES}(?P<words>{_WORDS}))")
 # Holds for every text with an entity.
-SCREEN = "@|[0-9]{2}|[0-9A-Fa-f]:[0-9A-Fa-f]|[0-9]\\.[0-9]|(?:" + "|".join(ADDRESS) + r")\.?\x20"
+SCREEN = "@|[0-9]{2}|[0-9A-Fa-f]::?[0-9A-Fa-f]|::[0-9A-Fa-f]|[0-9A-Fa-f]::|[0-9][\\x20./-][0-9]|(?:" + "|".join(ADDRESS) + rf")\.?\x20|(?:{_INTRO})\x20"
 
 
 def _luhn(digits: str) -> bool:
@@ -110,13 +123,19 @@ def _name_key(word: str) -> str:
     return unicodedata.normalize("NFC", unicodedata.normalize("NFC", word).casefold()).translate(str.maketrans("’ʼ‐‑", "''--"))
 
 
+def _number(written: str) -> str:
+    """The digits of a telephone number; one of ten digits without a country is its +1 number."""
+    digits = re.sub(r"\D", "", written)
+    return "1" + digits if len(digits) == 10 and not written.startswith(("+", "0")) else digits
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """Entities in order: start, end, kind, canonical form. A name gives one entity per word."""
     out, names = [], {}
     for m in ENTITY.finditer(text):
-        kind, value = m.lastgroup, m[0]
-        if m["title"]:
-            gender = ADDRESS[m["title"]]
+        value = m[0]
+        if m["name"]:
+            gender = ADDRESS[m["title"]] if m["title"] else "n"
             words = list(_ONE_WORD.finditer(text, m.start("words"), m.end("words")))
             for k, w in enumerate(words):
                 kind = f"first_{gender}" if k < len(words) - 1 else "last"
@@ -124,19 +143,23 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                     names[w["word"]] = kind
                 out.append((w.start(), w.end(), kind, _name_key(w["word"])))
             continue
+        if m["called"]:
+            out.append((m.start("called"), m.end("called"), "phone", _number(m["called"])))
+            continue
         kind = next(k for k in ("email", "ip6", "ip", "iban", "ssn", "card", "phone") if m[k])
         if kind == "email":
             value = value.lower()
         elif kind in ("card", "phone", "ssn"):
-            value = re.sub(r"\D", "", value)
-            if kind == "phone" and len(value) == 10 and not m[0].startswith("+"):
-                value = "1" + value  # a national number is its +1 number
+            value = _number(m[0]) if kind == "phone" else re.sub(r"\D", "", value)
             if kind == "phone" and not 7 <= len(value) <= 15 or kind == "card" and not 13 <= len(value) <= 19:
                 continue
         elif kind == "iban":
             value = value.replace(" ", "")
         elif kind == "ip6":
-            value = value.lower()
+            try:
+                value = ipaddress.IPv6Address(value).exploded
+            except ValueError:  # too many groups for an address
+                continue
         out.append((m.start(), m.end(), kind, value))
     if names:  # later mentions of a name that a form of address has introduced
         taken = [(a, b) for a, b, _, _ in out]
@@ -168,19 +191,25 @@ class Stream:
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """A replacement, in canonical form, of the same type and format as ``value``."""
     s = Stream(key, kind, value, attempt)
+    if attempt >= LAST:
+        return f"{kind.removeprefix('first_').rstrip('mfn') or 'name'}-{s.seed.hex()[:32]}"
     if kind == "email":
         local, _, domain = value.partition("@")
         letters = "abcdefghijklmnopqrstuvwxyz"
         local = "".join(letters[s.below(26)] if c.isalpha() else str(s.below(10)) if c.isdigit() else c for c in local)
-        label = "".join(letters[s.below(26)] for _ in domain.split(".")[-2])
+        local += "".join(letters[s.below(26)] for _ in range(attempt // 3))
+        label = "".join(letters[s.below(26)] for _ in domain.split(".")[-2][: 20] + "x" * (attempt // 3))
         return f"{local}@{label}.example.{('com', 'net', 'org')[s.below(3)]}"
     if kind == "ip":
         def octet(o: str) -> str:
             low, high = ((0, 9), (10, 99), (100, 254))[len(str(int(o))) - 1] if attempt < 16 else (1, 254)
             return str(low + s.below(high - low + 1))
         return ".".join(octet(o) for o in value.split("."))
-    if kind == "ip6":
-        return ":".join("".join("0123456789abcdef"[s.below(16)] for _ in part) for part in value.split(":"))
+    if kind == "ip6":  # groups keep their length, so an address stays as short as it was, until that has too few values
+        def group(g: str) -> str:
+            n = len(g.lstrip("0")) if attempt < 8 else 4
+            return "".join("0123456789abcdef"[s.below(16) if k else 1 + s.below(15)] for k in range(n)).rjust(4, "0")
+        return ":".join(map(group, value.split(":")))
     if kind == "ssn":
         return "9" + s.digits(value[1:])  # numbers from 900 are not given out
     if kind == "card":
@@ -190,6 +219,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return next(body + str(d) for d in range(10) if _luhn(body + str(d)))
     if kind == "phone":
         lead = 1 if value.startswith("1") and len(value) == 11 else 2 if len(value) > 10 else 0
+        if attempt >= 16:  # a range of its own, behind a country code that is not given out
+            return "999" + "".join(str(s.below(10)) for _ in range(12))
         return value[:lead] + s.digits(value[lead:])
     if kind == "iban":
         body = "".join(str(s.below(10)) if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[s.below(26)] for c in value[4:])
@@ -204,7 +235,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         name = pool[s.below(len(pool))]
         # Beyond the list's length a name gets a second part, still of its gender.
         return (name if attempt < 4 else name + "-" + pool[s.below(len(pool))] if attempt < 12 else
-                name + "-" + _word(s, script, 3)).casefold()
+                name + "-" + _word(s, script, 3 + (attempt - 12) // 4)).casefold()
     return _word(s, script, max(2, min(6, (len(value) + 1) // 2)) + attempt // 8).casefold()
 
 
@@ -214,12 +245,17 @@ def _word(s: Stream, script: str, n: int) -> str:
 
 def written(original: str, kind: str, canonical: str) -> str:
     """The canonical replacement in the form in which the original is written."""
+    if LABEL.fullmatch(canonical) or kind == "phone" and canonical.startswith("999") and len(canonical) == 15:
+        return canonical if LABEL.fullmatch(canonical) else "+" + canonical
     if kind in ("card", "phone", "ssn", "iban"):
         # a national number is written without its leading 1
         rest = iter(canonical[max(0, len(canonical) - sum(c.isalnum() for c in original)):] if kind == "phone" else canonical)
         return "".join(next(rest, "") if c.isalnum() else c for c in original)
-    if kind == "ip6" and original.isupper():
-        return canonical.upper()
+    if kind == "ip6":
+        groups = canonical.split(":")
+        padded = any(len(g) == 4 and g[0] == "0" for g in original.split(":"))
+        short = ipaddress.IPv6Address(canonical).compressed if "::" in original else ":".join(groups if padded else (g.lstrip("0") or "0" for g in groups))
+        return short.upper() if original.isupper() else short
     if kind == "email" and original.isupper():
         return canonical.upper()
     if kind == "last" or kind.startswith("first_"):
@@ -268,21 +304,30 @@ def distinct_entities(found: DataFrame) -> DataFrame:
 
 
 def draw_surrogates(entities: DataFrame, key: bytes = DEMO_KEY) -> DataFrame:
-    """``(kind, value, new)`` for distinct entities: replacements all different, and none of them an entity."""
+    """``(kind, value, new)`` for distinct entities: replacements all different, and none of them an entity.
+
+    A round judges the open claims only: of equal ones the least wins unless the replacement is taken or is an entity.
+    What has settled is a table that later rounds read for the replacements of the few that are open.
+    """
     shape = "kind string, value string, attempt int, new string"
+    claims = ["family", "new"]
     drawn = keep(entities.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(_draw(key), shape))
-    real = keep(entities.select(_family("kind").alias("family"), F.col("value").alias("new")).distinct())
-    for _ in range(ROUNDS):
-        claims = drawn.withColumn("family", _family("kind"))
-        owner = claims.groupBy("family", "new").agg(F.min(F.struct("attempt", "kind", "value")).alias("owner"))
-        judged = (claims.join(owner, ["family", "new"]).join(real.withColumn("clash", F.lit(True)), ["family", "new"], "left")
-                  .withColumn("good", F.col("clash").isNull() & (F.col("owner.kind") == F.col("kind")) & (F.col("owner.value") == F.col("value"))))
-        judged = keep(judged.select("kind", "value", "attempt", "new", "good"))
-        if not judged.where(~F.col("good")).limit(1).count():
-            return judged.select("kind", "value", "new")
-        again = judged.where(~F.col("good")).select("kind", "value", (F.col("attempt") + 1).alias("attempt")).mapInArrow(_draw(key), shape)
-        drawn = keep(judged.where("good").select("kind", "value", "attempt", "new").union(again))
-    raise ValueError("some format has fewer values than the corpus has entities of it")
+    taken = keep(entities.select(_family("kind").alias("family"), F.col("value").alias("new")).distinct())
+    settled = None
+    while True:
+        first = drawn.withColumn("family", _family("kind"))
+        mine = first.groupBy(*claims).agg(F.min(F.struct("kind", "value")).alias("owner"))
+        lost = taken.join(mine.select(*claims), claims).select(*claims).distinct().withColumn("clash", F.lit(True))
+        judged = first.join(mine, claims).join(lost, claims, "left").withColumn(
+            "good", F.col("clash").isNull() & (F.col("owner.kind") == F.col("kind")) & (F.col("owner.value") == F.col("value")))
+        judged = keep(judged.select("kind", "value", "attempt", "family", "new", "good"))
+        good = judged.where("good").select("kind", "value", "family", "new")
+        settled = good if settled is None else settled.union(good)
+        again = judged.where("NOT good").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+        if not again.limit(1).count():
+            return settled.select("kind", "value", "new")
+        taken = taken.union(good.select(*claims))
+        drawn = keep(again.mapInArrow(_draw(key), shape))
 
 
 def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,23 +347,23 @@ def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def replace_entities(docs: DataFrame, text: str = "text", key: bytes = DEMO_KEY) -> DataFrame:
     """``docs`` with the entities in ``text`` replaced, and ``n_entities``, their number, as a further column."""
-    rid = F.xxhash64(F.col(text))
-    named = docs.withColumn("_rid", rid)
-    found = keep(named.where(F.col(text).rlike(SCREEN)).select(F.col("_rid").alias("rid"), F.col(text)).mapInArrow(
-        _detect, "rid bigint, found array<struct<kind:string,value:string>>").dropDuplicates(["rid"]))
+    inside = Sheltered(docs)
+    t, count = inside[text], free(docs.columns, "n_entities")[0]
+    marks = inside.df.withColumn("rid", F.sha2(t, 256))
+    found = keep(marks.where(F.col(t).rlike(SCREEN)).select("rid", t).mapInArrow(
+        _detect, "rid string, found array<struct<kind:string,value:string>>").dropDuplicates(["rid"]))
     each = found.select("rid", F.explode("found").alias("e")).select("rid", "e.kind", "e.value")
     new = draw_surrogates(keep(distinct_entities(each)), key).select(_family("kind").alias("family"), "value", "new")
     per_text = keep(each.select("rid", _family("kind").alias("family"), "value").join(new, ["family", "value"])
                     .groupBy("rid").agg(F.collect_list(F.struct("family", "value", "new")).alias("names")))
-    marked = mark_maybe(named, F.col("_rid"), per_text, "rid")
-    once = (marked.where("_maybe").select("_rid", F.col(text).alias("_text")).groupBy("_rid").agg(F.max("_text").alias("_text"))
-            .join(per_text, F.col("_rid") == F.col("rid")).select("rid", "_text", "names"))
-    clean = keep(once.mapInArrow(_replace, "rid bigint, clean string, n bigint")).select(
-        F.col("rid").alias("_name"), F.col("clean").alias("_clean"), F.col("n").alias("_n"))
-    plain = marked.where("NOT _maybe").select(*docs.columns, F.lit(0).cast("long").alias("n_entities"))
-    changed = (marked.where("_maybe").join(clean, F.col("_rid") == F.col("_name"), "left")
-               .withColumn(text, F.coalesce("_clean", F.col(text))).select(*docs.columns, F.coalesce("_n", F.lit(0).cast("long")).alias("n_entities")))
-    return plain.union(changed)
+    marked = mark_maybe(marks, F.col("rid"), per_text, "rid")
+    once = marked.where("_maybe").groupBy("rid").agg(F.max(t).alias("whole")).join(per_text, "rid").select("rid", "whole", "names")
+    clean = keep(once.mapInArrow(_replace, "rid string, clean string, n bigint"))
+    none = F.lit(0).cast("long")
+    plain = marked.where("NOT _maybe").select(*inside.inner, none.alias("n"))
+    changed = (marked.where("_maybe").join(clean, "rid", "left").withColumn(t, F.coalesce("clean", F.col(t)))
+               .select(*inside.inner, F.coalesce("n", none).alias("n")))
+    return plain.union(changed).toDF(*docs.columns, count)
 
 
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

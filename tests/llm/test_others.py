@@ -189,6 +189,58 @@ def test_entities_beside_other_text():
         ("john.doe@mail.com", "email"), ("4111111111111111", "card"), ("+1 (564) 555-4526", "phone"), ("152.143.123.131", "ip"), ("4785380592391139", "card")]
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("at 2001:db8::1 and ::1 or 2001:0db8:0000:0000:0000:0000:0000:0001", [("2001:db8::1", "ip6"), ("::1", "ip6"), ("2001:0db8:0000:0000:0000:0000:0000:0001", "ip6")]),
+    ("std::vector ab::cd a:b 12:30:45", []), ("call 030 1234567 now", [("030 1234567", "phone")]), ("Tel. 5551234, phone: 555-1234", [("5551234", "phone"), ("555-1234", "phone")]),
+    ("total 5551234 in 2020 10000 rows", []), ("write user@bücher.de", [("user@bücher.de", "email")]),
+    ("My name is John Smith and je m'appelle Anna", [("John", "first_n"), ("Smith", "last"), ("Anna", "last")])])
+def test_further_entities_are_found(text, expected):
+    assert [(text[a:b], k) for a, b, k, _ in surrogates.find(text)] == expected
+
+
+def test_formats_never_run_out(spark):
+    """More addresses of one letter and one letter than there are, and more first names than the lists give."""
+    rows = [("email", f"{a}@{b}.{e}") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz" for e in ("com", "org", "net", "de")]
+    rows += [("first_n", f"name{k}") for k in range(20_000)] + [("phone", f"55512{k:02d}") for k in range(100)] + [("ip6", f"0000:0000:0000:0000:0000:0000:0000:000{k:x}") for k in range(1, 16)]
+    got = surrogates.draw_surrogates(spark.createDataFrame(rows, "kind string, value string")).collect()
+    assert len({(r.kind, r.value) for r in got}) == len(rows) == len({(r.kind, r.new) for r in got}) == len(got)
+    assert not {(r.kind, r.new) for r in got} & set(rows)
+    assert surrogates.LABEL.fullmatch(surrogates.surrogate(b"k", "ssn", "123456789", surrogates.LAST))
+    assert surrogates.written("123-45-6789", "ssn", "ssn-" + "0f" * 16) == "ssn-" + "0f" * 16
+
+
+def test_replacement_equals_brute_force(spark):
+    """The whole corpus replaced one text after the other from one dictionary of entities."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{h.FOLDER}/documents.parquet").collect()]
+    got = {r.doc_id: r for r in surrogates.op5_pii_surrogates(spark, h.FOLDER).collect()}
+    to, back = {}, {}
+    for d, text in docs:
+        found, at, new, place = surrogates.find(text or ""), 0, got[d].text, 0
+        assert got[d].n_entities == len(found)
+        for start, end, kind, value in found:
+            gap = text[at:start]
+            assert new[place: place + len(gap)] == gap
+            place += len(gap)
+            family = "first" if kind.startswith("first_") else kind
+            rest = [b for a, b, k, v in surrogates.find(new) if a == place]
+            assert rest, (text[start:end], new[place: place + 40])
+            canonical = next(v for a, b, k, v in surrogates.find(new) if a == place)
+            assert to.setdefault((family, value), canonical) == canonical and back.setdefault((family, canonical), value) == value
+            place, at = rest[0], end
+        assert new is None and text is None or new[place:] == text[at:]
+    assert to and not {v for v in to.values()} & {v for _, v in to}
+
+
+def test_columns_of_the_caller_stay(spark):
+    names = ["_rid", "rid", "n", "_n", "_p", "_w", "_maybe", "clean", "whole", "_clean", "n_entities", "c0", "kind", "value"]
+    docs = h.table(spark, [(k, f"{PERSONAL} {k}", None) for k in range(4)] + [(9, None, None)]).select("doc_id", "text")
+    plain = {r.doc_id: (r.text, r.n_entities) for r in surrogates.replace_entities(docs).collect()}
+    got = surrogates.replace_entities(docs.select("*", *(F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names)))
+    assert got.columns == ["doc_id", "text", *names, "_n_entities"]
+    for r in got.collect():
+        assert (r.text, r._n_entities) == plain[r.doc_id] and all(r[n] == f"{n}{r.doc_id}" for n in names)
+
+
 def test_surrogates_draw_again_on_collisions(spark):
     """A space of 81 addresses with 60 entities: all replacements differ, and none is an entity."""
     entities = spark.createDataFrame([("ip", f"1.1.{a}.{b}") for a in range(1, 9) for b in range(1, 9)]
