@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tenorgrid.catalog.registry import Tables, query
-from tenorgrid.operators.aggregates import (calendar_month_mean, error_summary, exact_quantiles, last_value,
+from tenorgrid.operators.aggregates import (bounded_values, calendar_month_mean, error_summary, exact_quantiles, last_value, month_last,
                                             pivot_columns, pivot_fixed, scoped_report, set_collapse, share_before, signal_stats)
 from tenorgrid.operators.asof import calendar_ffill
 from tenorgrid.operators.dedup import dedup_keep_last, duplicate_count
 from tenorgrid.operators.ordered import previous_row
+from tenorgrid.operators.sketches import distinct_sketches, merged_distinct, range_distinct, standard_error
 from tenorgrid.operators.skew import per_days
 from tenorgrid.plans.ladder import probability_columns
 
@@ -172,8 +173,8 @@ SELECT l_returnflag, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumbe
 FROM lineitem GROUP BY 1
 """)
 def dedup_count(t: Tables) -> DataFrame:
-    per = t.lineitem.groupBy("l_returnflag", "l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
-    return per.groupBy("l_returnflag").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_kept"), F.sum(F.col("n") - 1).alias("n_dropped"))
+    return duplicate_count(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_returnflag"]).select(
+        "l_returnflag", "n_rows", F.col("n_keys").alias("n_kept"), F.col("n_duplicates").alias("n_dropped"))
 
 
 @query("month_last", """
@@ -182,9 +183,8 @@ SELECT l_returnflag, strftime(l_shipdate, '%Y-%m') AS ym, arg_max(CASE WHEN l_di
 """)
 def last_of_month(t: Tables) -> DataFrame:
     value = F.when(F.col("l_discount") < 0.1, F.col("l_extendedprice"))
-    return t.lineitem.groupBy("l_returnflag", F.date_format("l_shipdate", "yyyy-MM").alias("ym")).agg(
-        last_value(value, F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")).alias("last_value"),
-        F.to_date(F.max("l_shipdate")).alias("last_date"))
+    last = month_last(t.lineitem, "l_shipdate", value, by=["l_returnflag"], ties=["l_orderkey", "l_linenumber", "l_extendedprice"])
+    return last.withColumn("last_date", F.to_date("last_date"))
 
 
 @query("calendar_month_mean", """
@@ -198,6 +198,41 @@ def month_mean(t: Tables) -> DataFrame:
     return means.withColumn("month_mean", F.round("month_mean", 6))
 
 
+@query("sketch_distinct", """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(DISTINCT o_custkey) AS n_exact, TRUE AS within FROM orders GROUP BY 1
+""")
+def sketch_distinct(t: Tables) -> DataFrame:
+    """Sketches of days merged to months, next to the exact count; an estimate is within four standard errors."""
+    rows = t.orders.select(F.to_date("o_orderdate").alias("day"), F.trunc("o_orderdate", "MM").alias("month"), "o_custkey")
+    daily = distinct_sketches(rows, ["month", "day"], "o_custkey")
+    exact = rows.groupBy("month").agg(F.countDistinct("o_custkey").alias("n_exact"))
+    near = F.abs(F.col("n_estimate") - F.col("n_exact")) <= F.greatest(F.lit(1.0), 4 * standard_error() * F.col("n_exact"))
+    return merged_distinct(daily, ["month"]).join(exact, "month").select("month", "n_exact", near.alias("within"))
+
+
+@query("sketch_ranges", """
+WITH r AS (SELECT DISTINCT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS q FROM orders)
+SELECT q, count(DISTINCT o_custkey) AS n_exact, TRUE AS within FROM r LEFT JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN q AND CAST(q + INTERVAL 100 DAY AS DATE) GROUP BY 1
+""")
+def sketch_ranges(t: Tables) -> DataFrame:
+    """Overlapping ranges of 101 days, from the same daily sketches."""
+    rows = t.orders.select(F.to_date("o_orderdate").alias("day"), "o_custkey")
+    ranges = t.orders.select(F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("q")).distinct().withColumn("stop", F.date_add("q", 100))
+    found = range_distinct(distinct_sketches(rows, ["day"], "o_custkey"), ranges, "day", "q", "stop", "q")
+    days = ranges.select("q", F.explode(F.sequence("q", "stop", F.expr("interval 1 day"))).alias("day"))
+    exact = rows.distinct().join(days, "day").groupBy("q").agg(F.countDistinct("o_custkey").alias("n_exact"))
+    near = F.abs(F.col("n_estimate") - F.col("n_exact")) <= F.greatest(F.lit(1.0), 4 * standard_error() * F.col("n_exact"))
+    return found.join(exact, "q").select("q", "n_exact", near.alias("within"))
+
+
+@query("bounded_values", """
+SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_distinct, min(o_orderpriority) AS least, max(o_orderpriority) AS largest,
+       CASE WHEN count(DISTINCT o_orderpriority) <= 3 THEN string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) END AS listed FROM orders GROUP BY 1
+""")
+def bounded_lists(t: Tables) -> DataFrame:
+    return bounded_values(t.orders, ["o_custkey"], "o_orderpriority", most=3).withColumn("listed", F.array_join("listed", ","))
+
+
 @query("set_collapse", """
 SELECT o_custkey, CASE WHEN count(DISTINCT o_orderstatus) = 1 THEN min(o_orderstatus) ELSE 'mixed:' || string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) END AS status
 FROM orders GROUP BY 1

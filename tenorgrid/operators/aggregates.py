@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -118,19 +119,42 @@ def calendar_month_mean(calendar: DataFrame, d: str, value: str, ym: str = "ym")
         F.avg(value).alias("month_mean"), F.count("*").alias("n_days"))
 
 
-def month_last(df: DataFrame, d: str, value: str, ym: str = "ym", by: Sequence[str] = ()) -> DataFrame:
-    """Last non-NULL value of each month and the last date present."""
+def month_last(df: DataFrame, d: str, value: Column | str, ym: str = "ym", by: Sequence[str] = (), ties: Sequence[str] = ()) -> DataFrame:
+    """Last non-NULL value of each month, of rows of one date the last by ``ties``, and the last date present."""
     return df.groupBy(*by, F.date_format(d, "yyyy-MM").alias(ym)).agg(
-        last_value(value, d).alias("last_value"), F.max(d).alias("last_date"))
+        last_value(value, F.struct(d, *ties)).alias("last_value"), F.max(d).alias("last_date"))
 
 
-def set_collapse(df: DataFrame, by: Sequence[str], value: str, out: str) -> DataFrame:
-    """The value when a group has one distinct value, otherwise ``mixed:`` and the sorted values."""
-    distinct = df.select(*by, value).distinct()
-    vals = F.array_sort(F.collect_list(value))
-    return distinct.groupBy(*by).agg(vals.alias("__v")).select(
-        *by, F.when(F.size("__v") == 1, F.get("__v", 0)).when(
-            F.size("__v") > 1, F.concat(F.lit("mixed:"), F.array_join("__v", ","))).alias(out))
+def bounded_values(df: DataFrame, by: Sequence[str], value: str, most: int = 100) -> DataFrame:
+    """Per group ``n_distinct``, ``least``, ``largest``, and ``listed``: all distinct values in order if they are at most
+    ``most``, otherwise NULL; ``distinct_values`` has them as rows then. A list never holds more than ``most + 1`` values.
+    """
+    distinct = distinct_values(df, by, value)
+    per = df.groupBy(*by).agg(F.count_if(F.lit(False)).alias("__none")).drop("__none")
+    counts = distinct.groupBy(*by).agg(F.count("*").alias("n_distinct"), F.min(value).alias("least"), F.max(value).alias("largest"))
+    first = distinct.withColumn("__r", F.row_number().over(Window.partitionBy(*by).orderBy(value))).where(F.col("__r") <= most + 1)
+    lists = first.groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias("listed"))
+    out = per
+    for side in (counts, lists):
+        same = reduce(lambda a, b: a & b, [out[c].eqNullSafe(side[c]) for c in by])
+        out = out.join(side, same, "left").select(*(out[c] for c in out.columns), *(side[c] for c in side.columns if c not in by))
+    n = F.coalesce("n_distinct", F.lit(0).cast("long"))
+    return out.select(*by, n.alias("n_distinct"), "least", "largest", F.when(n <= most, F.coalesce("listed", F.array().cast(first.select(
+        F.array(value)).schema[0].dataType))).alias("listed"))
+
+
+def distinct_values(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """The distinct values of each group, one per row."""
+    return df.where(F.col(value).isNotNull()).select(*by, value).distinct()
+
+
+def set_collapse(df: DataFrame, by: Sequence[str], value: str, out: str, most: int = 100) -> DataFrame:
+    """The value when a group has one distinct value, otherwise ``mixed:`` and the sorted values, or, of more than ``most``,
+    their number with the least and the largest.
+    """
+    many = F.concat_ws("", F.lit("mixed:"), "n_distinct", F.lit(" from "), "least", F.lit(" to "), "largest")
+    return bounded_values(df, by, value, most).select(*by, F.when(F.col("n_distinct") == 1, F.col("least")).when(
+        F.col("listed").isNull(), many).when(F.col("n_distinct") > 1, F.concat(F.lit("mixed:"), F.array_join("listed", ","))).alias(out))
 
 
 def share_before(facts: DataFrame, starts: DataFrame, key: str, t: str, start: str, amount: str) -> DataFrame:

@@ -31,10 +31,10 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     return dedup_keep_last(stacked, key, ["__src"]).drop("__src")
 
 
-def duplicate_count(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: rows, distinct keys (NULL parts count as values) and the difference."""
-    per_key = df.groupBy(*key).agg(F.count("*").alias("__n"))
-    return per_key.agg(
+def duplicate_count(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows, distinct keys (NULL parts count as values) and the difference: one row, or one for each group of ``by``."""
+    per_key = df.groupBy(*by, *key).agg(F.count("*").alias("__n"))
+    return per_key.groupBy(*by).agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("n_rows"),
         F.count("*").alias("n_keys"),
         F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("n_duplicates"),

@@ -4,7 +4,9 @@ import json
 
 from pyspark.sql import functions as F
 
+from tenorgrid.operators.aggregates import bounded_values, set_collapse
 from tenorgrid.operators.rules import Rule, broken_rules
+from tenorgrid.operators.sketches import distinct_sketches, merged_distinct, range_distinct, standard_error
 from tenorgrid.plans import coverage as cov
 from tenorgrid.plans.panel import Panel
 from tenorgrid.sources.landing import event_anomalies, event_markets, match_events, unreadable_events
@@ -93,3 +95,24 @@ def test_panel_builds_its_spine(spark):
     assert rows(panel["links"], "meeting_date", "event_id", "role", "is_primary") == [(d("2026-09-16"), "a", "decision", True), (d("2026-10-28"), "b", "other", False)]
     assert kept == ["spine", "links"]
     assert "collect_list" not in panel["links"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lists_are_bounded(spark):
+    df = spark.createDataFrame([(1, v) for v in "cab"] + [(2, str(k)) for k in range(500)] + [(3, None), (None, "x"), (None, "x")], "k int, v string")
+    got = {r.k: (r.n_distinct, r.least, r.largest, r.listed) for r in bounded_values(df, ["k"], "v", most=10).collect()}
+    assert got == {1: (3, "a", "c", ["a", "b", "c"]), 2: (500, "0", "99", None), 3: (0, None, None, []), None: (1, "x", "x", ["x"])}
+    assert {r.k: r.s for r in set_collapse(df, ["k"], "v", "s", most=10).collect()} == {1: "mixed:a,b,c", 2: "mixed:500 from 0 to 99", 3: None, None: "x"}
+    assert bounded_values(df.limit(0), ["k"], "v").count() == 0
+    most = bounded_values(df, ["k"], "v", most=10)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in most
+
+
+def test_sketches_merge(spark):
+    df = spark.range(60_000).select((F.col("id") % 30).alias("day"), (F.col("id") % 7000).alias("v"))
+    daily = distinct_sketches(df, ["day"], "v")
+    assert abs(merged_distinct(daily, []).first()[0] - 7000) < 4 * standard_error() * 7000
+    few = distinct_sketches(spark.createDataFrame([(1, 5), (1, 5), (2, None), (2, 6)], "day int, v int"), ["day"], "v")
+    assert sorted(map(tuple, merged_distinct(few, ["day"]).collect())) == [(1, 1), (2, 1)]
+    days = few.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")))
+    ranges = spark.createDataFrame([("all", d("2024-01-01"), d("2024-01-09")), ("none", d("2025-01-01"), d("2025-01-02"))], "name string, a date, b date")
+    assert rows(range_distinct(days, ranges, "day", "a", "b", "name"), "name", "n_estimate") == [("all", 2), ("none", 0)]
