@@ -10,7 +10,7 @@ from tenorgrid.functions.values import lookup
 from tenorgrid.operators.aggregates import complement_check
 from tenorgrid.operators.asof import asof_by_date, asof_join, calendar_ffill
 from tenorgrid.operators.joins import join_split, nearest_match, priority_match, reconcile
-from tenorgrid.operators.skew import per_days, dimension_join
+from tenorgrid.operators.skew import Sized, per_days, dimension_join
 from tenorgrid.plans.futures import asof_and_same_day
 
 
@@ -87,6 +87,19 @@ def asof_inclusive(t: Tables) -> DataFrame:
     return rows.select("event_id", "user_id", "value", "view_id", "view_value", F.unix_micros("matched_t").alias("view_us"))
 
 
+@query("asof_join_sized", """
+WITH p AS (SELECT event_id, if(user_id % 3 = 0, user_id, 1) AS k, ts FROM events WHERE event_type = 'purchase'),
+v AS (SELECT if(user_id % 3 = 0, user_id, 1) AS k, ts AS view_ts, max(event_id) AS view_id FROM events WHERE event_type = 'view' GROUP BY 1, 2)
+SELECT p.event_id, p.k, v.view_id FROM p ASOF LEFT JOIN v ON p.k = v.k AND p.ts >= v.view_ts
+""")
+def asof_sized(t: Tables) -> DataFrame:
+    """One key has two thirds of all events; its buckets follow from its rows."""
+    e = t.events.withColumn("k", F.when(F.col("user_id") % 3 == 0, F.col("user_id")).otherwise(F.lit(1).cast("bigint")))
+    views = e.where("event_type = 'view'").groupBy("k", F.col("ts").alias("view_ts")).agg(F.max("event_id").alias("view_id"))
+    rows = asof_join(e.where("event_type = 'purchase'").select("event_id", "k", "ts"), views, ["k"], "ts", "view_ts", bucket=Sized(20_000))
+    return rows.select("event_id", "k", "view_id")
+
+
 @query("asof_join_strict", """
 WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 6) AS rate FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY 1)
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS ship_date, o.d AS rate_date, o.rate

@@ -1,18 +1,19 @@
 """Skew-safe forms give what the plain forms give, whatever the bucket width; brute force on small data."""
 
+import datetime as dt
 import random
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tenorgrid.operators.aggregates import exact_quantiles, scoped_report
 from tenorgrid.operators.asof import asof_join
 from tenorgrid.operators.dedup import dedup_keep_last, upsert
 from tenorgrid.operators.joins import join_split
 from tenorgrid.operators.ordered import monotonic_violations, previous_row, rank_primary, stale_value_flag, variety_gate
-from tenorgrid.operators.skew import per_days, per_seconds, dimension_join, running_total
+from tenorgrid.operators.skew import Sized, per_days, per_seconds, dimension_join, running_total, with_buckets
 from tests.helpers import d, order, rows
 
 SMALL = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -49,6 +50,30 @@ def test_previous_row_and_running_total(spark, width):
         assert rows(plain, "k", "t", "i", "v", "p") == rows(bucketed, "k", "t", "i", "v", "p")
 
 
+@pytest.mark.parametrize("target", [7, 10_000])
+def test_sized_buckets_give_the_same(spark, target):
+    df = spark.createDataFrame(hot_series(3) + [("c", None, 1000, 0.3), ("c", 5, 1001, 0.4), (None, 7, 1002, 0.5), (None, 7, 1003, None)], "k string, t long, i long, v double")
+    for build in (lambda b: previous_row(df, ["k"], ["t", "i"], ["t", "v"], "p", b), lambda b: running_total(df, ["k"], ["t", "i"], F.col("i"), "p", b)):
+        plain, sized = build(None), build(Sized(target))
+        assert rows(plain, *plain.columns) == rows(sized, *plain.columns)
+
+
+def test_a_key_with_all_rows_in_one_day_is_split(spark):
+    """Two thirds of all rows are one key's of one day, most of them within a minute of it; a single older row widens its range."""
+    day = 86400 * 1_000_000
+    t = F.when(F.col("id") == 0, 0).when(F.col("id") % 3 == 0, F.col("id") * 1000).otherwise(day * 20_000 + F.col("id") * 500)
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), F.col("id") % 50)).otherwise("hot").alias("k"),
+                                    F.timestamp_micros(t.cast("long")).alias("t"), "id").union(spark.createDataFrame([("hot", dt.datetime(1971, 1, 1), -1)], "k string, t timestamp, id long"))
+    cut = with_buckets(df, ["k"], "t", Sized(2000))
+    sizes = {(r.k, r.b): r.n for r in cut.groupBy("k", F.col("__bucket").cast("string").alias("b")).agg(F.count("*").alias("n")).collect()}
+    assert sum(k == "hot" for k, _ in sizes) >= 20 and max(sizes.values()) <= 2 * 2000
+    order = Window.partitionBy("k").orderBy("t")
+    assert cut.withColumn("p", F.lag("__bucket").over(order)).where("p > __bucket").count() == 0
+    left = df.where("id % 7 = 0").select("k", "t", "id")
+    same = lambda bucket: asof_join(left, df.where("id % 5 = 0").select("k", F.col("t").alias("rt"), F.col("id").alias("rid")), ["k"], "t", "rt", bucket=bucket)
+    assert same(Sized(500)).exceptAll(same(None)).count() == 0 and same(Sized(500)).count() == left.count()
+
+
 @pytest.mark.parametrize("width", [5, 60])
 def test_variety_gate(spark, width):
     data = hot_series(4)
