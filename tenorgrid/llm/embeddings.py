@@ -4,8 +4,9 @@ Unit vectors with cosine at least c lie within squared distance 2 (1 - c). A fix
 differences, then the coordinates are cut into blocks and every block gets the share of the squared distance that its
 number of dimensions has. A pair within the distance is within the share in one block at least, so range joins per
 block miss nothing. A block's range join is a grid over its first dimensions: every vector goes to the cells that the
-box of half the block's radius around it touches, two vectors within the radius share a cell. Pairs of a cell within
-the block's share are verified by the cosine in double precision. A pair that meets in several cells or blocks counts
+box of half the block's radius around it touches, two vectors within the radius share a cell. Only the coordinates of the
+block go to the cells: they tell which members have a partner within the block's share. Whole vectors go to those members
+alone, whose pairs are verified by the cosine in double precision. A pair that meets in several cells or blocks counts
 in the first block that admits it and in the lowest common cell.
 
 Tasks return numbers of links per vector and spanning links, never lists of pairs, so a group of thousands of near
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,8 @@ WIDTH = 3.0  # of a cell, in radii
 CHUNK = 1024
 PAIRS = 1 << 19
 SLACK = 1e-6
-ROW = "cell bigint, block int, upper int, id bigint, copies bigint, vector binary"
+CELL = "cell bigint, block int, upper int, row bigint, dims int, part binary"
+MEMBER = "cell bigint, i int, j int, side int, block int, upper int, row bigint"
 
 
 class Subspaces:
@@ -63,12 +66,13 @@ class Subspaces:
 
 
 def _emit(cosine: float):
+    """Rows (row, label, vector) to a row for every cell of every block that a vector touches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spaces: dict[int, Subspaces] = {}
         for whole in batches:
             for k in range(0, len(whole), 2048):
                 batch = whole.slice(k, 2048)
-                lists = batch.column(3)
+                lists = batch.column(2)
                 size = np.diff(lists.offsets.to_numpy())
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 at = np.concatenate([[0], np.cumsum(size)])
@@ -81,28 +85,30 @@ def _emit(cosine: float):
 
 
 def _cells(space: Subspaces, vectors: np.ndarray, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    placed = space.place(vectors)
+    placed, dims = space.place(vectors), vectors.shape[1]
     label = batch.column(1).to_numpy().astype(np.int64)
-    packed = pa.array([v.tobytes() for v in vectors], pa.binary())
     for block in range(len(space.blocks)):
         low = space.low(placed, block)
         a, b = space.blocks[block]
         r = space.radius[block]
         high = np.floor((placed[:, a: min(b, a + GRID)] + r / 2) / (WIDTH * r)).astype(np.int64)
-        g = low.shape[1]
+        part = np.ascontiguousarray(placed[:, a:b], np.float32)
+        g, wide = low.shape[1], part.shape[1] * 4
         for upper in range(1 << g):
             step = (upper >> np.arange(g)) & 1
             rows = np.flatnonzero((low + step <= high).all(axis=1))
             if not len(rows):
                 continue
-            key = mix(label[rows].astype(np.uint64) * np.uint64(64) + np.uint64(block) + (np.uint64(vectors.shape[1]) << np.uint64(40)))
+            key = mix(label[rows].astype(np.uint64) * np.uint64(64) + np.uint64(block) + (np.uint64(dims) << np.uint64(40)))
             for d in range(g):
                 key = mix(key ^ (low[rows, d] + step[d]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            n, take = len(rows), pa.array(rows)
+            n = len(rows)
+            packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, (n + 1) * wide, wide, np.int32)[: n + 1]),
+                                                            pa.py_buffer(part[rows].tobytes())])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, upper, np.int32)),
-                 batch.column(0).take(take), batch.column(2).take(take), packed.take(take)],
-                names=["cell", "block", "upper", "id", "copies", "vector"])
+                 batch.column(0).take(pa.array(rows)), pa.array(np.full(n, dims, np.int32)), packed],
+                names=["cell", "block", "upper", "row", "dims", "part"])
 
 
 def _forest(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,10 +126,9 @@ def _forest(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
         low = new
 
 
-def _verify(cosine: float, double: bool):
-    """Sorted rows (cell, i, j, side, ...) to ``(id, links, other)``: numbers of links, and spanning links."""
+def _by_group(work):
+    """Sorted rows (cell, i, j, ...), as ``work(rows, new)`` with whole groups; ``new`` marks the first row of each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spaces: dict[int, Subspaces] = {}
         rest = None
         for batch in itertools.chain(batches, [None]):
             table = rest if batch is None else (batch if rest is None else pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0])
@@ -134,23 +139,17 @@ def _verify(cosine: float, double: bool):
             cut = len(table) if batch is None else int(np.flatnonzero(new)[-1])
             rest = table.slice(cut)
             if cut:
-                yield from _groups(table.slice(0, cut), new[:cut], cosine, double, spaces)
+                yield from work(table.slice(0, cut), new[:cut])
     return run
 
 
-def _groups(rows: pa.RecordBatch, new: np.ndarray, cosine: float, double: bool, spaces: dict) -> Iterator[pa.RecordBatch]:
+def _pairs(rows: pa.RecordBatch, new: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of each group, some at a time: all of a chunk's own, and those of two chunks across."""
     n = len(rows)
     first = np.flatnonzero(new)
     ends = np.repeat(np.append(first[1:], n), np.diff(np.append(first, n)))
     one_side = rows.column(1).to_numpy() == rows.column(2).to_numpy()
-    side, block, upper = (rows.column(k).to_numpy() for k in (3, 4, 5))
-    ids, copies = rows.column(6).to_numpy(), rows.column(7).to_numpy()
-    size = np.diff(np.frombuffer(rows.column(8).buffers()[1], np.int32)[rows.column(8).offset: rows.column(8).offset + n + 1])
-    kind = np.float64 if double else np.float32
-    flat = np.frombuffer(b"".join(x.as_buffer() for x in rows.column(8)), dtype=kind)
-    at = np.concatenate([[0], np.cumsum(size // kind().itemsize)])
-    links = np.zeros(n, np.int64)
-    left_all, right_all = [], []
+    side = rows.column(3).to_numpy()
     later = ends - np.arange(n) - 1
     total = np.concatenate([[0], np.cumsum(later)])
     i = 0
@@ -159,12 +158,51 @@ def _groups(rows: pa.RecordBatch, new: np.ndarray, cosine: float, double: bool,
         left = np.repeat(np.arange(i, stop), later[i:stop])
         right = left + 1 + np.arange(len(left)) - np.repeat(total[i:stop] - total[i], later[i:stop])
         good = one_side[left] | (side[left] != side[right])
-        u, v = _linked(left[good], right[good], at, flat, block, upper, cosine, spaces)
+        yield left[good], right[good]
+        i = stop
+
+
+def _partners(cosine: float):
+    """Members of a group that have a partner within the share of its block, by the block's coordinates alone."""
+    spaces: dict[int, Subspaces] = {}
+
+    def work(rows: pa.RecordBatch, new: np.ndarray) -> Iterator[pa.RecordBatch]:
+        block, dims = rows.column(4).to_numpy(), rows.column(7).to_numpy()
+        size = pc.binary_length(rows.column(8)).to_numpy() // 4
+        part = np.zeros((len(rows), int(size.max())), np.float32)  # shorter ones end in zeros, which add no distance
+        part[np.arange(part.shape[1]) < size[:, None]] = np.frombuffer(b"".join(x.as_buffer() for x in rows.column(8)), np.float32)
+        kind, place = np.unique(dims.astype(np.int64) * BLOCKS + block, return_inverse=True)
+        shares = [spaces.setdefault(k // BLOCKS, Subspaces(k // BLOCKS, cosine)).share[k % BLOCKS] for k in kind.tolist()]
+        share = np.array(shares)[place] * 1.0001 + SLACK
+        has = np.zeros(len(rows), bool)
+        for u, v in _pairs(rows, new):
+            near = (place[u] == place[v]) & (((part[u] - part[v]) ** 2).sum(axis=1) <= share[u])
+            has[u[near]] = has[v[near]] = True
+        if has.any():
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(has)) for c in rows.columns[:7]], names=rows.schema.names[:7])
+    return _by_group(work)
+
+
+def _verify(cosine: float, double: bool):
+    """Sorted members with their vectors to ``(id, links, other)``: numbers of links, and spanning links."""
+    spaces: dict[int, Subspaces] = {}
+    return _by_group(lambda rows, new: _groups(rows, new, cosine, double, spaces))
+
+
+def _groups(rows: pa.RecordBatch, new: np.ndarray, cosine: float, double: bool, spaces: dict) -> Iterator[pa.RecordBatch]:
+    n = len(rows)
+    block, upper = rows.column(4).to_numpy(), rows.column(5).to_numpy()
+    ids, copies, lists = rows.column(6).to_numpy(), rows.column(7).to_numpy(), rows.column(8)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64 if double else np.float32)
+    at = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+    links = np.zeros(n, np.int64)
+    left_all, right_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for left, right in _pairs(rows, new):
+        u, v = _linked(left, right, at, flat, block, upper, cosine, spaces)
         np.add.at(links, u, copies[v])
         np.add.at(links, v, copies[u])
         left_all.append(u)
         right_all.append(v)
-        i = stop
     u, v = np.concatenate(left_all), np.concatenate(right_all)
     if not len(u):
         return
@@ -226,17 +264,20 @@ def near_vectors(table: DataFrame, id: str = "vec_id", vector: str = "embedding"
     double = "double" in dict(table.dtypes)[vector]
     every = table.select(F.col(id).cast("long").alias("id"), F.col(label).cast("long").alias("label"), F.col(vector).alias("vector"))
     good = every.where(usable(F.col("vector")) & F.col("label").isNotNull() & F.col("id").isNotNull())
-    classes = keep(good.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
-    rows = classes.select("id", "label", "copies", "vector").mapInArrow(_emit(cosine), ROW)
-    full = keep(classes.select("id", "label", "copies", "vector").mapInArrow(_emit(cosine), ROW).select("cell")
-                .groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+    classes = keep(good.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+                   .withColumn("row", F.monotonically_increasing_id()))
+    cells = keep(classes.select("row", "label", "vector").mapInArrow(_emit(cosine), CELL))
+    full = keep(cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
                 .select("cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")))
-    mine = F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1))).cast("int")
-    placed = (rows.join(full, "cell", "left").withColumn("mine", mine)
+    mine = F.pmod(F.xxhash64("row"), F.coalesce("chunks", F.lit(1))).cast("int")
+    placed = (cells.join(full, "cell", "left").withColumn("mine", mine)
               .withColumn("with", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
               .select("cell", F.least("mine", "with").alias("i"), F.greatest("mine", "with").alias("j"),
-                      (F.col("mine") > F.col("with")).cast("int").alias("side"), "block", "upper", "id", "copies", "vector"))
-    found = keep(placed.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+                      (F.col("mine") > F.col("with")).cast("int").alias("side"), "block", "upper", "row", "dims", "part"))
+    group = ["cell", "i", "j"]
+    members = keep(placed.repartition(*group).sortWithinPartitions(*group).mapInArrow(_partners(cosine), MEMBER))
+    whole = members.join(classes.select("row", "id", "copies", "vector"), "row").select(*group, "side", "block", "upper", "id", "copies", "vector")
+    found = keep(whole.repartition(*group).sortWithinPartitions(*group)
                  .mapInArrow(_verify(cosine, double), "id bigint, links bigint, other bigint"))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.where("id != other").select("id", "other").distinct(), "id", "other")
