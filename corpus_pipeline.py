@@ -1,7 +1,10 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
 
-Every stage but the last returns the columns of ``documents``. Rows with a null id cannot be decided on and leave in
-the first stage; ids are taken to be unique apart from repeated rows, of which the second stage keeps one.
+Every stage but the last returns the columns of ``documents``, further ones included, whatever they are called; where a stage
+changes a text, ``n_chars`` follows. Rows with a null id cannot be decided on and leave in the first stage, as do null
+and empty texts, which have fewer words than the rules ask for. Texts are taken whole, however long. Ids are taken to be
+unique apart from repeated rows, of which the second stage keeps one; of equal texts the smallest id stays. A null source is
+a source. An empty table gives no rows in any stage.
 """
 
 from __future__ import annotations
