@@ -151,7 +151,7 @@ UNIQUE_SQL = {
     "rates unique": "SELECT count(*), count(DISTINCT date) FROM rate", "rate dates unique": "SELECT count(*), count(DISTINCT date) FROM rate",
     "daily quotes unique": "SELECT count(*), count(DISTINCT (event_id, leg, d)) FROM kd", "daily points unique": "SELECT count(*), count(DISTINCT (market_id, d)) FROM pd",
 }
-BAND_SQL = "SELECT '{name}' AS name, count_if(sum_raw NOT BETWEEN 0.95 AND 1.10) = 0 AS passed, count(*) AS n_elig, count_if(sum_raw NOT BETWEEN 0.95 AND 1.10) AS n_bad, " \
+BAND_SQL = "SELECT '{name}' AS name, count(*) FILTER (sum_raw NOT BETWEEN 0.95 AND 1.10) = 0 AS passed, count(*) AS n_elig, count(*) FILTER (sum_raw NOT BETWEEN 0.95 AND 1.10) AS n_bad, " \
            "min(sum_raw) AS min_sum, median(sum_raw) AS median_sum, max(sum_raw) AS max_sum FROM {rows}"
 MONTHS = ("1994-01", "1996-08", 32)
 
