@@ -182,7 +182,7 @@ UNION ALL SELECT 'a day without a row', coalesce(none BETWEEN 0 AND 1, FALSE), '
 def panel_checks(t: Tables) -> DataFrame:
     day = F.lit("1995-03-20").cast("date")
     c = F.col
-    p = panel(t, months=MONTHS, known=[
+    p = panel(t, keep=True, months=MONTHS, known=[
         Known("mid of a day", "daily_quotes", (c("event_id") == "1995-03") & (c("outcome") == "HOLD") & (c("trade_date") == day), "mid", 0.05, 0.40),
         Known("a day without a row", "daily_quotes", c("event_id") == "1895-03", "mid", 0, 1),
         Known("rate of a day", "rates", c("date") == day, "value", 1, 9, c("series_id") == "EFFR")])
