@@ -198,8 +198,11 @@ def repeated_hits(docs: DataFrame, scan: DataFrame, width: int) -> DataFrame:
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_removed, kept_sha256, and kept_text where words were removed.
 
-    ``kept_text`` is the kept words joined by one space; null means that the text is left as it is.
+    ``kept_text`` is the kept words joined by one space; null means that the text is left as it is. The windows around an
+    anchor are counted in the bits of one number, so ``width - anchor`` is at most 61.
     """
+    if not 0 < anchor <= width <= anchor + 61:
+        raise ValueError("the anchor must have from width - 61 to width words")
     named = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).withColumn("rid", F.xxhash64("id", "text"))
     scan = keep(named.select("id", "rid", "text").mapInArrow(
         _scan(width, anchor), "id bigint, rid bigint, n_words bigint, whole_sha256 string, first array<int>, count array<int>, key array<bigint>"))

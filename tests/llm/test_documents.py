@@ -301,6 +301,12 @@ def test_private_keys_go_as_a_whole(spark):
     assert got[100] == "[secret]\n\nwords between\n[secret] and [secret]" and got[101] == "The line [secret] is not a key."
 
 
+def test_substrings_refuse_anchors_that_are_too_short(docs):
+    for width, anchor in ((100, 16), (10, 0), (10, 11)):
+        with pytest.raises(ValueError):
+            substring.without_repeats(docs, width=width, anchor=anchor)
+
+
 @pytest.mark.parametrize("text", [
     "-----BEGIN PRIVATE KEY-----" + " a: b" * 10_000, "-----BEGIN PRIVATE KEY-----" + "\na: b" * 10_000, "-----BEGIN PRIVATE KEY-----\n" * 10_000,
     "-----BEGIN PRIVATE KEY-----" + " " * 200_000, "-----BEGIN PRIVATE KEY-----" + "\nAb1/" * 50_000 + "!", "-----BEGIN PRIVATE KEY-----" + ">\n" * 100_000,
