@@ -259,7 +259,8 @@ def test_queries_match_sql(spark, name):
     assert not problems and not odd
 
 
-@pytest.mark.parametrize("name", list(registry.QUERIES))
+# The search for hard negatives answers anchors; its rows are compared with SQL in test_negatives.
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n != "op12_hard_negatives"])
 def test_every_document_has_its_row(spark, name):
     df = registry.QUERIES[name](spark, h.FOLDER)
     key = next(c for c in df.columns if c in ("doc_id", "vec_id", "page_id"))
